@@ -105,3 +105,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), key: str = "doc
     times = F.col("copies") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)
     taken = F.col("size") * F.least(times, F.lit(MOST_REPEATS))
     return hashed.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(key, "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def repeat(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), source: str = "source", text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them; only the thresholds are joined, no text is shuffled.
+
+    Documents of size 0 have no words to take and stay once.
+    """
+    sized = docs.withColumns({"_size": word_count(text), "_hash": document_hash(key)})
+    hashed = cut(sized.select(F.col(source).alias("source"), F.col("_size").alias("size"), F.col("_hash").alias("hash")))
+    targets = cut(source_targets(hashed.groupBy("source").agg(F.sum("size").alias("source_size")), weights))
+    plan = thresholds(hashed, targets).select(F.col("source").alias("_s"), "copies", "threshold")
+    times = F.col("copies") + F.when(F.col("_hash") < F.col("threshold"), 1).otherwise(0)
+    times = F.when(F.col("_size") == 0, 1).otherwise(F.least(times, F.lit(MOST_REPEATS)).cast("int"))
+    taken = sized.join(plan, F.col(source).eqNullSafe(F.col("_s"))).withColumn("_times", times).filter("_times > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailposture.llm import language_id, mixing, ordinal_quality, rendezvous, simhash
+from mailposture.llm import compression_bands, language_id, mixing, ordinal_quality, quotation, rendezvous, simhash, string_tiling, toxicity, url_filter
 from mailposture.llm.common import id_remainder, table
 
 SHARDS = 24
@@ -28,6 +28,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendezvous.assign(rows, "doc_id", [1.0] * SHARDS, ["text_crc32", "size"], [1.0] * (SHARDS + 1))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they hold."""
+    return string_tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learned where crc32(doc_id) mod 3 is not 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -37,18 +42,62 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(rows, model).drop("text")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned where crc32(doc_id) mod 4 is not 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = id_remainder("doc_id", 4)
+    labels = table(spark, sf_dir, "labels").filter(fold != 2)
+    model = toxicity.learn(toxicity.sampled(docs, labels))
+    rows = docs.select("doc_id", "text", F.coalesce(fold == 2, F.lit(False)).alias("held_out"))
+    return toxicity.score(rows, model).drop("text")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
     prints = simhash.fingerprints(table(spark, sf_dir, "documents"), words=4)
     return simhash.groups(prints, radius=4).select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, compression ratios and verdicts of all documents."""
+    return compression_bands.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents with weights 1, 2, 3 over the sources."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages with the message they reply to, their place in reply order, and their text without quotes."""
+    return quotation.conversations(table(spark, sf_dir, "conversations")).drop("text")
+
+
+# The rules of the query.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+#: Hosts whose pages make up the query's list.
+LISTED_HOSTS = r"(^|\.)(spam-farm|ads-track)\."
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages; the list holds the canonical URLs of advertising and spam hosts among them."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.filter(url_filter.host().rlike(LISTED_HOSTS)).select(url_filter.canonical().alias("canonical"))
+    return url_filter.judge(pages, listed, URL_RULES).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    found = (op1_quality_classifier, op2_sharding, op4_language_id, op6_simhash, op8_mixing)
+    found = (
+        op1_quality_classifier,
+        op2_sharding,
+        op3_decontamination,
+        op4_language_id,
+        op5_toxicity,
+        op6_simhash,
+        op7_compression_bands,
+        op8_mixing,
+        op9_quotation_linking,
+        op10_url_filter,
+    )
     return {f.__name__: f for f in found}

@@ -38,7 +38,73 @@ FROM hashed h JOIN targets t ON h.source IS NOT DISTINCT FROM t.source
 LEFT JOIN ends e ON h.source IS NOT DISTINCT FROM e.source
 """
 
+OP10_URL_FILTER = r"""
+WITH split AS (
+  SELECT page_id, url,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+canon AS (
+  SELECT *, list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
+                      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid|source)='))) AS params
+  FROM split),
+keyed AS (
+  SELECT *, regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') ||
+            regexp_replace(path, '(/|/?index\.html?|\.html?)$', '') ||
+            CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical
+  FROM canon),
+listed AS (SELECT DISTINCT canonical FROM keyed WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|\.)(spam-farm|ads-track)\.')),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM keyed)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+OP9_QUOTATION_LINKING = r"""
+WITH RECURSIVE lines AS (
+  SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL),
+marked AS (
+  SELECT conv_id, turn, len(regexp_replace(regexp_extract(line, '^\s*((?:>\s?)+)', 1), '[^>]', '', 'g')) AS level,
+         trim(regexp_replace(lower(regexp_replace(line, '^\s*((?:>\s?)+)', '')), '\s+', ' ', 'g')) AS norm
+  FROM lines),
+sources AS (
+  SELECT q.conv_id, q.turn, q.level, q.norm, max(o.turn) AS source
+  FROM (SELECT DISTINCT * FROM marked WHERE level > 0 AND norm <> '') q
+  JOIN (SELECT DISTINCT * FROM marked WHERE level = 0 AND norm <> '') o ON q.conv_id = o.conv_id AND q.norm = o.norm AND o.turn < q.turn
+  GROUP BY ALL),
+votes AS (
+  SELECT m.conv_id, m.turn, m.level, s.source, count(*) AS n
+  FROM marked m JOIN sources s USING (conv_id, turn, level, norm) GROUP BY ALL),
+parents AS (SELECT conv_id, turn, arg_max(source, (-level, n, source)) AS reply_to FROM votes GROUP BY ALL),
+walk AS (
+  SELECT conv_id, turn, reply_to, reply_to AS thread_root, 1::BIGINT AS depth FROM parents
+  UNION ALL
+  SELECT w.conv_id, w.turn, w.reply_to, p.reply_to, w.depth + 1
+  FROM walk w JOIN parents p ON w.conv_id = p.conv_id AND w.thread_root = p.turn),
+placed AS (SELECT conv_id, turn, reply_to, arg_max(thread_root, depth) AS thread_root, max(depth) AS depth FROM walk GROUP BY ALL),
+listed AS (
+  SELECT *, string_split(text, chr(10)) AS ls FROM conversations),
+cleaned AS (
+  SELECT *, coalesce(len(list_filter(ls, lambda x: regexp_matches(x, '^\s*>'))), 0)::BIGINT AS quoted_lines,
+         CASE WHEN len(list_filter(ls, lambda x: regexp_matches(x, '^\s*>'))) > 0 THEN
+           trim(array_to_string(list_filter(ls, lambda x, i: NOT regexp_matches(x, '^\s*>') AND NOT (
+             regexp_matches(x, '(?i)^(on|am|le|el)\b.*\b(wrote|schrieb|écrit|escribió)\b.*:\s*$') AND regexp_matches(coalesce(ls[i + 1], ''), '^\s*>'))), chr(10)))
+         ELSE text END AS clean_text
+  FROM listed)
+SELECT c.conv_id, c.turn, c.role, p.reply_to, coalesce(p.thread_root, c.turn) AS thread_root, coalesce(p.depth, 0)::BIGINT AS depth,
+       c.quoted_lines, c.clean_text, '<|' || coalesce(c.role, 'unknown') || '|>' || chr(10) || coalesce(c.clean_text, '') || chr(10) || '<|end|>' AS chat
+FROM cleaned c LEFT JOIN placed p ON c.conv_id = p.conv_id AND c.turn = p.turn
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op8_mixing": OP8_MIXING}
+    return {"op8_mixing": OP8_MIXING, "op9_quotation_linking": OP9_QUOTATION_LINKING, "op10_url_filter": OP10_URL_FILTER}
