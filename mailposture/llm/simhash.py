@@ -237,7 +237,7 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
             rest = held.slice(stop)
             if stop:
                 part = held.slice(0, stop).combine_chunks()
-                fps = np.concatenate([c.values.to_numpy() if c.offset == 0 else c.flatten().to_numpy() for c in part.column("fp").chunks]).view(np.uint64).reshape(-1, lanes)
+                fps = np.concatenate([c.flatten().to_numpy() for c in part.column("fp").chunks]).view(np.uint64).reshape(-1, lanes)
                 node, unit = part.column("node").to_numpy(), unit[:stop]
                 side = np.where(part.column("mixed").to_numpy(), part.column("own").to_numpy(), np.arange(stop) + (1 << 33))
                 root = forest(close_pairs(fps, unit, radius, side), stop)
