@@ -53,13 +53,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     One text in five is held back from the descent, to fit the temperature.
     """
     rows = docs.filter(F.col(key).isNotNull()).select(key, text, lang)
-    sample = bounded_sample(rows, key, lang, per_language).mapInArrow(_features, "key string, lang string, at array<int>, share array<float>").toPandas()
-    sample = sample[sample["at"].map(len) > 0].sort_values("key", kind="stable")
-    languages = sorted(set(sample["lang"]))
+    sample = bounded_sample(rows, key, lang, per_language).mapInArrow(_features, "key string, lang string, at binary, share binary").collect()
+    sample = sorted((r for r in sample if r["at"]), key=lambda r: (r["key"], r["lang"], r["at"]))
+    languages = sorted({r["lang"] for r in sample})
     if not languages:
         return LanguageModel([], np.zeros((1 << BITS, 1)), np.zeros(1), 1.0)
-    y = np.searchsorted(languages, sample["lang"].to_numpy())
-    at, share = [np.asarray(x) for x in sample["at"]], [np.asarray(x, np.float64) for x in sample["share"]]
+    y = np.searchsorted(languages, [r["lang"] for r in sample])
+    at, share = [np.frombuffer(r["at"], np.int32) for r in sample], [np.frombuffer(r["share"], np.float32) for r in sample]
     rng = np.random.default_rng(seed)
     embed = rng.uniform(-1, 1, (1 << BITS, DIMENSION)) / DIMENSION
     soft, bias = np.zeros((DIMENSION, len(languages))), np.zeros(len(languages))
@@ -100,7 +100,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts = [gram_counts(t.encode() if t else b"", SIZES, BITS) for t in pc.utf8_lower(batch.column(1)).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [pc.cast(batch.column(0), pa.string()), batch.column(2), pa.array([c[0] for c in counts], pa.list_(pa.int32())), pa.array([c[1] for c in counts], pa.list_(pa.float32()))],
+            [pc.cast(batch.column(0), pa.string()), batch.column(2), pa.array([c[0].tobytes() for c in counts], pa.binary()), pa.array([c[1].tobytes() for c in counts], pa.binary())],
             ["key", "lang", "at", "share"],
         )
 

@@ -77,18 +77,18 @@ def fit(ratings: DataFrame, text: str = "text", grade: str = "grade", key: str =
     stochastic gradient steps with AdaGrad on the cumulative-link likelihood, each grade weighing the same.
     """
     sample = bounded_sample(ratings.select(key, text, grade), key, grade, per_grade)
-    rows = sample.mapInArrow(_features, "grade int, at array<int>, share array<float>, shape array<int>").toPandas()
-    grades = sorted(set(rows["grade"]))
+    rows = sample.mapInArrow(_features, "grade int, at binary, share binary, shape binary").collect()
+    grades = sorted({r["grade"] for r in rows})
     runs, shape = np.zeros(1 << BITS), np.zeros((SHAPES, SHAPE_LEVELS))
     if len(grades) < 2:
         return OrdinalModel(runs, shape, np.full(1, -30.0))
-    y = np.searchsorted(grades, rows["grade"].to_numpy())
+    y = np.searchsorted(grades, [r["grade"] for r in rows])
     weight = len(y) / len(grades) / np.bincount(y)[y]
     cuts = np.arange(1, len(grades)) - len(grades) / 2.0
     gap = np.concatenate([cuts[:1], np.log(np.diff(cuts))])  # cut j is gap 0 plus exponentials: always in order
     sums = [np.full(x.shape, 1e-2) for x in (runs, shape, gap)]
-    at, share = [np.asarray(x) for x in rows["at"]], [np.asarray(x, np.float64) * SCALE for x in rows["share"]]
-    levels, axis = np.stack(rows["shape"].to_numpy()), np.arange(SHAPES)
+    at, share = [np.frombuffer(r["at"], np.int32) for r in rows], [np.frombuffer(r["share"], np.float32) * np.float32(SCALE) for r in rows]
+    levels, axis = np.stack([np.frombuffer(r["shape"], np.int32) for r in rows]), np.arange(SHAPES)
     order = np.random.default_rng(seed)
     # A fixed order of the rows whatever the partitions: by grade and content.
     content = np.array([float(a @ np.arange(1, len(a) + 1) % 1e9) + float(s.sum()) for a, s in zip(at, share, strict=True)])
@@ -129,9 +129,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pc.cast(batch.column(2), pa.int32()),
-                pa.array([c[0] for c in counts], pa.list_(pa.int32())),
-                pa.array([c[1] for c in counts], pa.list_(pa.float32())),
-                pa.array(list(shape_levels(texts).astype(np.int32)), pa.list_(pa.int32())),
+                pa.array([c[0].tobytes() for c in counts], pa.binary()),
+                pa.array([c[1].tobytes() for c in counts], pa.binary()),
+                pa.array([x.tobytes() for x in shape_levels(texts).astype(np.int32)], pa.binary()),
             ],
             ["grade", "at", "share", "shape"],
         )
