@@ -321,14 +321,15 @@ CHARSETS = {"utf-8": "UTF-8", "utf8": "UTF-8", "shift_jis": "windows-31j", "shif
 def decode_page(body: Column, header: Column) -> Column:
     """F-T14: page bytes as text by the header's charset, the page's own, or UTF-8 if valid, else windows-31j.
 
-    Charsets other than UTF, ISO and ASCII need spark.sql.legacy.javaCharsets=true.
+    Charsets other than UTF, ISO and ASCII need spark.sql.legacy.javaCharsets, and pages with bytes that do not fit
+    theirs need spark.sql.legacy.codingErrorAction (which puts a mark in place of such bytes).
     """
     names = F.create_map(*[F.lit(x) for pair in CHARSETS.items() for x in pair])
     head = F.decode(F.substring(body, 1, 8192), "ISO-8859-1")
     declared = F.coalesce(names[F.lower(strip(header))], names[F.lower(F.regexp_extract(head, r"(?i)<meta[^>]+charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", 1))])
-    guessed = F.when(F.is_valid_utf8(F.decode(body, "UTF-8")) & ~F.contains(F.decode(body, "UTF-8"), F.lit("�")), "UTF-8").otherwise("windows-31j")
-    charset = F.coalesce(declared, guessed)
-    out = F.lit(None).cast("string")
-    for name in sorted(set(CHARSETS.values())):
+    text = body.cast("string")
+    charset = F.coalesce(declared, F.when(F.is_valid_utf8(text), "UTF-8").otherwise("windows-31j"))
+    out = F.make_valid_utf8(text)
+    for name in sorted(set(CHARSETS.values()) - {"UTF-8"}):
         out = F.when(charset == name, F.decode(body, name)).otherwise(out)
     return out

@@ -380,7 +380,7 @@ def monthly_delta(cur: DataFrame, prev: DataFrame, prev2: DataFrame | None = Non
         (both & (rank(has) < rank(had))).alias("downgraded"),
         (both & records & yes(F.col("c_has_rua")) & ~yes(F.col("p_has_rua"))).alias("rua_added"),
         (both & records & yes(F.col("p_has_rua")) & ~yes(F.col("c_has_rua"))).alias("rua_removed"),
-        ((yes(F.col("q_observed")) if prev2 is not None else F.lit(None).cast("boolean")) & gone("p") & gone("c")).alias("disappeared"),
+        (F.lit(None).cast("boolean") if prev2 is None else yes(F.col("q_observed")) & gone("p") & gone("c")).alias("disappeared"),
     )
 
 

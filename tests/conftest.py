@@ -22,7 +22,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.legacy.javaCharsets", "true")
-        .config("spark.sql.codegen.wholeStage", "true")
+        .config("spark.sql.legacy.codingErrorAction", "true")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
