@@ -158,7 +158,7 @@ def acceptance(df: DataFrame, checks: dict[str, tuple[Column, float | None, floa
     """(check, value, low, high, passed) of named aggregate columns against their bounds."""
     names = list(checks)
     one = df.agg(*[checks[c][0].cast("double").alias(c) for c in names]).unpivot([], names, "check", "value")
-    bounds = one.sparkSession.createDataFrame([(c, checks[c][1], checks[c][2]) for c in names], "check string, low double, high double")
+    bounds = one.sparkSession.createDataFrame([(c, *[None if x is None else float(x) for x in checks[c][1:]]) for c in names], "check string, low double, high double")
     inside = (F.col("low").isNull() | (F.col("value") >= F.col("low"))) & (F.col("high").isNull() | (F.col("value") <= F.col("high")))
     return one.join(bounds, "check").withColumn("passed", F.coalesce(inside, F.lit(False)))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailposture.functions.records import answer_state
+
 #: Schema of a raw answer; ``data`` is read as text, since it holds a string or an array of strings.
 RAW = (
     "schema_version string, run_id string, ts timestamp, domain string, query_name string, query_type string, purpose string, resolver string, "
@@ -29,9 +31,10 @@ def read_bronze(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     comes from the folder name.
     """
     rows = spark.read.schema(f"{RAW}, _corrupt_record string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("basePath", root).json(f"{root}/method=*")
-    rows = rows.withColumn("_file", F.input_file_name())
-    good = rows.filter("_corrupt_record is null").drop("_corrupt_record", "_file")
-    return typed_answers(good), rows.filter("_corrupt_record is not null").select("_file", "_corrupt_record")
+    # The reader wants another column beside the corrupt text to be read as well.
+    torn = F.col("_corrupt_record").isNotNull() & (F.coalesce(F.length("domain"), F.lit(0)) >= 0)
+    good = rows.filter(~torn).drop("_corrupt_record")
+    return typed_answers(good), rows.filter(torn).select(F.input_file_name().alias("file"), F.col("_corrupt_record").alias("line"), "domain")
 
 
 def append_bronze(df: DataFrame, root: str) -> None:
@@ -44,8 +47,6 @@ def to_raw(df: DataFrame, run_id: str, tool: str, version: str) -> DataFrame:
 
     TXT strings stay apart as they came. Whether a record is there is NULL where the question failed.
     """
-    from mailposture.functions.records import answer_state
-
     answers = F.transform(F.coalesce("values", F.array().cast("array<array<string>>")), lambda v: F.struct(F.col("query_type").alias("type"), F.col("ttl").cast("int").alias("ttl"), v.alias("data")))
     state = answer_state(F.col("rcode"), answers)
     fixed = {"schema_version": F.lit("1"), "run_id": F.lit(run_id), "tool": F.lit(tool), "tool_version": F.lit(version)}
