@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mailposture.functions import classify as C
 from mailposture.functions.classify import yes
 from mailposture.functions.names import hash_id
+from mailposture.session import cut
 
 VERIFICATION = "verification_txt"
 DEFAULT_CATEGORY = "esp"
@@ -161,9 +162,13 @@ def sentinels(facts: DataFrame, inferences: DataFrame, keys: list[str]) -> DataF
 
 
 def infer(facts: DataFrame, rules: DataFrame, keys: list[str], prev: DataFrame | None = None) -> DataFrame:
-    """The whole step: match, corroborate, fold, streak, primary, and the sentinel rows, with hashed ids."""
+    """The whole step: match, corroborate, fold, streak, primary, and the sentinel rows, with hashed ids.
+
+    The folded rows are cut off in the checkpoint folder, since the sentinels look at them again; ``facts`` should be
+    a stored table, it is read for values, for corroboration and for the sentinels.
+    """
     hits = corroborate(match_rules(facts, rules, keys), facts, keys)
-    rows = mark_primary(stale_streak(drafts(hits, rules, keys), prev, keys), keys)
+    rows = cut(mark_primary(stale_streak(drafts(hits, rules, keys), prev, keys), keys))
     out = rows.unionByName(sentinels(facts, rows, keys), allowMissingColumns=True)
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in [*keys, "category", "layer", "vendor"]]
     return out.withColumn("inference_id", hash_id("i", *parts))

@@ -9,6 +9,7 @@ from mailposture.functions import records as R
 from mailposture.functions.classify import park_class
 from mailposture.operators import facts as facts_ops
 from mailposture.operators import stats
+from mailposture.session import cut
 
 # Record strings of one domain for each customer; {m} stands for the month's shift of the DMARC branch.
 DNS = """
@@ -96,6 +97,11 @@ def facts(spark: SparkSession, sf_dir: str, month: int = 1) -> DataFrame:
     return out.select([c for c in out.columns if not c.startswith("_")])
 
 
+def stored_facts(spark: SparkSession, sf_dir: str, month: int = 1) -> DataFrame:
+    """Facts as inference finds them: written once, then read."""
+    return cut(facts(spark, sf_dir, month))
+
+
 def domain_rows(spark: SparkSession, sf_dir: str, month: int = 1) -> DataFrame:
     """Rows that the metric table reads."""
     return stats.derive_domain_row(facts(spark, sf_dir, month))
@@ -122,7 +128,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("observed"), F.coalesce("q.answers", F.array().cast("array<struct<type:string,ttl:int,data:array<string>>>"))).alias("answers"),
         F.array().cast("array<string>").alias("cname_chain"),
         F.struct(F.lit(True).alias("do"), F.lit(False).alias("ad"), F.lit(False).alias("rrsig_present")).alias("dnssec"),
-    ).distinct()
+    )
 
 
 RULES = [

@@ -121,13 +121,13 @@ def rule_match_all_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def inferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J5, F-C4 to F-C7, W1 to W4: inferred vendors with confidence, layer, primary flag and sentinels."""
-    rows = rules_ops.infer(fixture.facts(spark, sf_dir), _rules(spark), ["k"])
+    rows = rules_ops.infer(fixture.stored_facts(spark, sf_dir), _rules(spark), ["k"])
     return rows.select("k", "category", "layer", "vendor", "product", "confidence", "engine", "undetectable_reason", "is_layer_primary", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
 def _using(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["k", "population_id", "entity_id", "domain_id"]
-    rows = rules_ops.infer(fixture.facts(spark, sf_dir), _rules(spark), keys)
+    rows = rules_ops.infer(fixture.stored_facts(spark, sf_dir), _rules(spark), keys)
     types = F.coalesce(F.transform("evidence", lambda e: e["record_type"]), R.no_strings())
     rows = rows.withColumns({"layer": effective_layer(F.col("layer"), F.col("category"), types), "receiving": F.array_contains(types, "MX")})
     return rows.filter(counts_as_using(F.col("vendor"), F.col("undetectable_reason"), F.col("is_layer_primary"), F.col("layer")))
@@ -142,7 +142,7 @@ def platform_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def vendor_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that count for each gateway vendor."""
-    return stats.vendor_share(rules_ops.infer(fixture.facts(spark, sf_dir), _rules(spark), ["k"]), "security_gateway")
+    return stats.vendor_share(rules_ops.infer(fixture.stored_facts(spark, sf_dir), _rules(spark), ["k"]), "security_gateway")
 
 
 @query
