@@ -21,6 +21,8 @@ from mailposture.llm.common import cut
 HASH_BITS, LEVEL_BITS = 48, 12
 #: No source, and no document, is taken more often than this.
 MOST_REPEATS = 3
+#: A table of sources up to this size is broadcast; beyond it the documents of one source are dealt over SALTS parts.
+BROADCAST_SOURCES, SALTS = 20_000, 32
 
 
 def word_count(text: str = "text") -> Column:
@@ -63,6 +65,16 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3)) ->
     return rows.select("source", "source_size", target.alias("target"))
 
 
+def with_source(docs: DataFrame, sources: DataFrame, source: str = "source", hashed: str = "hash") -> DataFrame:
+    """Join documents to a table with one row (_s, ...) a source: by broadcast after a look at the table's size, or
+    with the documents of a hot source dealt over SALTS parts."""
+    if sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+        return docs.join(F.broadcast(sources), F.col(source).eqNullSafe(F.col("_s")))
+    dealt = docs.withColumn("_salt", F.pmod(F.col(hashed), F.lit(SALTS)).cast("int"))
+    copies = sources.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, F.col(source).eqNullSafe(F.col("_s")) & (F.col("_salt") == F.col("_part"))).drop("_salt", "_part")
+
+
 def thresholds(hashed: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, copies, threshold): every document is taken ``copies`` times, and once more if hash < threshold."""
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -72,7 +84,7 @@ def thresholds(hashed: DataFrame, targets: DataFrame) -> DataFrame:
     for level in range(HASH_BITS // LEVEL_BITS):
         shift = HASH_BITS - LEVEL_BITS * (level + 1)
         # Only documents in a source's boundary bucket are looked at: all at first, then ever fewer.
-        inside = hashed.join(found.select(F.col("source").alias("s"), "lower"), F.col("source").eqNullSafe(F.col("s")))
+        inside = with_source(hashed, found.select(F.col("source").alias("_s"), "lower"))
         inside = inside.filter(F.shiftright("hash", shift + LEVEL_BITS) == F.shiftright("lower", shift + LEVEL_BITS))
         sums = inside.groupBy("source", F.shiftright("hash", shift).alias("bucket")).agg(F.sum("size").alias("held"))
         upto = F.sum("held").over(Window.partitionBy("source").orderBy("bucket"))  # 2**LEVEL_BITS rows a source at most
@@ -101,22 +113,22 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), key: str = "doc
     hashed = cut(docs.select(F.col(key), F.col(source).alias("source"), word_count(text).alias("size"), document_hash(key).alias("hash")))
     targets = cut(source_targets(hashed.groupBy("source").agg(F.sum("size").alias("source_size")), weights))
     plan = thresholds(hashed, targets).alias("p").join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")))
-    plan = plan.select(F.col("t.source").alias("s"), "source_size", "target", "copies", "threshold")
+    plan = plan.select(F.col("t.source").alias("_s"), "source_size", "target", "copies", "threshold")
     times = F.col("copies") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)
     taken = F.col("size") * F.least(times, F.lit(MOST_REPEATS))
-    return hashed.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(key, "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return with_source(hashed, plan).select(key, "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def repeat(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), source: str = "source", text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them; only the thresholds are joined, no text is shuffled.
+    """The rows of ``docs`` as often as the mix takes them.
 
     Documents of size 0 have no words to take and stay once.
     """
     sized = docs.withColumns({"_size": word_count(text), "_hash": document_hash(key)})
     hashed = cut(sized.select(F.col(source).alias("source"), F.col("_size").alias("size"), F.col("_hash").alias("hash")))
     targets = cut(source_targets(hashed.groupBy("source").agg(F.sum("size").alias("source_size")), weights))
-    plan = thresholds(hashed, targets).select(F.col("source").alias("_s"), "copies", "threshold")
-    times = F.col("copies") + F.when(F.col("_hash") < F.col("threshold"), 1).otherwise(0)
+    plan = thresholds(hashed, targets).select(F.col("source").alias("_s"), F.col("copies").alias("_copies"), F.col("threshold").alias("_threshold"))
+    times = F.col("_copies") + F.when(F.col("_hash") < F.col("_threshold"), 1).otherwise(0)
     times = F.when(F.col("_size") == 0, 1).otherwise(F.least(times, F.lit(MOST_REPEATS)).cast("int"))
-    taken = sized.join(plan, F.col(source).eqNullSafe(F.col("_s"))).withColumn("_times", times).filter("_times > 0")
+    taken = with_source(sized, plan, source, "_hash").withColumn("_times", times).filter("_times > 0")
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
