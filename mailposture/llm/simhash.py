@@ -38,6 +38,8 @@ from mailposture.llm.components import components
 SEED = 42
 #: Shingles hashed at a time; fingerprints of a key in one tile; pairs of (query, block of 64) compared at a time.
 STEP, TILE, PAIRS = 1 << 15, 2048, 1 << 14
+#: Fingerprints that are spread over their keys at a time.
+KEYED_ROWS = 2000
 #: Mean number of fingerprints of one key that is aimed at.
 OCCUPANCY = 1024
 
@@ -114,17 +116,22 @@ def sampled_keys(bits: int, radius: int, rows: int, miss: float, near: float, se
     return [sorted(rng.choice(bits, min(width, bits), replace=False).tolist()) for _ in range(n)]
 
 
-def key_column(fp: Column, positions: list[int]) -> Column:
-    """The bits at ``positions`` (at most 63) packed into one long: runs of neighbours move together."""
-    out, at = F.lit(0).cast("long"), 0
-    for _, run in itertools.groupby(enumerate(positions), lambda x: x[1] - x[0] if x[1] % 64 else (x[1], x[0])):
-        run = [p for _, p in run]
-        lane, low, width = run[0] // 64, run[0] % 64, len(run)
-        piece = F.shiftrightunsigned(F.get(fp, lane), low).bitwiseAND(F.lit((1 << width) - 1))
-        out, at = out.bitwiseOR(F.shiftleft(piece, at)), at + width
+def key_values(fps: np.ndarray, keys: list[list[int]]) -> np.ndarray:
+    """For each row of fingerprints and each key: the number of the key and its bits, mixed into one 64-bit value."""
+    out = np.empty((len(fps), len(keys)), np.uint64)
+    for t, positions in enumerate(keys):
+        bits = np.zeros(len(fps), np.uint64)
+        for p in positions:
+            bits = (bits << np.uint64(1)) | (fps[:, p // 64] >> np.uint64(p % 64)) & np.uint64(1)
+        out[:, t] = mix(bits + np.uint64((t + 1) * int(GOLDEN) % (1 << 64)))
     return out
 
 
+def fingerprint_rows(column: pa.ChunkedArray, lanes: int) -> np.ndarray:
+    """A column of fingerprints as a numpy table of words."""
+    return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).view(np.uint64).reshape(-1, lanes)
+
+
 # ---------------------------------------------------------------- bit-sliced comparison
 
 
@@ -211,8 +218,16 @@ def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray
 
 def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, tile: int = TILE) -> DataFrame:
     """(a, b): links between the nodes of ``folded`` (node, fp), enough to connect what is within the radius."""
-    keyed = folded.select("node", "fp", F.posexplode(F.array(*[key_column(F.col("fp"), k) for k in keys])).alias("t", "k"))
-    keyed = keyed.withColumn("k", F.xxhash64("t", "k")).drop("t")
+
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = pa.Table.from_batches([batch])
+            for part in (held.slice(i, KEYED_ROWS) for i in range(0, held.num_rows, KEYED_ROWS)):
+                values = key_values(fingerprint_rows(part.column("fp"), lanes), keys).view(np.int64)
+                rows = part.combine_chunks().take(np.repeat(np.arange(part.num_rows), len(keys)))
+                yield from rows.append_column("k", pa.array(values.ravel())).to_batches()
+
+    keyed = folded.select("node", "fp").mapInArrow(keys_of, "node bigint, fp array<bigint>, k bigint")
     # How many tiles a key has; keys of one fingerprint need no comparison at all.
     sizes = keyed.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1")
     tiled = keyed.join(sizes.select("k", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "k")
@@ -237,7 +252,7 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
             rest = held.slice(stop)
             if stop:
                 part = held.slice(0, stop).combine_chunks()
-                fps = np.concatenate([c.flatten().to_numpy() for c in part.column("fp").chunks]).view(np.uint64).reshape(-1, lanes)
+                fps = fingerprint_rows(part.column("fp"), lanes)
                 node, unit = part.column("node").to_numpy(), unit[:stop]
                 side = np.where(part.column("mixed").to_numpy(), part.column("own").to_numpy(), np.arange(stop) + (1 << 33))
                 root = forest(close_pairs(fps, unit, radius, side), stop)
