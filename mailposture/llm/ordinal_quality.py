@@ -3,7 +3,7 @@
 All grades share one vector of hashed-text weights; K ordered thresholds part the K + 1 grades:
 P(grade >= j | text) = sigmoid(w . x(text) - t_j) with t_1 < ... < t_K. From these come the expected grade and the
 tail probability that a selection uses. x(text) is the mean over all byte runs of three and four bytes of the whole
-text, hashed into 2**BITS buckets, plus one-hot shape tokens (length, compression, capitals, symbols, spaces).
+text, hashed into 2**BITS buckets and bounded as a sum, plus one-hot shape tokens (length, compression, capitals, symbols, spaces).
 
 Nulls and empty texts are scored as a text without runs, that is by the shape tokens alone. Rows with a null id or
 null grade are scored but never learned from. Repeated rows get equal scores. With no ratings at all every tail
@@ -28,6 +28,8 @@ from mailposture.llm.common import bounded_sample, byte_view, gram_counts, gram_
 BITS, SIZES = 15, (3, 4)
 #: Mean shares are small; this brings them to the scale of the one-hot tokens.
 SCALE = 40.0
+#: Bound on what the runs of a text say together, so that a few runs that fill a text cannot drown its shape.
+RUNS_BOUND = 4.0
 #: Bound on learned rows of each grade.
 SAMPLE_PER_GRADE = 900
 #: One-hot shape tokens: five features of SHAPE_LEVELS levels each.
@@ -44,7 +46,7 @@ class OrdinalModel:
 
     def tails(self, texts: pa.Array) -> np.ndarray:
         """P(grade >= j) for j = 1..K, a row for each text."""
-        x = gram_means(texts, self.runs[:, None], SIZES, BITS)[:, 0] * SCALE
+        x = RUNS_BOUND * np.tanh(gram_means(texts, self.runs[:, None], SIZES, BITS)[:, 0] * SCALE / RUNS_BOUND)
         for k, level in enumerate(shape_levels(texts).T):
             x = x + self.shape[k, level]
         return sigmoid(x[:, None] - self.thresholds[None, :])
@@ -97,7 +99,8 @@ def fit(ratings: DataFrame, text: str = "text", grade: str = "grade", key: str =
         step = 0.5 / (1 + 0.1 * epoch)
         for i in base[order.permutation(len(base))]:
             cuts = np.cumsum(np.concatenate([gap[:1], np.exp(gap[1:])]))
-            x = runs[at[i]] @ share[i] + shape[axis, levels[i]].sum()
+            bent = np.tanh(runs[at[i]] @ share[i] / RUNS_BOUND)
+            x = RUNS_BOUND * bent + shape[axis, levels[i]].sum()
             # Bounds of the grade's interval on the line, and the likelihood's slope there.
             hi = sigmoid(x - cuts[y[i] - 1]) if y[i] > 0 else 1.0
             lo = sigmoid(x - cuts[y[i]]) if y[i] < len(cuts) else 0.0
@@ -110,7 +113,7 @@ def fit(ratings: DataFrame, text: str = "text", grade: str = "grade", key: str =
             if y[i] < len(cuts):
                 dcut[y[i]] += weight[i] * dlo
             dgap = np.cumsum(dcut[::-1])[::-1] * np.concatenate([[1.0], np.exp(gap[1:])])
-            g = slope * share[i] - 1e-5 * runs[at[i]]
+            g = slope * (1 - bent * bent) * share[i] - 1e-5 * runs[at[i]]
             sums[0][at[i]] += g * g
             runs[at[i]] += step * g / np.sqrt(sums[0][at[i]])
             gs = slope - 1e-3 * shape[axis, levels[i]]
