@@ -1,9 +1,8 @@
-"""Helpers shared by the text operators: byte views of Arrow columns, rolling hashes, samples, checkpoints."""
+"""Helpers shared by the text operators: byte views of Arrow columns, rolling hashes, samples."""
 
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailposture.session import cut, ensure_checkpoint_dir  # noqa: F401  for the operators beside this module
+
 #: Multipliers of the 64-bit mixing steps (SplitMix64 finaliser).
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
@@ -20,19 +21,6 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 WINDOW = 1 << 19
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is named."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="checkpoint-"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut: written to the shared checkpoint folder, read from there afterwards."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
