@@ -256,7 +256,7 @@ def monthly_delta_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def transition_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Moves of each user's last event type between two halves of the year, as policy states."""
+    """Moves of the derived domains between policy states from the first month to the second."""
     first, second, _ = _months(spark, sf_dir)
     return stats.transition_matrix(stats.monthly_delta(second, first))
 
