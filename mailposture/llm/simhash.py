@@ -38,8 +38,8 @@ from mailposture.llm.components import components
 SEED = 42
 #: Shingles hashed at a time; fingerprints of a key in one tile; pairs of (query, block of 64) compared at a time.
 STEP, TILE, PAIRS = 1 << 15, 2048, 1 << 14
-#: Fingerprints that are spread over their keys at a time.
-KEYED_ROWS = 2000
+#: Fingerprints that are spread over their keys at a time, and the most hot keys that are broadcast.
+KEYED_ROWS, HOT_KEYS = 2000, 50_000
 #: Mean number of fingerprints of one key that is aimed at.
 OCCUPANCY = 1024
 
@@ -228,14 +228,17 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
                 yield from rows.append_column("k", pa.array(values.ravel())).to_batches()
 
     keyed = folded.select("node", "fp").mapInArrow(keys_of, "node bigint, fp array<bigint>, k bigint")
-    # How many tiles a key has; keys of one fingerprint need no comparison at all.
-    sizes = keyed.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1")
-    tiled = keyed.join(sizes.select("k", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "k")
-    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    tiled = tiled.withColumn("own", own)
-    # A tile pair (low, high) is a task's unit: own tile with every tile, itself included.
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("lo"), F.greatest(o, F.col("own")).alias("hi"))))
-    units = tiled.select("node", "fp", "own", "k", pair.alias("p")).select("node", "fp", "own", F.xxhash64("k", "p.lo", "p.hi").alias("u"), (F.col("p.lo") != F.col("p.hi")).alias("mixed"))
+    # Only keys with more than a tile of fingerprints need dealing; there are few, if any.
+    hot = cut(keyed.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > tile).select("k", F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
+    few = hot.limit(HOT_KEYS + 1).count()
+    if few == 0:
+        units = keyed.select("node", "fp", F.lit(0).alias("own"), F.col("k").alias("u"), F.lit(False).alias("mixed"))
+    else:
+        tiled = keyed.join(F.broadcast(hot) if few <= HOT_KEYS else hot, "k", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+        tiled = tiled.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+        # A tile pair (low, high) is a task's unit: own tile with every tile, itself included.
+        pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("lo"), F.greatest(o, F.col("own")).alias("hi"))))
+        units = tiled.select("node", "fp", "own", "k", pair.alias("p")).select("node", "fp", "own", F.xxhash64("k", "p.lo", "p.hi").alias("u"), (F.col("p.lo") != F.col("p.hi")).alias("mixed"))
     dealt = units.repartition("u").sortWithinPartitions("u", "node")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
