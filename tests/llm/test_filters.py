@@ -127,6 +127,21 @@ def test_bands(spark):
         compression_bands.judge(spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept", F.lit(1)))
 
 
+def test_bands_decide_beyond_the_base_rules(spark, small):
+    """Good texts stay; symbols behind the words, or spaced base64, go by their ratio in every class."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    good = spark.read.parquet(f"{small}/documents.parquet").join(spark.read.parquet(f"{small}/labels.parquet").filter("quality = 1"), "doc_id").select("doc_id", "text")
+    out = compression_bands.judge(good).filter("not base_failed and compression_ratio is not null").collect()
+    assert len(out) > 30 and all(r.kept for r in out)
+    odd = []
+    for size in (700, 1500, 5000, 20_000, 80_000):
+        odd.append((size, "".join(rng.choice(letters) if i % 7 else " " for i in range(size))))
+        odd.append((-size, " ".join("".join(rng.choice(letters[:12]) for _ in range(rng.randint(2, 9))) + rng.choice(["###", "***", "&&&"]) * 2 for _ in range(size // 12))))
+    for r in compression_bands.judge(spark.createDataFrame(odd, "doc_id long, text string")).collect():
+        assert not r.base_failed and not r.kept, (r.doc_id, r.compression_ratio, r.odd_chunks)
+
+
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 URLS = [
     ("http://a.example.net/en/1", "allow", "example.net/en/"),
