@@ -6,8 +6,11 @@ their fingerprints differ in at most ``radius`` bits; a group is what links reac
 Equal fingerprints are folded to one row first, so copies never meet one another. Candidates share a key made of some
 bits of the fingerprint. With a small radius the keys are complete: the bits are parted into blocks, two fingerprints
 within the radius agree in at least ``agree`` blocks, and every choice of ``agree`` blocks is a key, so that no link
-is lost. With a large radius (wide fingerprints) keys are random choices of bits, as many as it takes to miss less
-than a given share of the pairs at the radius.
+is lost. With a large radius (wide fingerprints) keys are random choices of bits, whose width follows the number of
+fingerprints; they miss a part of the pairs near the radius that grows with the table. So there is a second way that
+does not depend on the table: MinHash bands of the same shingles (``BANDS`` keys of ``BAND_ROWS`` minima each), which
+miss a pair of Jaccard similarity 0.8 with probability 3e-5 and one of 0.68, where the mean pair lies at radius 51 of
+256, with 0.008. Neither way is complete: pairs that only repeated shingles make alike have the random keys alone.
 
 Fingerprints that share a key are compared bit-sliced: 64 of them lie vertically in one word for each bit of the
 fingerprint; XOR with a query's bit gives 64 differences at once, carry-save counters add them up, and a block is
@@ -42,15 +45,41 @@ STEP, TILE, PAIRS = 1 << 15, 2048, 1 << 14
 KEYED_ROWS, HOT_KEYS = 2000, 50_000
 #: Mean number of fingerprints of one key that is aimed at.
 OCCUPANCY = 1024
+#: MinHash bands of a text, the minima in each, and shingles that meet all permutations at a time.
+BANDS, BAND_ROWS, MIN_STEP = 20, 4, 1024
 
 
 # ---------------------------------------------------------------- fingerprints
 
 
-def fingerprint(text: str | None, words: int, lanes: int = 1) -> np.ndarray:
+_RANDOM = np.random.default_rng(17).integers(0, 1 << 63, (2, BANDS * BAND_ROWS, 1)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def new_minima() -> np.ndarray:
+    """The minima of no shingles."""
+    return np.full(BANDS * BAND_ROWS, ~np.uint64(0))
+
+
+def add_minima(minima: np.ndarray, h: np.ndarray) -> None:
+    """Lower each minimum to that of its permutation of the hashes."""
+    for i in range(0, len(h), MIN_STEP):
+        np.minimum(minima, ((h[i : i + MIN_STEP] ^ _RANDOM[0]) * _RANDOM[1]).min(axis=1), out=minima)
+
+
+def band_keys(minima: np.ndarray) -> np.ndarray:
+    """One 64-bit key of each band: its number and its minima, mixed."""
+    rows = minima.reshape(BANDS, BAND_ROWS)
+    out = mix(np.arange(1 << 32, (1 << 32) + BANDS, dtype=np.uint64))  # apart from the numbers of other keys
+    for j in range(BAND_ROWS):
+        out = mix(out ^ rows[:, j])
+    return out
+
+
+def fingerprint(text: str | None, words: int, lanes: int = 1, minima: np.ndarray | None = None) -> np.ndarray:
     """``lanes`` 64-bit words: the SimHash of the shingles of ``words`` words of the A-Z lower-cased text.
 
-    The first lane uses XXH64 (seed 42) of the space-joined shingle; further lanes mix that hash anew.
+    The first lane uses XXH64 (seed 42) of the space-joined shingle; further lanes mix that hash anew. ``minima``, if
+    given, are lowered to those of the shingles.
     """
     parts = text.encode("utf-8", "surrogatepass").lower().split() if text else []  # splits at \x20 and \x09-\x0D
     if not parts:
@@ -64,6 +93,8 @@ def fingerprint(text: str | None, words: int, lanes: int = 1) -> np.ndarray:
     for i in range(0, n, STEP):
         spans = zip(starts[i : min(i + STEP, n)].tolist(), last[i : i + STEP].tolist(), strict=True)
         h = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64, min(STEP, n - i))
+        if minima is not None:
+            add_minima(minima, h)
         for lane in range(lanes):
             counts[lane] += bit_counts(h if lane == 0 else mix(h + np.uint64(lane * int(GOLDEN) % (1 << 64))))
     bits = (2 * counts > n).astype(np.uint8)
@@ -80,16 +111,23 @@ def bit_counts(h: np.ndarray) -> np.ndarray:
     return (cells @ _BYTE_BITS).ravel()
 
 
-def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fp): fp is an array of ``lanes`` longs."""
+def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, key: str = "doc_id", text: str = "text", bands: bool = False) -> DataFrame:
+    """(key, fp): fp is an array of ``lanes`` longs. With ``bands`` also the keys of the MinHash bands, as longs."""
+    names = [key, "fp", "bands"] if bands else [key, "fp"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), words, lanes).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], [key, "fp"])
+            found, banded = [], []
+            for t in batch.column(1):
+                minima = new_minima() if bands else None
+                found.append(fingerprint(t.as_py(), words, lanes, minima).view(np.int64))
+                if bands:
+                    banded.append(band_keys(minima).view(np.int64))
+            columns = [pa.array(c, pa.list_(pa.int64())) for c in ([found, banded] if bands else [found])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(hashed, f"`{key}` {kind}, fp array<bigint>")
+    return docs.select(key, text).mapInArrow(hashed, f"`{key}` {kind}, fp array<bigint>{', bands array<bigint>' if bands else ''}")
 
 
 # ---------------------------------------------------------------- candidate keys
@@ -216,18 +254,26 @@ def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray
 # ---------------------------------------------------------------- links and groups
 
 
-def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, tile: int = TILE) -> DataFrame:
-    """(a, b): links between the nodes of ``folded`` (node, fp), enough to connect what is within the radius."""
+def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, tile: int = TILE, more: DataFrame | None = None) -> DataFrame:
+    """(a, b): links between the nodes of ``folded`` (node, fp), enough to connect what is within the radius.
+
+    ``bands`` of ``folded``, if it has them, are keys beside those of the fingerprint; ``more`` (node, fp, k) has others.
+    """
+    banded = "bands" in folded.columns
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = pa.Table.from_batches([batch])
             for part in (held.slice(i, KEYED_ROWS) for i in range(0, held.num_rows, KEYED_ROWS)):
                 values = key_values(fingerprint_rows(part.column("fp"), lanes), keys).view(np.int64)
-                rows = part.combine_chunks().take(np.repeat(np.arange(part.num_rows), len(keys)))
+                if banded:
+                    values = np.concatenate([values, fingerprint_rows(part.column("bands"), BANDS).view(np.int64)], axis=1)
+                rows = part.select(["node", "fp"]).combine_chunks().take(np.repeat(np.arange(part.num_rows), values.shape[1]))
                 yield from rows.append_column("k", pa.array(values.ravel())).to_batches()
 
-    keyed = folded.select("node", "fp").mapInArrow(keys_of, "node bigint, fp array<bigint>, k bigint")
+    keyed = folded.select("node", "fp", *(["bands"] if banded else [])).mapInArrow(keys_of, "node bigint, fp array<bigint>, k bigint")
+    if more is not None:
+        keyed = keyed.unionByName(more)
     # Only keys with more than a tile of fingerprints need dealing; there are few, if any.
     hot = cut(keyed.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > tile).select("k", F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
     few = hot.limit(HOT_KEYS + 1).count()
@@ -259,7 +305,7 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
                 node, unit = part.column("node").to_numpy(), unit[:stop]
                 side = np.where(part.column("mixed").to_numpy(), part.column("own").to_numpy(), np.arange(stop) + (1 << 33))
                 root = forest(close_pairs(fps, unit, radius, side), stop)
-                at = np.flatnonzero(root != np.arange(stop))
+                at = np.flatnonzero(node != node[root])
                 yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[root[at]])], ["a", "b"])
 
     return dealt.mapInArrow(linked, "a bigint, b bigint")
@@ -269,12 +315,20 @@ def groups(prints: DataFrame, radius: int, lanes: int = 1, key: str = "doc_id",
     """(key, fp, component): component is the smallest id that links reach from each row of (key, fp).
 
     ``key`` must hold longs. Give ``miss`` and ``near`` for random keys (see ``sampled_keys``), else keys are complete.
+    ``prints`` with MinHash bands (see ``fingerprints``) are searched by these as well.
     """
     prints = cut(prints)
-    folded = cut(prints.filter(F.col(key).isNotNull()).groupBy("fp").agg(F.min(key).alias("node")))
+    banded = "bands" in prints.columns
+    folded = cut(prints.filter(F.col(key).isNotNull()).groupBy("fp").agg(F.min(key).alias("node"), *([F.min("bands").alias("bands")] if banded else [])))
     rows, bits = folded.count(), 64 * lanes
     keys = block_keys(bits, radius, rows) if miss is None else sampled_keys(bits, radius, rows, miss, near)
-    found = links(folded, keys, radius, lanes)
+    if banded:
+        # Texts of equal fingerprint seldom differ in bands; where they do, each band is a key of their node.
+        others = prints.filter(F.col(key).isNotNull()).join(folded.withColumnRenamed("bands", "_first"), "fp").filter(F.col("bands") != F.col("_first"))
+        more = others.select("node", "fp", F.explode(F.array_except("bands", "_first")).alias("k")).distinct()
+        found = links(folded, keys, radius, lanes, more=cut(more))
+    else:
+        found = links(folded, keys, radius, lanes)
     # Ids that occur with several fingerprints are one node.
     same = prints.join(folded, "fp").filter(F.col("node") != F.col(key)).select(F.col(key).alias("a"), F.col("node").alias("b"))
     several = prints.groupBy(key).agg(F.countDistinct("fp").alias("n")).filter("n > 1").select(F.col(key).alias("a"))
@@ -287,11 +341,12 @@ def keep_first(docs: DataFrame, words: int = 5, lanes: int = 4, similarity: floa
     """One document of each group: the one with the smallest id; rows without an id are all kept.
 
     Documents link if at least ``similarity`` of the fingerprint's bits agree. Of rows that repeat the kept id one
-    stays. Wide fingerprints keep the sampling error small; pairs of Jaccard similarity 0.8 (which differ in about
-    0.15 of the bits) are missed by all keys with probability 0.03 at most.
+    stays. Candidates share a random key or a MinHash band, so that whether two documents link hardly depends on the
+    size of the table. A pair of Jaccard similarity 0.8 differs in 0.15 of the bits on average; its bits spread, and
+    with probability 0.016 it lies beyond the radius and is not linked.
     """
     radius = int((1 - similarity) * 64 * lanes)
-    grouped = groups(fingerprints(docs, words, lanes, key, text), radius, lanes, key, miss=0.03, near=0.152)
+    grouped = groups(fingerprints(docs, words, lanes, key, text, bands=True), radius, lanes, key, miss=0.03, near=0.152)
     first = grouped.filter(F.col(key) == F.col("component")).select(key).distinct()
     with_id = docs.join(first, key, "left_semi").dropDuplicates([key])
     return with_id.select(docs.columns).unionByName(docs.filter(F.col(key).isNull()))

@@ -119,3 +119,33 @@ def test_keep_first_drops_near_copies(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = [r.doc_id for r in simhash.keep_first(docs).collect()]
     assert sorted(k for k in kept if k is not None) == [*range(40), 300] and kept.count(None) == 1
+
+
+@pytest.mark.parametrize("table_rows", [1000, 10**5, 3 * 10**7])
+def test_near_copies_link_at_every_table_size(spark, monkeypatch, table_rows):
+    """Pairs of Jaccard similarity 0.8 against brute force, with the random keys of a table of ``table_rows``."""
+    keys = simhash.sampled_keys
+    monkeypatch.setattr(simhash, "sampled_keys", lambda bits, radius, rows, miss, near: keys(bits, radius, table_rows, miss, near))
+    rng = random.Random(21)
+    new = lambda n: " ".join(f"w{rng.getrandbits(40):x}" for _ in range(n))
+    rows = []
+    for i in range(300):
+        same = new(250)  # 246 shingles in common, 31 own ones on each side
+        rows += [(2 * i, f"{same} {new(31)}"), (2 * i + 1, f"{same} {new(31)}")]
+    prints = [simhash.fingerprint(t, 5, 4) for _, t in rows]
+    close = {2 * i + 1 for i in range(300) if np.bitwise_count(prints[2 * i] ^ prints[2 * i + 1]).sum() <= 51}
+    assert len(close) > 280
+    kept = {r.doc_id for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k for k, _ in rows} - kept == close
+
+
+def test_equal_fingerprints_keep_all_their_bands(spark):
+    """A text is found by its own bands also where another text of the same fingerprint stands for it."""
+    a, b = [1, 2, 3, 4], [1, 2, 3, 4]
+    c = [x ^ 0xFFF for x in a]  # 48 bits
+    bands = lambda start: list(range(start, start + simhash.BANDS))
+    rows = [(1, a, bands(0)), (2, b, bands(1000)), (3, c, bands(1000)), (4, a, bands(0))]
+    prints = spark.createDataFrame(rows, "doc_id long, fp array<long>, bands array<long>")
+    # One random key remains, on which these do not meet.
+    got = {r.doc_id: r.component for r in simhash.groups(prints, 51, 4, miss=0.9, near=0.2).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1}
