@@ -20,6 +20,11 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text that one vectorised step looks at; longer texts are taken in several steps.
 WINDOW = 1 << 19
 
+#: Most groups that a bounded sample looks at, and most rows that it has about.
+MOST_GROUPS, MOST_ROWS = 500, 20_000
+#: A key is hot from this share of the rows on (1 / HOT_SHARE), if it has HOT_LEAST rows.
+HOT_SHARE, HOT_LEAST = 1000, 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
@@ -36,19 +41,48 @@ def hash_share(*cols: str | Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*cols), 11)).cast("double") / float(1 << 53)
 
 
-def bounded_sample(df: DataFrame, key: str, groups: str, per_group: int) -> DataFrame:
-    """Rows of ``df`` chosen by the hash of ``key``: about ``per_group`` of each value of ``groups``.
+def bounded_sample(df: DataFrame, key: str, groups: str, per_group: int, text: str | None = None, most_groups: int = MOST_GROUPS, most_rows: int = MOST_ROWS) -> DataFrame:
+    """Distinct rows of ``df`` chosen by the hash of ``key`` and ``text``: about ``per_group`` of each value of ``groups``.
 
-    The share of each group comes from a count over all rows, so that the expected size is bounded by
-    ``per_group`` times the number of groups and the choice does not depend on the order of the rows.
-    Rows whose group is null are left out.
+    The share of each group comes from a count over all rows, so that the expected size is bounded by ``per_group``
+    times the number of groups, and by ``most_rows``, and the choice does not depend on the order of the rows. Rows that
+    repeat key, text and group are chosen once; an id with many texts is chosen text by text. Of more than
+    ``most_groups`` groups the most frequent are sampled (the smaller value of equals). Rows whose group is null are
+    left out.
     """
     rows = df.filter(F.col(groups).isNotNull())
-    counts = rows.groupBy(groups).count().collect()
+    counts = rows.groupBy(groups).count().orderBy(F.desc("count"), groups).limit(most_groups).collect()
     if not counts:
         return rows.limit(0)
+    per_group = min(per_group, most_rows / len(counts))
     share = F.create_map(*[x for r in counts for x in (F.lit(r[groups]), F.lit(min(1.0, per_group / r["count"])))])
-    return rows.filter(hash_share(F.col(key), F.lit(71)) < share[F.col(groups)])
+    hashed = [key] if text is None else [key, text]
+    chosen = rows.filter(hash_share(*map(F.col, hashed), F.lit(71)) < F.coalesce(share[F.col(groups)], F.lit(0.0)))
+    return chosen.dropDuplicates([*hashed, groups])
+
+
+def one_text(docs: DataFrame, chosen: DataFrame, label: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, text, label) of the documents in ``chosen`` (key, label), which must be a bounded sample with one row a key.
+
+    Of several texts of one id the one with the least hash is taken.
+    """
+    rows = docs.select(key, text).join(F.broadcast(chosen), key)
+    least = rows.groupBy(key, label).agg(F.min(F.struct(F.xxhash64(text), F.col(text).alias("text"))).alias("least"))
+    return least.select(key, F.col("least.text").alias(text), label)
+
+
+def hot_join(large: DataFrame, small: DataFrame, on: list[str], rows: int, count: str = "_n") -> DataFrame:
+    """Inner join of ``large`` with ``small``, which has one row for each value of ``on`` and in ``count`` how many of
+    the ``rows`` rows of ``large`` have it.
+
+    Keys with more than a HOT_SHARE-th of the rows, which are fewer than HOT_SHARE, are joined by broadcast where their
+    rows are; the others by a shuffle, in which no key has more than that. ``count`` is not in the result.
+    """
+    limit = max(HOT_LEAST, rows // HOT_SHARE)
+    hot = small.filter(F.col(count) > limit)
+    here = large.join(F.broadcast(hot), on)
+    rest = large.join(F.broadcast(hot.select(on)), on, "left_anti").join(small.filter(F.col(count) <= limit), on)
+    return here.unionByName(rest).drop(count)
 
 
 def byte_view(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

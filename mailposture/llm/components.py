@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailposture.llm.common import cut
+from mailposture.llm.common import cut, hot_join
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,20 +13,24 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternating large and small stars: every node hands its larger neighbours, then its smaller ones, over to the
     smallest neighbour, until each component is a star around its smallest node. Minima are pre-aggregated before
-    the shuffle, so a node with very many links costs no more than its links; links of one node are split by the
-    join, not gathered. Each round is cut off by a checkpoint in the shared folder.
+    the shuffle. The rows of a node with very many links stay where they are and get its minimum by broadcast; there
+    can be few such nodes. Each round is cut off by a checkpoint in the shared folder.
     """
     stars = cut(_distinct(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))))
-    while True:
-        rows = stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = rows.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = _distinct(rows.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        after = cut(_distinct(small))
-        if _print(after) == _print(stars):
-            return after.select(F.col("a").alias("node"), F.col("b").alias("component")).union(after.select(F.col("b"), F.col("b")).distinct())
-        stars = after
+    before = _print(stars)
+    while before[0]:
+        both = stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count_if(F.col("b") > F.col("a")).alias("_n"))
+        large = _distinct(hot_join(both.filter("b > a"), least, ["a"], before[0]).select(F.col("b").alias("a"), F.col("m").alias("b")))
+        large = cut(large)
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("_n"))
+        small = hot_join(large, least, ["a"], large.count()).select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        stars = cut(_distinct(small))
+        after = _print(stars)
+        if after == before:
+            break
+        before = after
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).union(stars.select(F.col("b"), F.col("b")).distinct())
 
 
 def _distinct(links: DataFrame) -> DataFrame:

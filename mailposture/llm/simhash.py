@@ -3,30 +3,29 @@
 Fingerprint: a bit is 1 if it is set in over half of the hashes of the text's word shingles. Two documents link if
 their fingerprints differ in at most ``radius`` bits; a group is what links reach.
 
-Equal fingerprints are folded to one row first, so copies never meet one another. Candidates share a key made of some
-bits of the fingerprint. With a small radius the keys are complete: the bits are parted into blocks, two fingerprints
-within the radius agree in at least ``agree`` blocks, and every choice of ``agree`` blocks is a key, so that no link
-is lost. With a large radius (wide fingerprints) keys are random choices of bits, whose width follows the number of
-fingerprints; they miss a part of the pairs near the radius that grows with the table. So there is a second way that
-does not depend on the table: MinHash bands of the same shingles (``BANDS`` keys of ``BAND_ROWS`` minima each), which
-miss a pair of Jaccard similarity 0.8 with probability 3e-5 and one of 0.68, where the mean pair lies at radius 51 of
-256, with 0.008. Neither way is complete: pairs that only repeated shingles make alike have the random keys alone.
+Equal fingerprints are folded to one row first, so copies never meet one another. Candidates share a key. With a small
+radius the keys are bits of the fingerprint and complete: the bits are parted into blocks, two fingerprints within the
+radius agree in at least ``agree`` blocks, and every choice of ``agree`` blocks is a key, so that no link is lost. With
+a large radius (wide fingerprints) no complete set is affordable: there the keys are MinHash bands of the same shingles
+(``BANDS`` keys of ``BAND_ROWS`` minima each). Their number does not depend on the table, so that two documents link in
+a large table if they do in a small one. They miss a pair of Jaccard similarity 0.8 with probability 3e-5, and one of
+0.68, whose fingerprints differ in a fifth of the bits on average, with 0.008.
 
 Fingerprints that share a key are compared bit-sliced: 64 of them lie vertically in one word for each bit of the
 fingerprint; XOR with a query's bit gives 64 differences at once, carry-save counters add them up, and a block is
 abandoned as soon as all its counters have exceeded the radius. From each comparison only a spanning forest of links
 leaves the task, never all pairs. Keys with very many fingerprints are parted into tiles, and each pair of tiles is
-compared apart, so that no task needs more than two tiles at once.
+compared apart, so that no task needs more than two tiles at once. Tiles grow with the key up to MOST_TILE rows; until
+then a fingerprint is copied MOST_TILES times at most.
 
-Nulls and texts without a word have fingerprint zero, linked like any other. Documents with equal ids are one node
-for each fingerprint they have. Empty tables give no rows. Texts are read whole, in bounded steps. Other columns are
-ignored by ``fingerprints``, and kept by ``keep_first``.
+Nulls and texts without a word have fingerprint zero, linked like any other. In ``groups``, documents with equal ids
+are one node for each fingerprint they have. Empty tables give no rows. Texts are read whole, in bounded steps. Other
+columns are ignored by ``fingerprints``, unless named, and kept by ``keep_first``.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +33,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
-from mailposture.llm.common import GOLDEN, cut, mix
+from mailposture.llm.common import GOLDEN, cut, hot_join, mix
 from mailposture.llm.components import components
 
 SEED = 42
-#: Shingles hashed at a time; fingerprints of a key in one tile; pairs of (query, block of 64) compared at a time.
-STEP, TILE, PAIRS = 1 << 15, 2048, 1 << 14
+#: Shingles hashed at a time; pairs of (query, block of 64) compared at a time.
+STEP, PAIRS = 1 << 15, 1 << 14
+#: Fingerprints of a key in one tile at least and at most, and tiles of a key that are aimed at.
+TILE, MOST_TILE, MOST_TILES = 2048, 1 << 18, 64
 #: Fingerprints that are spread over their keys at a time, and the most hot keys that are broadcast.
 KEYED_ROWS, HOT_KEYS = 2000, 50_000
 #: Mean number of fingerprints of one key that is aimed at.
@@ -111,23 +113,25 @@ def bit_counts(h: np.ndarray) -> np.ndarray:
     return (cells @ _BYTE_BITS).ravel()
 
 
-def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, key: str = "doc_id", text: str = "text", bands: bool = False) -> DataFrame:
-    """(key, fp): fp is an array of ``lanes`` longs. With ``bands`` also the keys of the MinHash bands, as longs."""
-    names = [key, "fp", "bands"] if bands else [key, "fp"]
+def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, key: str = "doc_id", text: str = "text", bands: bool = False, others: tuple[str, ...] = ()) -> DataFrame:
+    """(key, others, fp): fp is an array of ``lanes`` longs. With ``bands`` also the keys of the MinHash bands, as longs."""
+    kept = docs.select(key, *others, text)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, banded = [], []
-            for t in batch.column(1):
+            for t in batch.column(batch.num_columns - 1):
                 minima = new_minima() if bands else None
                 found.append(fingerprint(t.as_py(), words, lanes, minima).view(np.int64))
                 if bands:
                     banded.append(band_keys(minima).view(np.int64))
             columns = [pa.array(c, pa.list_(pa.int64())) for c in ([found, banded] if bands else [found])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *(["fp", "bands"] if bands else ["fp"])])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(hashed, f"`{key}` {kind}, fp array<bigint>{', bands array<bigint>' if bands else ''}")
+    schema = kept.drop(text).schema
+    for name in ["fp", "bands"] if bands else ["fp"]:
+        schema = type(schema)([*schema.fields]).add(name, ArrayType(LongType()))
+    return kept.mapInArrow(hashed, schema)
 
 
 # ---------------------------------------------------------------- candidate keys
@@ -145,15 +149,6 @@ def block_keys(bits: int, radius: int, rows: int) -> list[list[int]]:
     return keys
 
 
-def sampled_keys(bits: int, radius: int, rows: int, miss: float, near: float, seed: int = 5) -> list[list[int]]:
-    """Random bit choices, so many that pairs in which a share ``near`` of the bits differ share none with
-    probability ``miss`` at most."""
-    width = max(8, math.ceil(math.log2(max(2, rows) / 32)))
-    n = math.ceil(math.log(miss) / math.log(1 - (1 - near) ** width))
-    rng = np.random.default_rng(seed)
-    return [sorted(rng.choice(bits, min(width, bits), replace=False).tolist()) for _ in range(n)]
-
-
 def key_values(fps: np.ndarray, keys: list[list[int]]) -> np.ndarray:
     """For each row of fingerprints and each key: the number of the key and its bits, mixed into one 64-bit value."""
     out = np.empty((len(fps), len(keys)), np.uint64)
@@ -173,10 +168,11 @@ def fingerprint_rows(column: pa.ChunkedArray, lanes: int) -> np.ndarray:
 # ---------------------------------------------------------------- bit-sliced comparison
 
 
-def close_pairs(fps: np.ndarray, group: np.ndarray, radius: int, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def close_pairs(fps: np.ndarray, group: np.ndarray, radius: int, begin: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i < j) of rows with equal ``group`` that differ in at most ``radius`` bits, in steps.
 
-    fps: a row of 64-bit words each; equal groups must be adjacent. side: only pairs of unequal sides count.
+    fps: a row of 64-bit words each; equal groups must be adjacent. begin: the first row that each row is compared
+    with (the next one if not given).
     """
     n, lanes = fps.shape
     words = (n + 63) // 64
@@ -188,21 +184,17 @@ def close_pairs(fps: np.ndarray, group: np.ndarray, radius: int, side: np.ndarra
     planes = np.ascontiguousarray(planes).view(np.uint64).reshape(lanes * 64, words)
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     ends = np.concatenate([starts[1:], [n]])
-    which = np.repeat(np.arange(len(starts)), ends - starts)
-    i = np.arange(n)
-    end = ends[which]
-    first, last = (i + 1) // 64, (end - 1) // 64
-    blocks = np.where(end > i + 1, last - first + 1, 0)
-    for a in range(0, n, PAIRS // 4):
-        some = blocks[a : a + PAIRS // 4]
-        query = np.repeat(i[a : a + PAIRS // 4], some)
-        block = first[query] + np.arange(len(query)) - np.repeat(np.cumsum(some) - some, some)
-        for q in range(0, len(query), PAIRS):
-            x, y = _compare(fps, planes, query[q : q + PAIRS], block[q : q + PAIRS], end, radius)
-            if side is not None and len(x):
-                x, y = (v[side[x] != side[y]] for v in (x, y))
-            if len(x):
-                yield x, y
+    end = np.repeat(ends, ends - starts)
+    begin = np.arange(1, n + 1) if begin is None else begin
+    first = begin // 64
+    blocks = np.where(end > begin, (end - 1) // 64 - first + 1, 0)
+    upto = np.cumsum(blocks)
+    for q in range(0, int(upto[-1]), PAIRS):
+        place = np.arange(q, min(q + PAIRS, int(upto[-1])))
+        query = np.searchsorted(upto, place, "right")
+        x, y = _compare(fps, planes, query, first[query] + place - (upto - blocks)[query], begin, end, radius)
+        if len(x):
+            yield x, y
 
 
 def _below(count: np.ndarray) -> np.ndarray:
@@ -211,9 +203,9 @@ def _below(count: np.ndarray) -> np.ndarray:
     return np.where(full, ~np.uint64(0), (np.uint64(1) << np.where(full, 0, count).astype(np.uint64)) - np.uint64(1))
 
 
-def _compare(fps: np.ndarray, planes: np.ndarray, query: np.ndarray, block: np.ndarray, end: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def _compare(fps: np.ndarray, planes: np.ndarray, query: np.ndarray, block: np.ndarray, begin: np.ndarray, end: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     base = block * 64
-    live = _below(np.clip(end[query] - base, 0, 64)) & ~_below(np.clip(query + 1 - base, 0, 64))
+    live = _below(np.clip(end[query] - base, 0, 64)) & ~_below(np.clip(begin[query] - base, 0, 64))
     width = (radius + 1).bit_length()
     # Counters start so that exceeding the radius carries out of the top counter.
     counters = [np.full(len(query), ~np.uint64(0) if ((1 << width) - 1 - radius) >> k & 1 else 0, np.uint64) for k in range(width)]
@@ -254,10 +246,10 @@ def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray
 # ---------------------------------------------------------------- links and groups
 
 
-def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, tile: int = TILE, more: DataFrame | None = None) -> DataFrame:
+def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, tile: int = TILE) -> DataFrame:
     """(a, b): links between the nodes of ``folded`` (node, fp), enough to connect what is within the radius.
 
-    ``bands`` of ``folded``, if it has them, are keys beside those of the fingerprint; ``more`` (node, fp, k) has others.
+    ``bands`` of ``folded``, if it has them, are keys beside those of the fingerprint.
     """
     banded = "bands" in folded.columns
 
@@ -272,10 +264,9 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
                 yield from rows.append_column("k", pa.array(values.ravel())).to_batches()
 
     keyed = folded.select("node", "fp", *(["bands"] if banded else [])).mapInArrow(keys_of, "node bigint, fp array<bigint>, k bigint")
-    if more is not None:
-        keyed = keyed.unionByName(more)
     # Only keys with more than a tile of fingerprints need dealing; there are few, if any.
-    hot = cut(keyed.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > tile).select("k", F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
+    size = F.least(F.greatest(F.lit(tile), F.ceil(F.col("n") / MOST_TILES)), F.lit(max(tile, MOST_TILE)))
+    hot = cut(keyed.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > tile).select("k", F.ceil(F.col("n") / size).cast("int").alias("tiles")))
     few = hot.limit(HOT_KEYS + 1).count()
     if few == 0:
         units = keyed.select("node", "fp", F.lit(0).alias("own"), F.col("k").alias("u"), F.lit(False).alias("mixed"))
@@ -285,7 +276,7 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
         # A tile pair (low, high) is a task's unit: own tile with every tile, itself included.
         pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("lo"), F.greatest(o, F.col("own")).alias("hi"))))
         units = tiled.select("node", "fp", "own", "k", pair.alias("p")).select("node", "fp", "own", F.xxhash64("k", "p.lo", "p.hi").alias("u"), (F.col("p.lo") != F.col("p.hi")).alias("mixed"))
-    dealt = units.repartition("u").sortWithinPartitions("u", "node")
+    dealt = units.repartition("u").sortWithinPartitions("u", "own", "node")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -303,53 +294,83 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
                 part = held.slice(0, stop).combine_chunks()
                 fps = fingerprint_rows(part.column("fp"), lanes)
                 node, unit = part.column("node").to_numpy(), unit[:stop]
-                side = np.where(part.column("mixed").to_numpy(), part.column("own").to_numpy(), np.arange(stop) + (1 << 33))
-                root = forest(close_pairs(fps, unit, radius, side), stop)
+                begin = first_compared(unit, part.column("own").to_numpy(), part.column("mixed").to_numpy())
+                root = forest(close_pairs(fps, unit, radius, begin), stop)
                 at = np.flatnonzero(node != node[root])
                 yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[root[at]])], ["a", "b"])
 
     return dealt.mapInArrow(linked, "a bigint, b bigint")
 
 
-def groups(prints: DataFrame, radius: int, lanes: int = 1, key: str = "doc_id", miss: float | None = None, near: float | None = None) -> DataFrame:
+def first_compared(unit: np.ndarray, own: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+    """The first row that each row is compared with: the next one, or in a pair of tiles the other tile's first.
+
+    Rows are sorted by unit and tile. Rows of the second tile begin no comparison.
+    """
+    n = len(unit)
+    ends = np.concatenate([np.flatnonzero(unit[1:] != unit[:-1]) + 1, [n]])
+    length = np.diff(ends, prepend=0)
+    second = own == np.repeat(own[ends - 1], length)
+    start = np.repeat(ends - np.add.reduceat(second, ends - length), length)
+    return np.where(mixed, np.where(second, np.repeat(ends, length), start), np.arange(1, n + 1))
+
+
+def groups(prints: DataFrame, radius: int, lanes: int = 1, key: str = "doc_id") -> DataFrame:
     """(key, fp, component): component is the smallest id that links reach from each row of (key, fp).
 
-    ``key`` must hold longs. Give ``miss`` and ``near`` for random keys (see ``sampled_keys``), else keys are complete.
-    ``prints`` with MinHash bands (see ``fingerprints``) are searched by these as well.
+    ``key`` must hold longs. Keys of the search are complete.
     """
     prints = cut(prints)
-    banded = "bands" in prints.columns
-    folded = cut(prints.filter(F.col(key).isNotNull()).groupBy("fp").agg(F.min(key).alias("node"), *([F.min("bands").alias("bands")] if banded else [])))
-    rows, bits = folded.count(), 64 * lanes
-    keys = block_keys(bits, radius, rows) if miss is None else sampled_keys(bits, radius, rows, miss, near)
-    if banded:
-        # Texts of equal fingerprint seldom differ in bands; where they do, each band is a key of their node.
-        others = prints.filter(F.col(key).isNotNull()).join(folded.withColumnRenamed("bands", "_first"), "fp").filter(F.col("bands") != F.col("_first"))
-        more = others.select("node", "fp", F.explode(F.array_except("bands", "_first")).alias("k")).distinct()
-        found = links(folded, keys, radius, lanes, more=cut(more))
-    else:
-        found = links(folded, keys, radius, lanes)
+    known = prints.filter(F.col(key).isNotNull())
+    folded = cut(known.groupBy("fp").agg(F.min(key).alias("node"), F.count("*").alias("_n")))
+    nodes, rows = folded.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    found = links(folded, block_keys(64 * lanes, radius, nodes), radius, lanes)
     # Ids that occur with several fingerprints are one node.
-    same = prints.join(folded, "fp").filter(F.col("node") != F.col(key)).select(F.col(key).alias("a"), F.col("node").alias("b"))
-    several = prints.groupBy(key).agg(F.countDistinct("fp").alias("n")).filter("n > 1").select(F.col(key).alias("a"))
-    reached = components(found.union(same.join(several, "a")))
-    by_print = folded.join(reached, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return prints.join(by_print, "fp", "left").select(key, "fp", F.when(F.col(key).isNotNull(), F.col("component")).alias("component"))
+    several = cut(known.groupBy(key).agg(F.count("*").alias("_n"), F.min("fp").alias("one"), F.max("fp").alias("other")).filter("one <> other").select(key, "_n"))
+    if not several.isEmpty():
+        same = hot_join(known, several, [key], rows).distinct().join(folded.select("fp", "node"), "fp")
+        found = found.union(same.select(F.col(key).alias("a"), F.col("node").alias("b")))
+    reached = components(found)
+    by_print = folded.join(reached, "node", "left").select("fp", "_n", F.coalesce("component", "node").alias("component"))
+    out = hot_join(known, by_print, ["fp"], rows).select(key, "fp", "component")
+    return out.unionByName(prints.filter(F.col(key).isNull()).select(key, "fp", F.lit(None).cast("long").alias("component")))
+
+
+def similar(prints: DataFrame, radius: int, lanes: int) -> DataFrame:
+    """``prints`` (fp, bands, ...) folded to one row for each fp and bands: (first, node, component).
+
+    first: the least struct of the other columns; component: the smallest node that links reach.
+    """
+    others = [c for c in prints.columns if c not in ("fp", "bands")]
+    folded = prints.groupBy("fp", "bands").agg(F.min(F.struct(*others)).alias("first"))
+    folded = cut(folded.withColumn("node", F.monotonically_increasing_id()))
+    found = links(folded, [], radius, lanes)
+    # Texts of equal fingerprint may differ in bands: they are linked to the smallest node of theirs.
+    equal = folded.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("_n"))
+    same = hot_join(folded.select("fp", "node"), equal.filter("_n > 1"), ["fp"], folded.count()).filter("node <> least")
+    reached = components(found.union(same.select(F.col("node").alias("a"), F.col("least").alias("b"))))
+    return folded.join(reached, "node", "left").select("first", "node", F.coalesce("component", "node").alias("component"))
 
 
 def keep_first(docs: DataFrame, words: int = 5, lanes: int = 4, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the one with the smallest id; rows without an id are all kept.
+    """One document of each group: the one with the smallest id, and of equal ids that with the smallest text hash.
 
-    Documents link if at least ``similarity`` of the fingerprint's bits agree. Of rows that repeat the kept id one
-    stays. Candidates share a random key or a MinHash band, so that whether two documents link hardly depends on the
-    size of the table. A pair of Jaccard similarity 0.8 differs in 0.15 of the bits on average; its bits spread, and
-    with probability 0.016 it lies beyond the radius and is not linked.
+    Documents link if at least ``similarity`` of the fingerprint's bits agree. Candidates share a MinHash band, so that
+    whether two documents link does not depend on the table. A pair of Jaccard similarity 0.8 differs in 0.15 of the
+    bits on average; its bits spread, and with probability 0.016 it lies beyond the radius and is not linked. Rows
+    without an id come last in their group. Different texts of one id are different documents; rows that repeat id and
+    text are one.
     """
-    radius = int((1 - similarity) * 64 * lanes)
-    grouped = groups(fingerprints(docs, words, lanes, key, text, bands=True), radius, lanes, key, miss=0.03, near=0.152)
-    first = grouped.filter(F.col(key) == F.col("component")).select(key).distinct()
-    with_id = docs.join(first, key, "left_semi").dropDuplicates([key])
-    return with_id.select(docs.columns).unionByName(docs.filter(F.col(key).isNull()))
+    same = {"_none": F.col(key).isNull(), "_name": F.coalesce(F.col(key).cast("string"), F.lit("")), "_content": F.xxhash64(text)}
+    marks = {**same, "_key": F.col(key)}
+    if clash := set(marks) & set(docs.columns):
+        raise ValueError(f"columns exist already: {sorted(clash)}")
+    marked = docs.withColumns(marks)
+    prints = cut(fingerprints(marked, words, lanes, "_none", text, bands=True, others=("_key", "_content", "_name")))
+    first = similar(prints, int((1 - similarity) * 64 * lanes), lanes).groupBy("component").agg(F.min("first").alias("first"))
+    # Repeated rows are combined where they are before the one shuffle of the texts.
+    single = marked.drop("_key").dropDuplicates(list(same))
+    return single.join(first.select(*[f"first.{c}" for c in same]), list(same), "left_semi").select(docs.columns)
 
 
 def as_hex(fp: Column) -> Column:

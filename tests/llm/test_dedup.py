@@ -1,12 +1,15 @@
 """SimHash: fingerprints, bit-sliced comparison, keys, groups, against brute force."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from mailposture.llm import simhash
+from mailposture.llm import common, simhash
+from mailposture.llm.components import components
 from tests.llm.fixtures import SCHEMA, documents, prose
 
 
@@ -115,37 +118,79 @@ def test_keep_first_drops_near_copies(spark):
         words = rows[i][1].split()
         words[rng.randrange(150)] = "changed"
         rows.append((100 + i, " ".join(words)))
-    rows += [(200, rows[0][1]), (20, rows[20][1]), (300, None), (301, ""), (None, rows[3][1])]
+    other, lone = prose(rng, "fr", 150), prose(rng, "de", 150)
+    # Equal rows; a second text of an id; copies without an id, of a text with and of one without.
+    rows += [(200, rows[0][1]), (20, rows[20][1]), (300, None), (301, ""), (21, other), (None, rows[3][1]), (None, lone), (None, lone)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = [r.doc_id for r in simhash.keep_first(docs).collect()]
-    assert sorted(k for k in kept if k is not None) == [*range(40), 300] and kept.count(None) == 1
+    kept = [(r.doc_id, r.text) for r in simhash.keep_first(docs).collect()]
+    assert sorted(kept, key=repr) == sorted([*rows[:40], (300, None), (21, other), (None, lone)], key=repr)
+    assert simhash.keep_first(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="exist"):
+        simhash.keep_first(docs.withColumn("_key", docs.doc_id))
 
 
-@pytest.mark.parametrize("table_rows", [1000, 10**5, 3 * 10**7])
-def test_near_copies_link_at_every_table_size(spark, monkeypatch, table_rows):
-    """Pairs of Jaccard similarity 0.8 against brute force, with the random keys of a table of ``table_rows``."""
-    keys = simhash.sampled_keys
-    monkeypatch.setattr(simhash, "sampled_keys", lambda bits, radius, rows, miss, near: keys(bits, radius, table_rows, miss, near))
+@pytest.mark.parametrize("pairs", [60, 300])
+def test_near_copies_link_at_every_table_size(spark, pairs):
+    """Pairs of Jaccard similarity 0.8 against brute force, in tables of two sizes."""
     rng = random.Random(21)
     new = lambda n: " ".join(f"w{rng.getrandbits(40):x}" for _ in range(n))
     rows = []
-    for i in range(300):
+    for i in range(pairs):
         same = new(250)  # 246 shingles in common, 31 own ones on each side
         rows += [(2 * i, f"{same} {new(31)}"), (2 * i + 1, f"{same} {new(31)}")]
     prints = [simhash.fingerprint(t, 5, 4) for _, t in rows]
-    close = {2 * i + 1 for i in range(300) if np.bitwise_count(prints[2 * i] ^ prints[2 * i + 1]).sum() <= 51}
-    assert len(close) > 280
+    close = {2 * i + 1 for i in range(pairs) if np.bitwise_count(prints[2 * i] ^ prints[2 * i + 1]).sum() <= 51}
+    assert len(close) > 0.93 * pairs
     kept = {r.doc_id for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {k for k, _ in rows} - kept == close
 
 
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_recall_against_all_pairs(spark, folder):
+    """Of all pairs of given documents within the radius, with an id divisible by 100 on one side, 0.9 are in one group."""
+    path = Path(f"/root/testdata/{folder}/documents.parquet")
+    if not path.exists():
+        pytest.skip("test tables are not here")
+    docs = spark.read.parquet(str(path)).select("doc_id", "text")
+    prints = simhash.fingerprints(docs, 5, 4, bands=True)
+    got = {r.first.doc_id: r.component for r in simhash.similar(prints, 51, 4).collect()}
+    rows = [(r.doc_id, np.array(r.fp)) for r in prints.filter(F.col("doc_id").isin(list(got))).collect()]
+    ids, fps = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    found = total = 0
+    for q in np.flatnonzero(ids % 100 == 0):
+        for i in np.flatnonzero(np.bitwise_count(fps ^ fps[q]).sum(1) <= 51):
+            total += i != q
+            found += i != q and got[ids[i]] == got[ids[q]]
+    assert found >= 0.9 * total
+
+
 def test_equal_fingerprints_keep_all_their_bands(spark):
     """A text is found by its own bands also where another text of the same fingerprint stands for it."""
     a, b = [1, 2, 3, 4], [1, 2, 3, 4]
     c = [x ^ 0xFFF for x in a]  # 48 bits
     bands = lambda start: list(range(start, start + simhash.BANDS))
-    rows = [(1, a, bands(0)), (2, b, bands(1000)), (3, c, bands(1000)), (4, a, bands(0))]
+    rows = [(1, a, bands(0)), (2, b, bands(1000)), (3, c, bands(1000)), (4, a, bands(0)), (5, c, bands(2000)), (6, [~x for x in a], bands(0))]
     prints = spark.createDataFrame(rows, "doc_id long, fp array<long>, bands array<long>")
-    # One random key remains, on which these do not meet.
-    got = {r.doc_id: r.component for r in simhash.groups(prints, 51, 4, miss=0.9, near=0.2).collect()}
-    assert got == {1: 1, 2: 1, 3: 1, 4: 1}
+    got = {r.first.doc_id: r.component for r in simhash.similar(prints, 51, 4).collect()}
+    assert got.keys() == {1, 2, 3, 5, 6} and len({got[i] for i in (1, 2, 3, 5)}) == 1 and got[6] != got[1]
+
+
+def test_components_with_a_hot_node(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_LEAST", 20)
+    rng = random.Random(3)
+    links = [(0, i) for i in range(1, 300)] + [(900, i) for i in range(600, 700)] + [(500 + i, 500 + i + 1) for i in range(60)] + [(rng.randrange(300), 900)]
+    want = {**dict.fromkeys([*range(300), *range(600, 700), 900], 0), **dict.fromkeys(range(500, 561), 500)}
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_tiles_of_a_hot_key(spark):
+    """All fingerprints share a key and lie near one another; tiles grow with the key, links stay complete."""
+    rng = random.Random(5)
+    rows = [(i, [sum(1 << b for b in rng.sample(range(40), 6))]) for i in range(700)]
+    folded = spark.createDataFrame(rows, "node long, fp array<long>")
+    found = simhash.links(folded, [list(range(45, 60))], 4, 1, 50)
+    root = {r.node: r.component for r in components(found).collect()}
+    want = plain_groups([(i, f[0]) for i, f in rows], 4)
+    assert [root.get(i, i) for i, _ in rows] == want
