@@ -69,20 +69,24 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All messages with the message they reply to, their place in reply order, and their text without quotes."""
-    return quotation.conversations(table(spark, sf_dir, "conversations")).drop("text")
+    """All messages with the message they reply to, their place in reply order, and their text without quotes.
+
+    The first message of each assembled part of a conversation has the whole part.
+    """
+    placed = quotation.conversations(table(spark, sf_dir, "conversations")).drop("text")
+    parts = quotation.assemble(placed).select(F.col("conv_id").alias("_c"), F.col("first_turn").alias("_t"), "conversation")
+    return placed.join(parts, (F.col("conv_id") == F.col("_c")) & (F.col("turn") == F.col("_t")), "left").drop("_c", "_t")
 
 
 # The rules of the query.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
-#: Hosts whose pages make up the query's list.
-LISTED_HOSTS = r"(^|\.)(spam-farm|ads-track)\."
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts on all pages; the list holds the canonical URLs of advertising and spam hosts among them."""
+    """Verdicts on all pages; the list holds one in sixteen of their canonical URLs, by hash, in another spelling."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.filter(url_filter.host().rlike(LISTED_HOSTS)).select(url_filter.canonical().alias("canonical"))
+    chosen = pages.filter((url_filter.host() != "") & F.md5(url_filter.canonical().cast("binary")).startswith("0"))
+    listed = chosen.select(url_filter.respelled().alias("url")).select(url_filter.canonical().alias("canonical"))
     return url_filter.judge(pages, listed, URL_RULES).drop("url")
 
 

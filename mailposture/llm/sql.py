@@ -53,7 +53,7 @@ keyed AS (
             regexp_replace(path, '(/|/?index\.html?|\.html?)$', '') ||
             CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical
   FROM canon),
-listed AS (SELECT DISTINCT canonical FROM keyed WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|\.)(spam-farm|ads-track)\.')),
+listed AS (SELECT DISTINCT canonical FROM keyed WHERE host <> '' AND substr(md5(canonical), 1, 1) = '0'),
 ruled AS (
   SELECT *, CASE
     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
@@ -69,20 +69,40 @@ FROM ruled
 
 OP9_QUOTATION_LINKING = r"""
 WITH RECURSIVE lines AS (
-  SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line
-  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL),
+  SELECT conv_id, turn, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
+  FROM (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL)),
 marked AS (
-  SELECT conv_id, turn, len(regexp_replace(regexp_extract(line, '^\s*((?:>\s?)+)', 1), '[^>]', '', 'g')) AS level,
-         trim(regexp_replace(lower(regexp_replace(line, '^\s*((?:>\s?)+)', '')), '\s+', ' ', 'g')) AS norm
+  SELECT conv_id, turn, text, i, len(regexp_replace(regexp_extract(line, '^\s*((?:>\s?)+)', 1), '[^>]', '', 'g')) AS level,
+         regexp_replace(line, '^\s*((?:>\s?)+)', '') AS rest
   FROM lines),
-sources AS (
-  SELECT q.conv_id, q.turn, q.level, q.norm, max(o.turn) AS source
-  FROM (SELECT DISTINCT * FROM marked WHERE level > 0 AND norm <> '') q
-  JOIN (SELECT DISTINCT * FROM marked WHERE level = 0 AND norm <> '') o ON q.conv_id = o.conv_id AND q.norm = o.norm AND o.turn < q.turn
-  GROUP BY ALL),
+stepped AS (
+  SELECT *, regexp_matches(rest, '^\s*$') AS blank, lag(level) OVER (PARTITION BY conv_id, turn, text ORDER BY i) AS above FROM marked),
+runs AS (
+  SELECT conv_id, turn, text, i, level, blank, lower(rest) AS rest,
+         count(*) FILTER (WHERE level IS DISTINCT FROM above) OVER w AS passage,
+         CASE WHEN level = 0 THEN count(*) FILTER (WHERE blank OR level > 0) OVER w ELSE count(*) FILTER (WHERE blank) OVER w END AS paragraph
+  FROM stepped WINDOW w AS (PARTITION BY conv_id, turn, text ORDER BY i)),
+units AS (
+  SELECT conv_id, turn, text, level, CASE WHEN level > 0 THEN passage ELSE -1 END AS passage, -1 AS paragraph, 3 AS size,
+         string_agg(rest, ' ' ORDER BY i) AS words, count(*) AS n FROM runs WHERE NOT blank GROUP BY ALL
+  UNION ALL
+  SELECT conv_id, turn, text, level, passage, paragraph, 2, string_agg(rest, ' ' ORDER BY i), count(*) FROM runs WHERE NOT blank GROUP BY ALL
+  UNION ALL
+  SELECT conv_id, turn, text, level, passage, paragraph, 1, rest, 1 FROM runs WHERE NOT blank),
+said AS (
+  SELECT * REPLACE (trim(regexp_replace(words, '\s+', ' ', 'g')) AS words) FROM units),
+owned AS (SELECT DISTINCT conv_id, turn, words FROM said WHERE level = 0),
+found AS (
+  SELECT q.conv_id, q.turn, q.text, q.level, q.passage, q.paragraph, q.size, q.words, q.n, max(o.turn) AS source
+  FROM (SELECT conv_id, turn, text, level, passage, paragraph, size, words, sum(n) AS n FROM said WHERE level > 0 GROUP BY ALL) q
+  JOIN owned o ON q.conv_id = o.conv_id AND q.words = o.words AND o.turn < q.turn GROUP BY ALL),
+best AS (
+  SELECT *, max(size) OVER (PARTITION BY conv_id, turn, text, passage) AS in_passage,
+         max(size) OVER (PARTITION BY conv_id, turn, text, passage, paragraph) AS in_paragraph
+  FROM found),
 votes AS (
-  SELECT m.conv_id, m.turn, m.level, s.source, count(*) AS n
-  FROM marked m JOIN sources s USING (conv_id, turn, level, norm) GROUP BY ALL),
+  SELECT conv_id, turn, level, source, sum(n) AS n FROM best
+  WHERE size = CASE WHEN in_passage = 3 THEN 3 ELSE in_paragraph END GROUP BY ALL),
 parents AS (SELECT conv_id, turn, arg_max(source, (-level, n, source)) AS reply_to FROM votes GROUP BY ALL),
 walk AS (
   SELECT conv_id, turn, reply_to, reply_to AS thread_root, 1::BIGINT AS depth FROM parents
@@ -98,10 +118,16 @@ cleaned AS (
            trim(array_to_string(list_filter(ls, lambda x, i: NOT regexp_matches(x, '^\s*>') AND NOT (
              regexp_matches(x, '(?i)^(on|am|le|el)\b.*\b(wrote|schrieb|écrit|escribió)\b.*:\s*$') AND regexp_matches(coalesce(ls[i + 1], ''), '^\s*>'))), chr(10)))
          ELSE text END AS clean_text
-  FROM listed)
-SELECT c.conv_id, c.turn, c.role, p.reply_to, coalesce(p.thread_root, c.turn) AS thread_root, coalesce(p.depth, 0)::BIGINT AS depth,
-       c.quoted_lines, c.clean_text, '<|' || coalesce(c.role, 'unknown') || '|>' || chr(10) || coalesce(c.clean_text, '') || chr(10) || '<|end|>' AS chat
-FROM cleaned c LEFT JOIN placed p ON c.conv_id = p.conv_id AND c.turn = p.turn
+  FROM listed),
+rows_ AS (
+  SELECT c.conv_id, c.turn, c.role, p.reply_to, coalesce(p.thread_root, c.turn) AS thread_root, coalesce(p.depth, 0)::BIGINT AS depth,
+         c.quoted_lines, c.clean_text, '<|' || coalesce(c.role, 'unknown') || '|>' || chr(10) || coalesce(c.clean_text, '') || chr(10) || '<|end|>' AS chat
+  FROM cleaned c LEFT JOIN placed p ON c.conv_id = p.conv_id AND c.turn = p.turn),
+assembled AS (
+  SELECT conv_id, arg_min(turn, (thread_root, turn)) AS first_turn, string_agg(chat, chr(10) ORDER BY thread_root, turn) AS conversation
+  FROM rows_ WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+  GROUP BY conv_id, floor(thread_root / 1024), floor(turn / 1024))
+SELECT r.*, a.conversation FROM rows_ r LEFT JOIN assembled a ON r.conv_id = a.conv_id AND r.turn = a.first_turn
 """
 
 
