@@ -2,22 +2,25 @@
 
 Texts become lower-case tokens (runs of letters and digits) with 64-bit hashes. A seed is a run of SEED_TOKENS
 tokens; the seeds of all documents are joined with those of the benchmark items by running Karp-Rabin hashes. For
-each (document, item) that shares a seed, matches grow from the seeds to their full lengths, and the longest match
-whose tokens are all free is marked again and again until none as long as a seed is left. The marked tiles do not
-overlap and may stand in any order, so passages that were cut up and reordered are caught. The share of the item's
-tokens under tiles is its coverage; from ``coverage`` on the document is contaminated.
+each (document, item) that shares a seed, the longest run of tokens that both have, and that is free in both, is
+marked again and again until none as long as a seed is left. The length of the next run is found by bisection over
+running Karp-Rabin hashes, all runs of that length are marked in the order of their places in the item, then in the
+text. That takes memory for the tokens of the two texts alone, however often they repeat themselves. The marked tiles
+do not overlap and may stand in any order, so passages that were cut up and reordered are caught. The share of the
+item's tokens under tiles is its coverage; from ``coverage`` on the document is contaminated.
 
 The benchmark is the stated query set: it is taken in blocks of bounded size, each sent to all tasks, which scan
 every document whole. No document leaves its task; nothing is gathered by passage, however many share it. Null and
-empty texts match nothing. Items with fewer tokens than a seed cannot identify a leak and match nothing. Repeated
+empty texts match nothing. An item with fewer tokens than a seed is compared whole: it leaks if the document, or one
+of its lines, has the item's tokens and no others (somewhere within a sentence, so few words say nothing). Repeated
 rows are each judged. Rows without ids are judged too (their pairs have a null id). Other columns are kept by
 ``decontaminate``.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,6 +39,8 @@ BLOCK_BYTES = 32_000_000
 #: Hash base of bytes within a token (odd, so that it can be inverted), and of tokens within a run.
 BYTE_BASE, TOKEN_BASE = 0x100000001B3, 0x9E3779B97F4A7C15
 _FILTER_BITS = 22
+#: (seed, item) pairs that are looked at in one step.
+SPREAD = 1 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -98,14 +103,17 @@ def run_hashes(tokens: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class Block:
-    """A block of benchmark items: tokens of all, where each begins, and the sorted seeds with their places."""
+    """A block of benchmark items: tokens of all, where each begins, the distinct seeds and the items that have each."""
 
     ids: list
     tokens: np.ndarray
     bounds: np.ndarray
-    seeds: np.ndarray
-    places: np.ndarray
+    seeds: np.ndarray  # sorted
+    seed_at: np.ndarray  # for each token: the seed that begins there, or -1
+    starts: np.ndarray  # for each seed: where its items begin in ``holders``
+    holders: np.ndarray
     known: np.ndarray
+    short: dict[tuple[int, ...], list[int]]  # tokens of each item without a seed
 
     @staticmethod
     def of(ids: list, texts: list[str | None]) -> Block:
@@ -116,73 +124,149 @@ class Block:
                 parts[r] = hashes[at[r - r0] : at[r - r0 + 1]]
         bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
         tokens = np.concatenate([*parts, np.zeros(0, np.uint64)])
-        seeds, places = [], []
-        for p, b in zip(parts, bounds, strict=False):
-            seeds.append(run_hashes(p, SEED_TOKENS))
-            places.append(b + np.arange(len(seeds[-1])))
-        seeds, places = np.concatenate([*seeds, np.zeros(0, np.uint64)]), np.concatenate([*places, np.zeros(0, np.int64)]).astype(np.int64)
-        order = np.argsort(seeds, kind="stable")
+        runs = [run_hashes(p, SEED_TOKENS) for p in parts]
+        places = np.concatenate([b + np.arange(len(r)) for b, r in zip(bounds, runs, strict=False)] + [np.zeros(0, np.int64)]).astype(np.int64)
+        seeds, number = np.unique(np.concatenate([*runs, np.zeros(0, np.uint64)]), return_inverse=True)
+        seed_at = np.full(len(tokens), -1, np.int64)
+        seed_at[places] = number
+        pairs = np.unique(number * max(1, len(ids)) + np.searchsorted(bounds, places, "right") - 1)
+        seed, holders = pairs // max(1, len(ids)), pairs % max(1, len(ids))
         known = np.zeros(1 << _FILTER_BITS, bool)
         known[seeds >> np.uint64(64 - _FILTER_BITS)] = True
-        return Block(ids, tokens, bounds, seeds[order], places[order], known)
-
-    def seed_hits(self, runs: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position in runs, place in the block's tokens) of every shared seed."""
+        short = defaultdict(list)
+        for i, p in enumerate(parts):
+            if 0 < len(p) < SEED_TOKENS:
+                short[tuple(p.tolist())].append(i)
+        return Block(ids, tokens, bounds, seeds, seed_at, np.searchsorted(seed, np.arange(len(seeds) + 1)), holders, known, dict(short))
+
+    def shared(self, runs: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in runs, seed) of every run that is a seed of some item."""
+        if not len(self.seeds):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         maybe = np.flatnonzero(self.known[runs >> np.uint64(64 - _FILTER_BITS)] & usable)
-        lo, hi = np.searchsorted(self.seeds, runs[maybe], "left"), np.searchsorted(self.seeds, runs[maybe], "right")
-        n = hi - lo
-        at = np.repeat(maybe, n)
-        return at, self.places[np.repeat(lo, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
+        seed = np.minimum(np.searchsorted(self.seeds, runs[maybe]), len(self.seeds) - 1)
+        sure = self.seeds[seed] == runs[maybe]
+        return maybe[sure], seed[sure]
+
+    def pairs(self, rows: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+        """Sorted numbers row * items + item of the pairs that share one of the (row, seed)."""
+        distinct = np.unique(rows * len(self.seeds) + seeds)
+        row, seed = distinct // len(self.seeds), distinct % len(self.seeds)
+        n = self.starts[seed + 1] - self.starts[seed]
+        upto = np.cumsum(n)
+        found, a = np.zeros(0, np.int64), 0
+        while a < len(row):  # in steps of about SPREAD pairs, one seed at least
+            b = max(a + 1, int(np.searchsorted(upto, upto[a] - n[a] + SPREAD, "right")))
+            many, total = n[a:b], int(n[a:b].sum())
+            at = np.repeat(self.starts[seed[a:b]] - (np.cumsum(many) - many), many) + np.arange(total)
+            found = np.union1d(found, np.repeat(row[a:b], many) * len(self.ids) + self.holders[at])
+            a = b
+        return found
 
     def tilings(self, texts: pa.Array, tokenizer: Tokenizer) -> Iterator[tuple[int, int, list[tuple[int, int, int]], float]]:
-        """(row, item, tiles, coverage) of every row and item that share a seed; tiles: (at in text, at in item, tokens)."""
+        """(row, item, tiles, coverage) of every row and item that share a seed, or a whole item without one; tiles:
+        (at in text, at in item, tokens)."""
+        if self.short:
+            yield from self._whole(texts, tokenizer)
         for _, _, hashes, rows in tokenizer.column(texts):
             runs = run_hashes(hashes, SEED_TOKENS)
-            if len(runs) == 0 or len(self.seeds) == 0:
-                continue
-            at, place = self.seed_hits(runs, rows[: len(runs)] == rows[SEED_TOKENS - 1 :])
-            if len(at) == 0:
-                continue
-            item = np.searchsorted(self.bounds, place, "right") - 1
-            row = rows[at]
-            order = np.lexsort((at, at - place, item, row))
-            at, place, item, row = at[order], place[order], item[order], row[order]
-            cut = np.flatnonzero((np.diff(row) != 0) | (np.diff(item) != 0)) + 1
-            for a, b in zip([0, *cut], [*cut, len(at)], strict=True):
-                r, i = int(row[a]), int(item[a])
-                first = int(np.searchsorted(rows, r))
-                base, size = int(self.bounds[i]), int(self.bounds[i + 1] - self.bounds[i])
-                tiles = greedy_tiles(at[a:b] - first, place[a:b] - base, size)
-                yield r, i, tiles, sum(t[2] for t in tiles) / size
-
-
-def greedy_tiles(at: np.ndarray, place: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """Tiles (at in text, at in item, tokens) from the seed hits of one text and item, sorted by (at - place, at).
-
-    The longest match goes first; ties go to the earliest place in the item, then in the text. A match of which some
-    tokens have been marked meanwhile goes on with its free pieces.
+            at, seed = self.shared(runs, rows[: len(runs)] == rows[SEED_TOKENS - 1 :])
+            for pair in self.pairs(rows[at], seed).tolist():
+                r, i = divmod(pair, len(self.ids))
+                first, a, b = int(np.searchsorted(rows, r)), int(np.searchsorted(rows[at], r)), int(np.searchsorted(rows[at], r, "right"))
+                lo, hi = int(self.bounds[i]), int(self.bounds[i + 1])
+                mine = at[a:b][np.isin(seed[a:b], self.seed_at[lo:hi])]
+                place, tokens, used = covered(mine, hashes)
+                tiles = [(int(place[t]) - first, p, n) for t, p, n in greedy_tiles(tokens, used, self.tokens[lo:hi])]
+                yield r, i, tiles, sum(t[2] for t in tiles) / (hi - lo)
+
+    def _whole(self, texts: pa.Array, tokenizer: Tokenizer) -> Iterator[tuple[int, int, list[tuple[int, int, int]], float]]:
+        """Items without a seed whose tokens are those of a text or of one of its lines."""
+        split = pc.split_pattern(texts, "\n")
+        parent = pc.list_parent_indices(split).to_numpy()
+        found: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for column, owner in ((texts, np.arange(len(texts))), (split.flatten(), parent)):
+            size, hits = np.zeros(len(column), np.int64), []
+            for r0, r1, hashes, rows in tokenizer.column(column):
+                n = np.bincount(rows - r0, minlength=r1 - r0)
+                size[r0:r1], start = n, np.cumsum(n) - n
+                for k in np.flatnonzero((n > 0) & (n < SEED_TOKENS)).tolist():
+                    tokens = tuple(hashes[start[k] : start[k] + n[k]].tolist())
+                    hits += [(r0 + k, i) for i in self.short.get(tokens, ())]
+            before = np.cumsum(size) - size
+            for k, i in hits:
+                r = int(owner[k])
+                found.setdefault((r, i), (int(before[k] - before[np.searchsorted(owner, r)]), 0, int(size[k])))
+        yield from ((r, i, [tile], 1.0) for (r, i), tile in sorted(found.items()))
+
+
+def covered(at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, token, used) of the tokens under the seeds that begin at the sorted places ``at``.
+
+    Behind each stretch stands one token that counts as used, so that no run goes on over a gap.
     """
-    gap = (np.diff(at - place) != 0) | (np.diff(at) != 1)
-    begin = np.concatenate([[0], np.flatnonzero(gap) + 1])
-    length = np.diff(np.concatenate([begin, [len(at)]])) + SEED_TOKENS - 1
-    low = int(at.min())
-    heap = [(-int(n), int(place[b]), int(at[b]) - low) for b, n in zip(begin, length, strict=True)]
-    heapq.heapify(heap)
-    item_used, text_used = np.zeros(size, bool), np.zeros(int(at.max()) - low + SEED_TOKENS, bool)
-    tiles, left = [], size
-    while heap and left >= SEED_TOKENS:
-        n, p, t = heapq.heappop(heap)
-        used = item_used[p : p - n] | text_used[t : t - n]
-        if not used.any():
-            item_used[p : p - n] = text_used[t : t - n] = True
-            tiles.append((t + low, p, -n))
-            left += n
-            continue
-        edge = np.diff((~used).astype(np.int8), prepend=0, append=0)
-        for s, e in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-            if e - s >= SEED_TOKENS:
-                heapq.heappush(heap, (s - e, p + s, t + s))
-    return tiles
+    edge = np.flatnonzero(np.diff(at) > SEED_TOKENS) + 1
+    starts, ends = at[np.concatenate([[0], edge])], at[np.concatenate([edge - 1, [len(at) - 1]])] + SEED_TOKENS
+    n = ends - starts + 1
+    place = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    used = np.zeros(len(place), bool)
+    used[np.cumsum(n) - 1] = True
+    return place, hashes[np.minimum(place, len(hashes) - 1)], used
+
+
+class Runs:
+    """Running hashes of any length of one token sequence, and which runs are free."""
+
+    def __init__(self, tokens: np.ndarray, used: np.ndarray) -> None:
+        n = len(tokens)
+        self.used = used
+        self.up = _powers(TOKEN_BASE, n + 1)
+        down = _powers(pow(TOKEN_BASE, -1, 1 << 64), n + 1)
+        # sums[i] = tokens[0] * B**-0 + ... + tokens[i - 1] * B**-(i - 1), brought back to B**0 by ``up``
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tokens * down[:n], dtype=np.uint64)])
+
+    def hashes(self, n: int) -> np.ndarray:
+        return (self.sums[n:] - self.sums[:-n]) * self.up[: len(self.sums) - n]
+
+    def free(self, n: int) -> np.ndarray:
+        """Places at which a run of ``n`` free tokens begins."""
+        marked = np.concatenate([[0], np.cumsum(self.used)])
+        return np.flatnonzero(marked[n:] == marked[:-n])
+
+
+def greedy_tiles(tokens: np.ndarray, used: np.ndarray, item: np.ndarray) -> list[tuple[int, int, int]]:
+    """Tiles (at in text, at in item, tokens): the longest free match goes first; ties go to the earliest place in the
+    item, then in the text. ``used``: tokens of the text that no tile may take."""
+    text, item = Runs(tokens, used.copy()), Runs(item, np.zeros(len(item), bool))
+    tiles, most = [], min(len(tokens), len(item.used))
+    while True:
+        # Runs of one length that both have free are also there of any smaller length: bisect for the largest.
+        low, high = SEED_TOKENS - 1, most
+        while low < high:
+            n = (low + high + 1) // 2
+            both = np.intersect1d(text.hashes(n)[text.free(n)], item.hashes(n)[item.free(n)]).size
+            low, high = (n, high) if both else (low, n - 1)
+        if low < SEED_TOKENS:
+            return tiles
+        n = most = low
+        here, hashes = text.free(n), text.hashes(n)
+        order = np.argsort(hashes[here], kind="stable")
+        here, value = here[order], hashes[here][order]
+        wanted, places = item.hashes(n), item.free(n)
+        places = places[np.isin(wanted[places], value)]
+        lo, hi = np.searchsorted(value, wanted[places], "left").tolist(), np.searchsorted(value, wanted[places], "right").tolist()
+        seen: dict[int, int] = {}  # what is not free of equal runs of the text stays so
+        for p, a, b in zip(places.tolist(), lo, hi, strict=True):
+            if item.used[p : p + n].any():
+                continue
+            k = seen.get(a, a)
+            while k < b and text.used[here[k] : here[k] + n].any():
+                k += 1
+            seen[a] = k
+            if k < b:
+                t = int(here[k])
+                text.used[t : t + n] = item.used[p : p + n] = True
+                tiles.append((t, p, n))
 
 
 def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
