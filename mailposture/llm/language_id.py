@@ -47,13 +47,15 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE, epochs: int = 8, seed: int = 11) -> LanguageModel:
-    """Learn from at most about ``per_language`` texts of each language, chosen by the hash of their ids.
+    """Learn from at most about ``per_language`` texts of each language, chosen by the hash of their ids and texts.
+
+    Of more than MOST_GROUPS languages the most frequent are learned, of all together about MOST_ROWS texts.
 
     Tasks turn those texts into bucket shares (2**BITS pairs a text at most), which is all that the driver gets.
     One text in five is held back from the descent, to fit the temperature.
     """
     rows = docs.filter(F.col(key).isNotNull()).select(key, text, lang)
-    sample = bounded_sample(rows, key, lang, per_language).mapInArrow(_features, "key string, lang string, at binary, share binary").collect()
+    sample = bounded_sample(rows, key, lang, per_language, text).mapInArrow(_features, "key string, lang string, at binary, share binary").collect()
     sample = sorted((r for r in sample if r["at"]), key=lambda r: (r["key"], r["lang"], r["at"]))
     languages = sorted({r["lang"] for r in sample})
     if not languages:

@@ -6,8 +6,9 @@ tail probability that a selection uses. x(text) is the mean over all byte runs o
 text, hashed into 2**BITS buckets and bounded as a sum, plus one-hot shape tokens (length, compression, capitals, symbols, spaces).
 
 Nulls and empty texts are scored as a text without runs, that is by the shape tokens alone. Rows with a null id or
-null grade are scored but never learned from. Repeated rows get equal scores. With no ratings at all every tail
-probability is 1 (nothing is known against any text). Extra columns of the input are kept as they are.
+null grade (or one that is no number) are scored but never learned from; fractional grades are cut to whole ones. Of several ratings of one id the
+worst counts, of several texts of a rated id one is learned from. Repeated rows get equal scores. With no ratings at all
+every tail probability is 1 (nothing is known against any text). Extra columns of the input are kept as they are.
 """
 
 from __future__ import annotations
@@ -17,12 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailposture.llm.common import bounded_sample, byte_view, gram_counts, gram_means, sigmoid
+from mailposture.llm.common import bounded_sample, byte_view, gram_counts, gram_means, one_text, sigmoid
 
 #: Hash buckets (power of two) and lengths of the byte runs.
 BITS, SIZES = 15, (3, 4)
@@ -78,7 +78,7 @@ def fit(ratings: DataFrame, text: str = "text", grade: str = "grade", key: str =
     The texts become sparse counts in the tasks; the driver gets those (2**BITS pairs a text at most) and fits by
     stochastic gradient steps with AdaGrad on the cumulative-link likelihood, each grade weighing the same.
     """
-    sample = bounded_sample(ratings.select(key, text, grade), key, grade, per_grade)
+    sample = bounded_sample(ratings.select(key, text, F.col(grade).try_cast("int").alias("grade")), key, "grade", per_grade, text)
     rows = sample.mapInArrow(_features, "grade int, at binary, share binary, shape binary").collect()
     grades = sorted({r["grade"] for r in rows})
     runs, shape = np.zeros(1 << BITS), np.zeros((SHAPES, SHAPE_LEVELS))
@@ -131,7 +131,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = [gram_counts(t, SIZES, BITS) for t in raw]
         yield pa.RecordBatch.from_arrays(
             [
-                pc.cast(batch.column(2), pa.int32()),
+                batch.column(2),
                 pa.array([c[0].tobytes() for c in counts], pa.binary()),
                 pa.array([c[1].tobytes() for c in counts], pa.binary()),
                 pa.array([x.tobytes() for x in shape_levels(texts).astype(np.int32)], pa.binary()),
@@ -166,5 +166,5 @@ def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, grade) of rated documents: 0 poor, 1 good but toxic, 2 good. Missing ratings give no row."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
     rated = labels.select("doc_id", grade.alias("grade")).filter("doc_id is not null and grade is not null")
-    chosen = bounded_sample(rated, "doc_id", "grade", SAMPLE_PER_GRADE).dropDuplicates(["doc_id"])
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most about 3 * SAMPLE_PER_GRADE ids
+    worst = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    return one_text(docs, bounded_sample(worst, "doc_id", "grade", SAMPLE_PER_GRADE), "grade")

@@ -7,7 +7,8 @@ states of a deterministic automaton when they first occur. Each hit is then read
 around it counts further hits, and hits inside quotation marks, quoted lines or beside words that report speech count
 apart from plain ones. A logistic regression over these sums gives the score.
 
-Null and empty texts score like texts without a hit. Texts are read whole. Rows without a label are scored, not
+Null and empty texts score like texts without a hit. Texts are read whole, quotations have any length. Rows without a
+label are scored, not learned from; an id with both labels is toxic, and of several texts of a labelled id one is
 learned from. Repeated rows get equal scores. Without labels of both kinds every text scores 0. Extra columns are kept.
 """
 
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType
 
-from mailposture.llm.common import bounded_sample, sigmoid
+from mailposture.llm.common import bounded_sample, one_text, sigmoid
 
-#: Bounds on learned rows of label 1 and label 0, on candidate terms, and on the lexicon.
-SAMPLE_TOXIC, SAMPLE_CLEAN, CANDIDATES, TERMS = 1000, 3000, 20_000, 400
+#: Bounds on learned rows of label 1 and label 0.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 1000, 3000
 #: Lengths of word beginnings that may become terms.
 TERM_LENGTHS = range(4, 13)
 #: A word that goes on for more letters than this behind a misspelled term is another word.
@@ -45,7 +46,10 @@ REPORTING = frozenset(
     "dijo dice escribió llamó palabra palabras término cita".split()
 )
 _WORD = re.compile(r"\w+")
-_QUOTED = re.compile(r"\"[^\"\n]{1,600}\"|“[^”\n]{1,600}”|«[^»\n]{1,600}»|„[^“”\n]{1,600}[“”]|^[ \t]*>.*$", re.M)
+_QUOTED_LINE = re.compile(r"^[ \t]*>.*$", re.M)
+_MARK = re.compile(r"[\"“”„«»\n]")
+#: What closes a quotation that each mark opens.
+_CLOSES = {'"': '"', "“": "”", "„": "“”", "«": "»"}
 
 
 def allowed_edits(term: str) -> int:
@@ -176,7 +180,7 @@ class ToxicityModel:
 
     def features(self, text: str | None, memory: Memory) -> tuple[np.ndarray, list[tuple[int, int]]]:
         """Sums over the hits of one text, and the hits (term, edits)."""
-        words = _WORD.findall(text.lower()) if text else []
+        words = [w.lower() for w in _WORD.findall(text)] if text else []
         found = list(map(memory.__getitem__, words))
         at = [i for i, f in enumerate(found) if f is not None]
         if not at:
@@ -197,29 +201,44 @@ class ToxicityModel:
     def _reported(text: str, words: list[str], at: list[int]) -> np.ndarray:
         """Which hits stand in quotation marks or quoted lines, or beside a word that reports speech."""
         out = np.array([any(w in REPORTING for w in words[max(0, i - 3) : i]) for i in at])
-        spans = [m.span() for m in _QUOTED.finditer(text)]
+        spans = quotations(text)
         if spans:
             starts = [m.start() for m in _WORD.finditer(text)]
-            if len(starts) == len(words):  # lower-casing may change word borders in rare scripts
-                begin, end = (np.array(x) for x in zip(*spans, strict=True))
-                place = np.array([starts[i] for i in at])
-                k = np.searchsorted(begin, place, "right") - 1
-                out |= (k >= 0) & (place < end[np.maximum(k, 0)])
+            begin, end = (np.array(x) for x in zip(*spans, strict=True))
+            place = np.array([starts[i] for i in at])
+            k = np.searchsorted(begin, place, "right") - 1
+            out |= (k >= 0) & (place < np.maximum.accumulate(end)[np.maximum(k, 0)])
         return out
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Sorted (start, end) of what stands between quotation marks of one kind within a line, and of quoted lines."""
+    spans, opened = [m.span() for m in _QUOTED_LINE.finditer(text)], {}
+    for m in _MARK.finditer(text):
+        mark = m.group()
+        if mark == "\n":
+            opened.clear()
+            continue
+        closed = [kind for kind in opened if mark in _CLOSES[kind]]
+        for kind in closed:
+            spans.append((opened.pop(kind), m.end()))
+        if not closed and mark in _CLOSES:
+            opened.setdefault(mark, m.start())
+    return sorted(spans)
+
+
 def beginnings(text: str | None) -> set[str]:
     """Word beginnings of a text that may become terms."""
-    return {w[:n] for w in set(_WORD.findall(text.lower())) for n in TERM_LENGTHS if len(w) >= n} if text else set()
+    return {w[:n] for w in {w.lower() for w in _WORD.findall(text)} for n in TERM_LENGTHS if len(w) >= n} if text else set()
 
 
 def learn(labelled: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "doc_id") -> ToxicityModel:
     """Lexicon and regression from a bounded sample of (key, text, toxic 0/1), chosen by the hash of the ids.
 
-    Terms are word beginnings found far more often in label 1 than chance allows, counted in tasks. Of these the
-    driver gets CANDIDATES at most, and from each sampled text the candidates that it holds.
+    Terms are word beginnings found far more often in label 1 than chance allows, counted in tasks. The driver gets
+    these, which the sampled texts bound, and from each sampled text the candidates that it holds.
     """
-    rows = labelled.filter(f"{key} is not null and {toxic} is not null").select(key, text, F.col(toxic).cast("int").alias("toxic")).cache()
+    rows = labelled.filter(f"{key} is not null and {toxic} is not null").select(key, text, F.col(toxic).try_cast("int").alias("toxic")).cache()
     try:
         return _learn(rows, key)
     finally:
@@ -245,7 +264,7 @@ def _learn(rows: DataFrame, key: str) -> ToxicityModel:
     # Log likelihood ratio of the observed split against a split by chance.
     gain = c1 * F.log(c1 / (p * (c1 + c0))) + F.when(c0 > 0, c0 * F.log(c0 / ((1 - p) * (c1 + c0)))).otherwise(0)
     strong = counts.filter((c1 >= 4) & ((c0 + 0.5) / n0 <= 0.05 * c1 / n1) & (gain >= math.log(1e4)))
-    found = strong.orderBy(F.desc("c1"), "term").limit(CANDIDATES).collect()
+    found = strong.orderBy(F.desc("c1"), "term").collect()
     terms, held = [r["term"] for r in found], {r["term"]: i for i, r in enumerate(found)}
     odds = np.array([math.log((r["c1"] + 0.5) / (n1 + 1)) - math.log((r["c0"] + 0.5) / (n0 + 1)) for r in found])
 
@@ -292,7 +311,7 @@ def cover(terms: list[str], texts: list[list[int]], times: int = 3, least: int =
     count, chosen = np.zeros(len(texts), np.int64), []
     open_ = set(range(len(terms)))
     gain = {i: len(sets[i]) for i in open_}
-    while open_ and len(chosen) < TERMS:
+    while open_:
         best = None
         for i in sorted(open_, key=lambda i: (-gain[i], -len(terms[i]), terms[i])):  # old gains are upper bounds
             if best is not None and gain[i] < best[0]:
@@ -349,6 +368,6 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold:
 
 def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic) of at most about SAMPLE_TOXIC and SAMPLE_CLEAN labelled documents."""
-    rated = labels.filter("doc_id is not null and toxic is not null").select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    rated = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = bounded_sample(rated.filter("toxic = 1"), "doc_id", "toxic", SAMPLE_TOXIC).union(bounded_sample(rated.filter("toxic = 0"), "doc_id", "toxic", SAMPLE_CLEAN))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # SAMPLE_TOXIC + SAMPLE_CLEAN ids, about
+    return one_text(docs, chosen, "toxic")

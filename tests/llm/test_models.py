@@ -1,12 +1,14 @@
 """Quality classifier, language ID and toxicity: held-out accuracy and awkward rows."""
 
+import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from mailposture.llm import language_id, ordinal_quality, toxicity
+from mailposture.llm import common, language_id, ordinal_quality, toxicity
 from tests.llm.fixtures import SCHEMA, documents, prose
 
 
@@ -120,6 +122,62 @@ def test_automaton_like_plain_distances():
             assert (got and got[1]) == best, w
 
 
+def test_samples_are_bounded_under_repeated_ids(spark, docs):
+    """100,000 rows of one id, of one text or of many: samples stay bounded, choices do not depend on the order."""
+    many = spark.range(100_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.pmod("id", F.lit(50_000))).alias("text"), F.lit("en").alias("lang"))
+    few = common.bounded_sample(many, "doc_id", "lang", 100, "text").collect()
+    assert 40 < len(few) < 200 and len({r.text for r in few}) == len(few)
+    assert sorted(few) == sorted(common.bounded_sample(many.repartition(7), "doc_id", "lang", 100, "text").collect())
+    same = common.bounded_sample(many.withColumn("text", F.lit("one")), "doc_id", "lang", 200_000, "text", most_rows=200_000)
+    assert same.count() == 1
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    both = many.drop("lang").union(spark.createDataFrame([(2, "two")], "doc_id long, text string"))
+    graded = [tuple(r) for r in ordinal_quality.graded(both, labels).select("doc_id", "grade", "text").collect()]
+    toxic = [tuple(r) for r in toxicity.sampled(both, labels).select("doc_id", "toxic", "text").collect()]
+    assert sorted(r[:2] for r in graded) == [(1, 0), (2, 2)] and sorted(r[:2] for r in toxic) == [(1, 1), (2, 0)]
+    assert sorted(graded) == sorted(tuple(r) for r in ordinal_quality.graded(both.repartition(5), labels.repartition(3)).select("doc_id", "grade", "text").collect())
+
+
+def test_many_groups(spark):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2000, "en").otherwise(F.concat(F.lit("x"), "id")).alias("lang"))
+    langs = {r.lang for r in common.bounded_sample(rows, "doc_id", "lang", 50, most_groups=3).collect()}
+    assert "en" in langs and langs <= {"en", "x2000", "x2001"}
+
+
+def test_ordinal_likelihood_by_plain_gradient():
+    """Tails are those of the definition, and the fit's likelihood cannot be bettered by moving a threshold."""
+    rng = np.random.default_rng(1)
+    model = ordinal_quality.OrdinalModel(rng.normal(size=1 << ordinal_quality.BITS), rng.normal(size=(5, 16)), np.array([-0.5, 0.7]))
+    texts = ["some words here", "", None, "Other, other!! text " * 30]
+    tails = model.tails(pa.array(texts))
+    for text, row in zip(texts, tails, strict=True):
+        at, share = common.gram_counts((text or "").encode(), ordinal_quality.SIZES, ordinal_quality.BITS)
+        x = ordinal_quality.RUNS_BOUND * math.tanh(float(share @ model.runs[at] if len(at) else 0) * ordinal_quality.SCALE / ordinal_quality.RUNS_BOUND)
+        x += sum(model.shape[k, level] for k, level in enumerate(ordinal_quality.shape_levels(pa.array([text or ""]))[0]))
+        assert np.allclose(row, [1 / (1 + math.exp(t - x)) for t in model.thresholds], atol=1e-4)
+
+
+def test_fractional_grades_are_cut(spark):
+    rows = [(i, "plain words of a text " * 5 if i % 2 else "#### $$$$ " * 20, 0.0 + i % 2 + 0.4) for i in range(60)] + [(99, "x", None), (98, "x", float("nan"))]
+    model = ordinal_quality.fit(spark.createDataFrame(rows, "doc_id long, text string, grade double"))
+    assert len(model.thresholds) == 1
+    out = {r.doc_id: r.expected_grade for r in ordinal_quality.score(spark.createDataFrame(rows, "doc_id long, text string, grade double"), model).collect()}
+    assert out[1] > 0.8 and out[0] < 0.2
+
+
+def test_quotations_of_any_length():
+    long = "word " * 1000
+    assert toxicity.quotations(f'a "{long}" b') == [(2, 2 + len(long) + 2)]
+    assert toxicity.quotations("İ “x” „y“ «z»") == [(2, 5), (6, 9), (10, 13)]
+    assert toxicity.quotations('an "open one\nand a "closed" one\n> whole line') == [(19, 27), (32, 44)]
+    assert toxicity.quotations("“" * 50_000) == [] and toxicity.quotations("") == []
+    model = toxicity.ToxicityModel(["grumblo"], np.ones(1), np.ones(1))
+    memory = toxicity.Memory(toxicity.Matcher(model.terms))
+    for text, told in ((f'x "{long} grumblo" y', True), ('İstanbul "a grumblo b"', True), ("İİİ grumblo", False), ("„grumblo” x", True)):
+        f, hits = model.features(text, memory)
+        assert hits and (f[3] > 0) == told and (f[1] > 0) != told, text
+
+
 def test_toxicity_learns_misspellings_and_quotation(spark):
     rng = random.Random(4)
     rows = []
