@@ -4,11 +4,12 @@ Every (key, shard) pair has its own hash u in (0, 1); a record goes to the shard
 The place depends on the key and the shards alone, so a new shard takes records only into itself, on average
 weight / total weight of them, and no other record moves.
 
-Within its shard each record gets a slot, gapless from 0, in the order of a hash of its key. Slots are numbered
-without gathering a shard in one task: a bucket is a range of that hash, buckets are counted first, and each bucket
-is numbered on its own above the sum of those before it. Ties (repeated keys) are numbered by the given tie columns;
-rows equal in all of them are interchangeable. A null key is a key like any other. Empty tables give no rows. Other
-columns are kept; the new names must not exist yet.
+Within its shard each record gets a slot, gapless from 0, in the order of a hash of its key and of the columns that tell
+rows of one key apart. Slots are numbered without gathering a shard or a key in one task: a bucket is a range of that
+hash, buckets are counted first, and each bucket is numbered on its own above the sum of those before it. Rows equal in
+all columns are interchangeable; if so many are equal that they fill a bucket, they are counted, numbered as one and
+dealt out again. A null key is a key like any other. Empty tables give no rows. Other columns are kept; the new names
+must not exist yet, or be given a prefix.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailposture.llm.common import planned_buckets
+from mailposture.llm.common import cut, planned_buckets
 
 #: Rows that one numbering task handles about, and the most ranges a shard is parted into.
 ROWS_PER_RANGE, MOST_RANGES = 50_000, 2048
+#: A range with more than FULL times the usual number of rows holds copies of one row.
+FULL = 4
 
 
 def place(key: str, weights: list[float]) -> Column:
@@ -35,20 +38,39 @@ def place(key: str, weights: list[float]) -> Column:
     return (-(F.greatest(*scores) if len(scores) > 1 else scores[0])["j"]).cast("int")
 
 
-def assign(records: DataFrame, key: str, weights: list[float], ties: list[str] | None = None, grown: list[float] | None = None) -> DataFrame:
-    """Add shard and slot, and grown_shard (the place among the weights ``grown``) if given."""
-    placed = records.withColumn("shard", place(key, weights))
+def assign(records: DataFrame, key: str, weights: list[float], ties: list[str] | None = None, grown: list[float] | None = None, prefix: str = "") -> DataFrame:
+    """Add shard and slot, and grown_shard (the place among the weights ``grown``) if given; ``prefix`` goes before them.
+
+    ``ties``: the columns that tell rows of one key apart, all if not given.
+    """
+    shard, slot, larger = (f"{prefix}{x}" for x in ("shard", "slot", "grown_shard"))
+    added = [shard, slot, *([larger] if grown else [])]
+    if clash := {*added, "_order", "_tie", "_range", "_times", "_before", "_start", "_part", "_i"} & set(records.columns):
+        raise ValueError(f"columns exist already, give a prefix: {sorted(clash)}")
+    placed = records.withColumn(shard, place(key, weights))
     if grown:
-        placed = placed.withColumn("grown_shard", place(key, grown))
-    ranges = planned_buckets(records.count() // len(weights), ROWS_PER_RANGE, MOST_RANGES)
+        placed = placed.withColumn(larger, place(key, grown))
+    largest = placed.groupBy(shard).count().agg(F.max("count")).first()[0] or 0
+    ranges = planned_buckets(largest, ROWS_PER_RANGE, MOST_RANGES)
     bits = ranges.bit_length() - 1
-    order = F.xxhash64(F.col(key), F.lit("slot"))
-    ranged = placed.withColumn("_order", order).withColumn("_range", F.shiftrightunsigned("_order", 64 - bits).cast("int") if bits else F.lit(0))
-    counts = ranged.groupBy("shard", "_range").count()  # at most len(weights) * MOST_RANGES rows
-    before = counts.select("shard", "_range", (F.sum("count").over(Window.partitionBy("shard").orderBy("_range")) - F.col("count")).alias("_before"))
-    numbered = F.row_number().over(Window.partitionBy("shard", "_range").orderBy(F.shiftrightunsigned("_order", 1), "_order", key, *(ties or [])))
-    out = ranged.withColumn("_rank", numbered).join(F.broadcast(before), ["shard", "_range"])
-    return out.select(*placed.columns, (F.col("_before") + F.col("_rank") - 1).cast("long").alias("slot"))
+    content = [key, *(ties if ties is not None else [c for c in records.columns if c != key])]
+    ranged = placed.withColumns({"_order": F.xxhash64(*content, F.lit("slot")), "_tie": F.xxhash64(*content, F.lit("tie"))})
+    ranged = ranged.withColumn("_range", F.shiftrightunsigned("_order", 64 - bits).cast("int") if bits else F.lit(0))
+    counts = cut(ranged.groupBy(shard, "_range").count())  # at most len(weights) * MOST_RANGES rows
+    before = counts.select(shard, "_range", (F.sum("count").over(Window.partitionBy(shard).orderBy("_range")) - F.col("count")).alias("_before"))
+    most = counts.agg(F.max("count")).first()[0] or 0
+    bucket = Window.partitionBy(shard, "_range").orderBy("_order", "_tie")
+    if most <= FULL * max(ROWS_PER_RANGE, largest // ranges):
+        out = ranged.withColumn("_i", F.row_number().over(bucket) - 1).join(F.broadcast(before), [shard, "_range"])
+        return out.select(*placed.columns, (F.col("_before") + F.col("_i")).cast("long").alias(slot))
+    once = ranged.groupBy(*ranged.columns).agg(F.count("*").alias("_times"))
+    start = F.sum("_times").over(bucket.rowsBetween(Window.unboundedPreceding, -1))
+    once = once.withColumn("_start", F.coalesce(start, F.lit(0))).join(F.broadcast(before), [shard, "_range"])
+    # Parts of ROWS_PER_RANGE copies are dealt to tasks before the copies are made.
+    parts = once.withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_times") - 1) / ROWS_PER_RANGE)))).repartition("_order", "_part")
+    first = F.col("_part") * ROWS_PER_RANGE
+    out = parts.withColumn("_i", F.explode(F.sequence(first, F.least(first + ROWS_PER_RANGE, "_times") - 1)))
+    return out.select(*placed.columns, (F.col("_before") + F.col("_start") + F.col("_i")).cast("long").alias(slot))
 
 
 def moved_share(placed: DataFrame) -> DataFrame:

@@ -1,12 +1,13 @@
 """Sharding, mixing, quotation linking, the registered queries and the pipeline."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mailposture.llm import mixing, queries, quotation, rendezvous, sql
+from mailposture.llm import common, mixing, queries, quotation, rendezvous, sql
 from tests.llm.fixtures import SCHEMA, documents, prose
 from tests.oracle import duck_rows, spark_rows
 
@@ -16,6 +17,30 @@ def docs(spark):
     return spark.createDataFrame(documents(), SCHEMA).drop("shard").cache()
 
 
+def test_place_is_the_least_weighted_log(spark):
+    """Each key goes to the shard with the least -ln(u) / weight, u from the hash of key and shard."""
+    weights = [1.0, 3.0, 0.5, 2.0]
+    hashed = [F.xxhash64("id", F.lit(f"shard-{j}")).alias(f"h{j}") for j in range(4)]
+    rows = spark.range(500).select("id", *hashed, rendezvous.place("id", weights).alias("weighted"), rendezvous.place("id", [2.0] * 4).alias("even")).collect()
+    for r in rows:
+        cost = [-math.log(((r[f"h{j}"] % (1 << 64) >> 11) + 0.5) / (1 << 53)) for j in range(4)]
+        assert r.weighted == min(range(4), key=lambda j: cost[j] / weights[j])
+        assert r.even == max(range(4), key=lambda j: r[f"h{j}"])
+
+
+def test_hot_and_repeated_keys_are_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(rendezvous, "ROWS_PER_RANGE", 100)
+    one = spark.range(20_000).select(F.lit(5).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    none = spark.range(5000).select(F.lit(None).cast("int").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    same = spark.range(5000).select(F.lit(7).alias("doc_id"), F.lit("same").alias("text"))
+    for records in (one.union(none), one.union(none).union(same)):
+        out = rendezvous.assign(records, "doc_id", [1.0, 1.0, 1.0])
+        assert out.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.min("slot").alias("a"), F.max("slot").alias("b")).filter("n <> d or a <> 0 or b <> n - 1").count() == 0
+        assert sorted(map(tuple, out.select("doc_id", "text").collect()), key=repr) == sorted(map(tuple, records.collect()), key=repr)
+        again = rendezvous.assign(records.repartition(5, "text"), "doc_id", [1.0, 1.0, 1.0])
+        assert out.exceptAll(again).count() == 0
+
+
 def test_sharding(spark, docs, monkeypatch):
     monkeypatch.setattr(rendezvous, "ROWS_PER_RANGE", 2)  # many ranges
     out = rendezvous.assign(docs, "doc_id", [1.0] * 5, ["text", "source"], [1.0] * 6).collect()
@@ -28,6 +53,11 @@ def test_sharding(spark, docs, monkeypatch):
     assert rendezvous.assign(docs.limit(0), "doc_id", [1.0] * 3).count() == 0
     with pytest.raises(ValueError):
         rendezvous.place("doc_id", [1.0, 0.0])
+    clashing = docs.withColumn("shard", F.lit("x")).withColumn("slot", F.lit(-1))
+    with pytest.raises(ValueError, match="prefix"):
+        rendezvous.assign(clashing, "doc_id", [1.0] * 3)
+    kept = rendezvous.assign(clashing, "doc_id", [1.0] * 3, prefix="new_").collect()
+    assert {(r.shard, r.slot) for r in kept} == {("x", -1)} and {r.new_shard for r in kept} == {0, 1, 2}
 
 
 def test_weights_and_few_moves(spark):
@@ -82,6 +112,16 @@ def test_mixing(spark, seed):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.repeat(docs.limit(0)).count() == 0
 
 
+def test_targets_of_many_sources(spark, monkeypatch):
+    """The table of sources is dealt to ranges; targets are those of the plain rule."""
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 40)
+    rng = random.Random(8)
+    sizes = {f"host{rng.getrandbits(30):x}": rng.choice([1, 5, 40, 1000, 0]) for _ in range(300)} | {None: 7}
+    out = mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()
+    want = plain_targets(sizes)
+    assert len(out) == len(sizes) and all(abs(r.target - want[r.source]) < 1e-6 for r in out)
+
+
 def test_word_count_like_the_definition(spark):
     texts = [None, "", " ", "a", " a  b\t\nc ", " x", "a\u000bb", "x" * 10]
     got = spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.word_count().alias("n")).collect()
@@ -125,6 +165,130 @@ def test_quotation_linking(spark, width, monkeypatch):
         quotation.conversations(messages.withColumn("depth", F.lit(1)))
 
 
+def wrapped(text, width, sign):
+    """Lines of a text, cut anew, each behind a quote sign."""
+    out = []
+    for line in text.split("\n"):
+        words = line.split()
+        out += [f"{sign} {' '.join(words[i : i + width])}" for i in range(0, len(words), width)] or [sign]
+    return "\n".join(out)
+
+
+def threads(seed, convs, most):
+    """Generated conversations: replies quote their parent whole or cut, wrapped anew, with older quotes nested in it;
+    many share common lines; one conversation holds a third of all messages, most of them replies to its first."""
+    rng = random.Random(seed)
+    rows, replied, whole = [], {}, set()
+    for c in range(convs):
+        n = most if c == 0 else rng.randint(1, 12)
+        own = {}
+        for t in range(n):
+            lines = [prose(rng, "en", rng.randint(3, 14)) for _ in range(rng.randint(1, 4))]
+            if rng.random() < 0.3:
+                lines.insert(rng.randint(0, len(lines)), "Thanks a lot")
+            if len(lines) > 2 and rng.random() < 0.4:
+                lines.insert(2, "")
+            own[t] = "\n".join(lines)
+            text = own[t]
+            if t and rng.random() < 0.7:
+                parent = 0 if c == 0 and rng.random() < 0.8 else rng.randrange(t)
+                replied[c, t] = parent
+                quote = own[parent]
+                if rng.random() < 0.3:
+                    kept = [line for line in quote.split("\n") if line.strip()]
+                    quote = rng.choice(kept)
+                    block = f"> {quote}"
+                else:
+                    whole.add((c, t))
+                    block = wrapped(quote, rng.randint(3, 9), ">")
+                if (c, parent) in replied and rng.random() < 0.5:
+                    block += "\n" + wrapped(own[replied[c, parent]], 5, rng.choice([">>", "> >"]))
+                text = f"On Monday she wrote:\n{block.upper() if rng.random() < 0.2 else block}\n{own[t]}"
+            rows.append((c, t, rng.choice(["user", "assistant"]), text))
+    return rows, replied, whole
+
+
+def plain_replies(rows):
+    """Reply targets by looking at every earlier message of a conversation."""
+    said = {}
+    for c, t, _, text in rows:
+        said.setdefault(c, {})[t] = {u[4] for u in quotation.units(quotation.marked(text)) if u[0] == 0}
+    out = {}
+    for c, t, _, text in rows:
+        latest = lambda words: max((s for s in range(t) if words in said[c][s]), default=None)  # noqa: B023, E731
+        passages = {}
+        for level, passage, paragraph, size, words, n in quotation.units(quotation.marked(text)):
+            if level:
+                passages.setdefault((level, passage), []).append((size, paragraph, latest(words), n))
+        votes = {}
+        for (level, _), units in passages.items():
+            found = [u for u in units if u[2] is not None]
+            if any(u[0] == quotation.PASSAGE for u in found):
+                found = [u for u in found if u[0] == quotation.PASSAGE]
+            else:
+                whole = {u[1] for u in found if u[0] == quotation.PARAGRAPH}
+                found = [u for u in found if u[0] == quotation.PARAGRAPH or u[1] not in whole]
+            for _, _, source, n in found:
+                votes[level, source] = votes.get((level, source), 0) + n
+        if votes:
+            out[c, t] = max((-level, n, source) for (level, source), n in votes.items())[2]
+    return out
+
+
+@pytest.mark.parametrize("width", [8, 64])
+def test_generated_threads(spark, tmp_path, monkeypatch, width):
+    monkeypatch.setattr(quotation, "RANGE", width)
+    monkeypatch.setattr(common, "HOT_LEAST", 50)
+    rows, replied, whole = threads(3, 250, 700)
+    assert len(rows) > 2000
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {(r.conv_id, r.turn): r for r in quotation.conversations(messages).collect()}
+    want = plain_replies(rows)
+    assert {k: r.reply_to for k, r in out.items() if r.reply_to is not None} == want
+    # Whole quotations lead to the true parent, wrapped anew or not.
+    assert len(whole) > 500 and sum(want.get(k) == replied[k] for k in whole) > 0.99 * len(whole)
+    for k, r in out.items():
+        root, depth = k[1], 0
+        while (k[0], root) in want:
+            root, depth = want[k[0], root], depth + 1
+        assert (r.thread_root, r.depth) == (root, depth)
+    if width == 64:
+        write_table(spark, messages, tmp_path)
+        assert spark_rows(queries.op9_quotation_linking(spark, str(tmp_path))) == duck_rows(sql.OP9_QUOTATION_LINKING, str(tmp_path))
+
+
+def test_units_of_a_message():
+    text = "Hi\n> a  B\n> c\n>\n> d\n>> e\n\nown\nwords\n> f"
+    got = list(quotation.units(quotation.marked(text)))
+    passages = [(u[0], u[4], u[5]) for u in got if u[3] == quotation.PASSAGE]
+    assert passages == [(0, "hi own words", 3), (1, "a b c d", 3), (2, "e", 1), (1, "f", 1)]
+    assert [(u[0], u[4]) for u in got if u[3] == quotation.PARAGRAPH] == [(0, "hi"), (0, "own words"), (1, "a b c"), (1, "d"), (2, "e"), (1, "f")]
+    assert list(quotation.units([])) == [] and list(quotation.units(quotation.marked(">\n> \n"))) == []
+
+
+def test_assembled_conversations(spark):
+    messages = spark.createDataFrame(CHAT + [(2, 200, "user", "another text of the turn")], "conv_id long, turn long, role string, text string")
+    placed = quotation.conversations(messages)
+    whole = {r.conv_id: r for r in quotation.assemble(placed).collect()}
+    assert whole.keys() == {1, 2} and whole[1].messages == 6 and whole[2].messages == 5
+    # Thread by thread: turn 4 replies to 0, turns 2 and 3 belong to 1, turn 5 is alone.
+    said = ["How do I tie it?\nPlease help.", "Thanks", "Over, then under.", "Twice?", "Yes.", "hm"]
+    at = [whole[1].conversation.find(s) for s in said]
+    assert -1 not in at and at == sorted(at) and ">" not in whole[1].conversation.replace("|>", "")
+    parts = quotation.assemble(placed, part=2).orderBy("conv_id", "root_part", "turn_part").collect()
+    assert all(r.messages <= 4 for r in parts) and sum(r.messages for r in parts) == 11
+    assert quotation.assemble(placed.limit(0)).count() == 0
+    kept = quotation.conversations(messages.withColumn("depth", F.lit("mine")), prefix="q_").collect()
+    assert {r.depth for r in kept} == {"mine"} and max(r.q_depth for r in kept) == 2
+
+
+def write_table(spark, messages, tmp_path):
+    messages.coalesce(1).write.parquet(str(tmp_path / "c"))
+    part = next((tmp_path / "c").glob("*.parquet"))
+    for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
+        (tmp_path / f"{t}.parquet").symlink_to(part)
+
+
 def test_quote_levels_and_same_sql(spark, tmp_path):
     rows = [r for r in CHAT if r[0] is not None and r[1] is not None]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").distinct().coalesce(1).write.parquet(str(tmp_path / "c"))
