@@ -41,7 +41,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard and their slot in it."""
-    return rendezvous.assign(docs, "doc_id", [1.0] * SHARDS, ["n_chars"])
+    return rendezvous.assign(docs, "doc_id", [1.0] * SHARDS)
 
 
 STAGES = [

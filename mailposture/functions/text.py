@@ -15,15 +15,36 @@ from mailposture.functions.records import filled, no_dot, strip
 HREF = r"(?i)href\s*=\s*[\"']?(https?://[^\"'\s>]+)"
 HOST = r"(?i)\b(?:https?://)?(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+[a-z]{2,24}\b"
 #: How far behind a phrase a host is looked for.
-WINDOW, ABOUT_WINDOW, NOTICE_WINDOW = 120, 600, 400
-# Phrases with which a company speaks of its own site.
-SELF_PHRASE = r"(?i)\b(?:our|the company['’]s|the registrant['’]s)\s+(?:corporate\s+|internet\s+|investor relations\s+)?(?:web\s?site|home\s?page|internet address)"
+WINDOW, ABOUT_WINDOW, NOTICE_WINDOW = 160, 600, 400
+# How a filing names its own company, kinds of sites, and words for a site.
+OWNERS = ["company", "corporation", "registrant", "partnership", "bank"]
+SITE_KINDS = ["main", "primary", "corporate", "internet", "investor relations", "principal"]
+SITE_WORDS = ["website", "web site", "homepage", "home page", "internet website", "internet site", "internet address"]
+#: Words of a name in front of "website" at most.
+NAME_WORDS = 4
 # Hosts with these ends are files, not sites.
 FILE_ENDS = r"(?i)\.(htm|html|xml|xsd|pdf|jpg|gif|png|txt)$"
 # Entities in plain text.
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
 
 
+def either(words: list[str]) -> str:
+    """Pattern of any of the words; a blank in one stands for any blanks."""
+    return "(?:" + "|".join(w.replace(" ", r"\s+") for w in words) + ")"
+
+
+_KINDS = rf"(?:{either(SITE_KINDS)}\s+){{0,2}}"
+_SITE = rf"{_KINDS}{either(SITE_WORDS)}(?:\s+address)?"
+_OWNER = rf"the\s+{either(OWNERS)}"
+_NAME = rf"(?:[A-Z][\w&.-]*\s+){{0,{NAME_WORDS - 1}}}[A-Z][\w&.-]*"
+#: Phrases with which a company speaks of its own site: "our website", "the Company's website", "we maintain a website".
+SELF_PHRASES = [rf"(?i)\b(?:our|{_OWNER}['’]?s)\s+{_SITE}", rf"(?i)\b(?:we|{_OWNER})\s+(?:also\s+)?{either(['maintain', 'maintains', 'have established', 'has established'])}\s+an?\s+{_SITE}"]
+#: Phrases that name the owner, which must be the company: "Acme Steel's website", "the Acme website".
+POSSESSIVE, NAMED = rf"({_NAME})['’]s?\s+(?i:{_SITE})", rf"\b[Tt]he\s+({_NAME})\s+(?i:{_SITE})"
+#: "Its" may be another company, so the domain must fit the name: "through its website".
+ITS_PHRASE = rf"(?i)\b{either(['through', 'on', 'at', 'via'])}\s+its\s+{_SITE}"
+
+
 def url_hosts(urls: Column) -> Column:
     """Comparable hosts of an array of URLs; those that are none are left out."""
     return F.array_compact(F.transform(urls, lambda u: hostname(F.regexp_replace(F.regexp_extract(u, r"(?i)^https?://([^/?#:\\]*)", 1), r"^.*@", ""))))
@@ -70,11 +91,16 @@ def page_names(html: Column, core: Column, forms: list[str], short: int = 4, lea
     return F.coalesce((F.length(core) >= least) & F.when(F.lit(strict) | (F.length(core) <= short), in_title).otherwise(anywhere), F.lit(False))
 
 
+# Legal forms at the end of an English name in capitals, and what may stand before them.
+NAME_HEADS = ["COMPANY", "CO"]
+NAME_TAILS = ["LIMITED", "LTD", "INCORPORATED", "INC", "CORPORATION", "CORP", "KK", "HOLDINGS", "HOLDING"]
+
+
 def title_names_english(html: Column, name: Column) -> Column:
     """F-T2: the title holds the full English name with its legal form, or ten letters or more of it without."""
     plain = lambda c: F.regexp_replace(F.upper(c), "[^A-Z0-9]", "")
     full = plain(name)
-    core = F.regexp_replace(full, r"(CO(MPANY)?)?(LTD|LIMITED|INC|INCORPORATED|CORP|CORPORATION|KK|HOLDINGS?)$", "")
+    core = F.regexp_replace(full, f"({'|'.join(NAME_HEADS)})?({'|'.join(NAME_TAILS)})$", "")
     head = plain(unescape(F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<title[^>]*>(.*?)</title>"), 1), " ")))
     return F.coalesce(((F.length(core) >= 10) & F.contains(head, core)) | ((F.length(core) >= 5) & (full != core) & F.contains(head, full)), F.lit(False))
 
@@ -89,23 +115,59 @@ def windows_after(text: Column, phrase: str, size: int) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?s)(?:{phrase})(?=(.{{0,{size}}}))"), 1)
 
 
-def first_hosts(texts: Column, explicit_cc: bool = True) -> Column:
-    """The first usable host in each text. Two-letter ends count only where the host is written as a site."""
+def usable_hosts(text: Column, explicit_cc: bool = True) -> Column:
+    """The hosts of a text that may be sites, in order. Two-letter ends count only where written as a site."""
     good = lambda h: ~h.rlike(FILE_ENDS) & (F.lit(not explicit_cc) | (F.length(F.substring_index(h, ".", -1)) > 2) | h.rlike(r"(?i)^(https?://|www\.)|\.(us|io|ai|co|tv|me)$"))
-    pick = lambda t: F.get(F.filter(F.regexp_extract_all(t, F.lit(HOST), 0), good), 0)
-    return F.array_compact(F.transform(texts, lambda t: hostname(F.regexp_replace(pick(t), r"(?i)^https?://", ""))))
+    return F.array_compact(F.transform(F.filter(F.regexp_extract_all(text, F.lit(HOST), 0), good), lambda h: hostname(F.regexp_replace(h, r"(?i)^https?://", ""))))
+
+
+def first_hosts(texts: Column, explicit_cc: bool = True) -> Column:
+    """The first usable host in each text."""
+    return F.array_compact(F.transform(texts, lambda t: F.get(usable_hosts(t, explicit_cc), 0)))
+
+
+def named_windows(text: Column, phrase: str, size: int) -> Column:
+    """(said, window) of each phrase with a name in it: the name, and ``size`` characters behind the phrase."""
+    behind = rf"(?s){phrase}(?=(.{{0,{size}}}))"
+    return F.arrays_zip(F.regexp_extract_all(text, F.lit(behind), 1).alias("said"), F.regexp_extract_all(text, F.lit(behind), 2).alias("window"))
+
+
+def own_name(said: Column, name: Column) -> Column:
+    """The words said are words of the company's name, common ones left out, and at least one is."""
+    words = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9&]+"), lambda w: (w != "") & ~w.isin(COMMON_WORDS))
+    return F.coalesce((F.size(words(said)) > 0) & (F.size(F.array_except(words(said), words(name))) == 0), F.lit(False))
+
+
+def stated_phrases(text: Column, name: Column | None = None) -> Column:
+    """F-T4: (window, fit) of the phrases that state a site; ``fit``: only a domain that fits the name counts."""
+    listed = lambda windows, fit: F.transform(windows, lambda w: F.struct(w.alias("window"), F.lit(fit).alias("fit")))
+    found = [listed(windows_after(text, p, WINDOW), False) for p in SELF_PHRASES]
+    if name is not None:
+        for phrase, fit in ((POSSESSIVE, False), (NAMED, True)):
+            own = F.filter(named_windows(text, phrase, WINDOW), lambda p: own_name(p["said"], name))
+            found.append(listed(F.transform(own, lambda p: p["window"]), fit))
+        found.append(listed(windows_after(text, ITS_PHRASE, WINDOW), True))
+    return F.concat(*found)
 
 
 def stated_domains(docs: DataFrame, rules: DataFrame, third: DataFrame, key: str, html: str, name: str | None = None) -> DataFrame:
-    """F-T4: (key, registrable, times, pos) of domains that a filing states as its own, third parties left out.
+    """F-T4: (key, registrable, times, pos) of domains that a filing states as its own.
 
-    One host counts for each phrase. With ``name`` only domains that fit the company's name are taken.
+    Of each phrase the first domain counts that is no third party's and not the government's. With ``name`` phrases
+    that name the company are read too.
     """
-    hosts = first_hosts(windows_after(plain_text(F.col(html)), SELF_PHRASE, WINDOW))
-    return _counted(docs, hosts, rules, third, key, name)
+    cols = [key] if name is None else [key, name]
+    phrases = docs.select(*cols, F.posexplode(stated_phrases(plain_text(F.col(html)), None if name is None else F.col(name))).alias("pos", "p"))
+    spread = phrases.select(*cols, "pos", "p.fit", F.posexplode(usable_hosts(F.col("p.window"))).alias("at", "host"))
+    known = registrable(spread, "host", rules).filter(F.col("registrable").isNotNull() & ~F.col("registrable").endswith(".gov"))
+    known = known.join(third.select(F.col("domain").alias("registrable")).distinct(), "registrable", "left_anti")
+    first = known.groupBy(*cols, "pos", "fit").agg(F.min_by("registrable", "at").alias("registrable"))
+    fits = F.lit(True) if name is None else ~F.col("fit") | name_in_domain(F.col(name), F.col("registrable"))
+    return first.filter(fits).groupBy(key, "registrable").agg(F.count("*").alias("times"), F.min("pos").alias("pos"))
 
 
-ABOUT = r"\bAbout\s+[A-Z][\w&.,' -]{1,60}"
+#: A heading about somebody: what follows it is looked through, the name included.
+ABOUT = r"\bAbout\s+(?=\p{Lu})"
 EMAIL = r"(?i)[a-z0-9._%+-]+@((?:[a-z0-9-]+\.)+[a-z]{2,24})"
 
 
@@ -113,14 +175,8 @@ def release_domains(docs: DataFrame, rules: DataFrame, third: DataFrame, key: st
     """F-T5: the same for press releases: the first host behind "About ...", and the domains of mail addresses."""
     text = plain_text(F.col(html))
     hosts = F.concat(first_hosts(windows_after(text, ABOUT, ABOUT_WINDOW)), F.array_compact(F.transform(F.regexp_extract_all(text, F.lit(EMAIL), 1), hostname)))
-    return _counted(docs, hosts, rules, third, key, None)
-
-
-def _counted(docs: DataFrame, hosts: Column, rules: DataFrame, third: DataFrame, key: str, name: str | None) -> DataFrame:
-    cols = [key] if name is None else [key, name]
-    spread = registrable(docs.select(*cols, F.posexplode(hosts).alias("pos", "host")), "host", rules)
+    spread = registrable(docs.select(key, F.posexplode(hosts).alias("pos", "host")), "host", rules)
     spread = spread.filter(F.col("registrable").isNotNull() & ~F.col("registrable").endswith(".gov"))
-    spread = spread if name is None else spread.filter(name_in_domain(F.col(name), F.col("registrable")))
     kept = spread.join(third.select(F.col("domain").alias("registrable")), "registrable", "left_anti")
     return kept.groupBy(key, "registrable").agg(F.count("*").alias("times"), F.min("pos").alias("pos"))
 
@@ -237,16 +293,34 @@ def title_forms(name: Column) -> Column:
     return F.when(base != "", F.array(base, F.concat(base, F.lit(" (企業)")))).otherwise(F.array().cast("array<string>"))
 
 
-def redirect_target(html: Column, domain: Column) -> Column:
+def tags(html: Column, name: str) -> Column:
+    """The opening tags of an element, as written."""
+    return F.regexp_extract_all(html, F.lit(rf"(?i)<{name}\b[^>]*>"), 0)
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a tag, quoted or not; NULL if there is none."""
+    value = F.regexp_extract(tag, rf"(?i)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    return filled(strip(unescape(F.regexp_replace(value, "^[\"']|[\"']$", ""))))
+
+
+def redirect_target(html: Column, domain: Column, base: Column | None = None) -> Column:
     """F-T10: where an entry page leads on the same domain: refresh, else frame, else script; relative targets are
-    taken as paths of the domain."""
-    ways = [r"(?i)<meta[^>]+http-equiv=[\"']?refresh[\"']?[^>]*content=[\"']\s*\d*\s*;?\s*url\s*=\s*[\"']?([^\"'>\s]+)", r"(?i)<frame\b[^>]*\bsrc=[\"']?([^\"'>\s]+)", r"(?i)location(?:\.href)?\s*=\s*[\"']([^\"']+)[\"']"]
+    taken as paths of the domain. A page that leads to itself (``base``, else the domain) leads nowhere."""
+    here = F.regexp_replace(F.coalesce(base, F.concat(F.lit("https://"), domain)) if base is not None else F.concat(F.lit("https://"), domain), "/+$", "")
+    refresh = F.filter(tags(html, "meta"), lambda t: F.lower(attribute(t, "http-equiv")) == "refresh")
+    waits = F.array_compact(F.transform(refresh, lambda t: F.regexp_extract(attribute(t, "content"), r"(?i)\burl\s*=\s*[\"']?([^\s\"']+)", 1)))
+    frames = F.array_compact(F.transform(tags(html, "frame"), lambda t: attribute(t, "src")))
+    # location = "x", location.href = "x" and location.replace("x")
+    script = F.regexp_extract_all(html, F.lit(r"(?i)\blocation\s*(?:\.\s*href)?(?:=|\s+=|\.replace\s*\()\s*(\"[^\"]+\"|'[^']+')"), 1)
+    scripts = F.transform(script, lambda x: F.substring(x, F.lit(2), F.length(x) - 2))
     same = []
-    for way in ways:
-        raw = filled(unescape(F.regexp_extract(html, way, 1)))
+    for way in (waits, frames, scripts):
+        raw = filled(unescape(F.get(way, 0)))
         full = F.when(raw.rlike("(?i)^https?://"), raw).when(raw.rlike("^//"), F.concat(F.lit("https:"), raw)).otherwise(F.concat(F.lit("https://"), domain, F.lit("/"), F.regexp_replace(raw, "^/+", "")))
         host = no_dot(F.lower(F.regexp_extract(full, r"(?i)^https?://([^/?#:]*)", 1)))
-        same.append(F.when((host == domain) | host.endswith(F.concat(F.lit("."), domain)), full))
+        inside = (host == domain) | host.endswith(F.concat(F.lit("."), domain))
+        same.append(F.when(inside & (F.regexp_replace(full, "/+$", "") != here), full))
     return F.coalesce(*same)
 
 
@@ -263,12 +337,26 @@ def domain_guesses(name_en: Column, ends: list[str], most: int = 4) -> Column:
     return F.when(F.size(words) > 0, F.flatten(F.transform(F.array(*[F.lit(e) for e in ends]), lambda e: F.transform(stems, lambda s: F.concat(s, F.lit("."), e))))).otherwise(F.array().cast("array<string>"))
 
 
+# Ends of the labels of holding companies, and labels under a brand's own top level that are no names.
+HOLDING_ENDS = ["-holdings", "holdings", "-hd", "hd", "-grp", "grp", "-group", "group", "-global", "global", "world", "-fg", "fg", "-corporation", "corporation", "-corp", "corp", "-inc", "inc", "bancorp"]
+GENERIC_LABELS = ["global", "corp", "corporate", "group", "www", "jp", "japan", "en", "holdings"]
+#: Ends are taken off so many times, if a label of SHORTEST letters is left; "the" is taken off labels of over THE letters.
+ENDS_OFF, SHORTEST, THE = 2, 3, 6
+
+
 def sibling_domains(domain: Column, ends: list[str]) -> Column:
-    """F-T11: the same label under other ends, also without a holding suffix."""
-    label = F.regexp_extract(domain, r"^([^.]*)", 1)
-    short = F.regexp_replace(label, r"-?(holdings|hd|grp|group|global|world|fg|corporation|corp|inc|bancorp)$", "")
-    labels = F.array_distinct(F.array_compact(F.array(label, F.when(F.length(short) >= 3, short))))
-    return F.filter(F.array_distinct(F.flatten(F.transform(labels, lambda x: F.array(*[F.concat(x, F.lit(f".{e}")) for e in ends])))), lambda d: d != domain)
+    """F-T11: the same label under other ends, also without "the" and without one or two holding ends.
+
+    ``domain`` is a registrable domain. The label of a brand's own top level (``global.acme``) is the brand.
+    """
+    label, rest = F.substring_index(domain, ".", 1), F.regexp_extract(domain, r"^[^.]*\.(.*)$", 1)
+    label = F.when(label.isin(GENERIC_LABELS) & ~F.contains(rest, F.lit(".")), rest).otherwise(label)
+    labels = F.array_compact(F.array(label, F.when(label.startswith("the") & (F.length(label) > THE), F.substring(label, F.lit(4), F.length(label)))))
+    for _ in range(ENDS_OFF):
+        shorter = lambda x: F.transform(F.array(*[F.lit(e) for e in HOLDING_ENDS]), lambda e: F.when(x.endswith(e) & (F.length(x) - F.length(e) >= SHORTEST), F.regexp_replace(F.substring(x, F.lit(1), F.length(x) - F.length(e)), "-+$", "")))
+        labels = F.array_distinct(F.concat(labels, F.array_compact(F.flatten(F.transform(labels, shorter)))))
+    spread = F.flatten(F.transform(labels, lambda x: F.array(*[F.concat(x, F.lit(f".{e}")) for e in ends])))
+    return F.filter(F.array_distinct(spread), lambda d: d != domain)
 
 
 # Katakana rows and the consonant of each; a row has the vowels a i u e o.
@@ -325,8 +413,9 @@ def decode_page(body: Column, header: Column) -> Column:
     theirs need spark.sql.legacy.codingErrorAction (which puts a mark in place of such bytes).
     """
     names = F.create_map(*[F.lit(x) for pair in CHARSETS.items() for x in pair])
-    head = F.decode(F.substring(body, 1, 8192), "ISO-8859-1")
-    declared = F.coalesce(names[F.lower(strip(header))], names[F.lower(F.regexp_extract(head, r"(?i)<meta[^>]+charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", 1))])
+    metas = tags(F.decode(F.substring(body, 1, 8192), "ISO-8859-1"), "meta")
+    written = F.transform(metas, lambda t: F.coalesce(attribute(t, "charset"), filled(F.regexp_extract(attribute(t, "content"), r"(?i)charset\s*=\s*([^\s;]+)", 1))))
+    declared = F.coalesce(names[F.lower(strip(header))], names[F.lower(F.get(F.array_compact(written), 0))])
     text = body.cast("string")
     charset = F.coalesce(declared, F.when(F.is_valid_utf8(text), "UTF-8").otherwise("windows-31j"))
     out = F.make_valid_utf8(text)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mailposture.functions.classify import yes
 from mailposture.functions.names import suffixes
+from mailposture.operators.tables import must_be_short, short
 
 # Discovery methods that follow DNS only, and those that prove ownership.
 DNS_METHODS = ["spf_redirect", "spf_include", "dmarc_rua"]
@@ -119,7 +120,7 @@ def report_targets(facts: DataFrame, vendors: DataFrame) -> DataFrame:
     """
     spread = facts.select("domain", "entity_id", F.explode("dmarc_rua").alias("target")).filter("target <> domain")
     counts = spread.groupBy("target").agg(F.count_distinct("domain").alias("domains"), F.count_distinct("entity_id").alias("entities"))
-    known = counts.join(F.broadcast(vendors), F.expr("rlike(target, concat('(?i)', pattern))"), "left")
+    known = counts.join(must_be_short(vendors), F.expr("rlike(target, concat('(?i)', pattern))"), "left")
     return known.groupBy("target", "domains", "entities").agg(F.min("vendor").alias("vendor"))
 
 
@@ -189,7 +190,7 @@ def plan_volume(plan: DataFrame) -> DataFrame:
 
 def allowed(plan: DataFrame, config: DataFrame) -> DataFrame:
     """The rows of a plan (with tier) whose purpose the tier's configuration allows; a short table."""
-    return plan.join(F.broadcast(config.select("tier", "purpose").distinct()), ["tier", "purpose"], "left_semi")
+    return plan.join(short(config.select("tier", "purpose").distinct()), ["tier", "purpose"], "left_semi")
 
 
 def measured(domains: DataFrame, tier: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mailposture.functions.classify import yes
 from mailposture.functions.records import join_chunks
+from mailposture.operators.tables import short
 
 
 def dedupe_last(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
@@ -36,8 +37,8 @@ def compare_methods(a: DataFrame, b: DataFrame, keys: list[str], purpose: str, o
     Kinds: only_in_a, only_in_b, observation_differs (one side could not ask), presence_differs, values_differ, agree.
     Both sides must be free of repeated keys (``dedupe_last``); purposes that one side lacks are no difference.
     """
-    both = a.select(purpose).distinct().intersect(b.select(purpose).distinct())
-    take = lambda df, p: df.join(F.broadcast(both), purpose, "left_semi").select(*keys, *[F.col(c).alias(f"{p}_{n}") for c, n in ((observed, "o"), (present, "p"), (values, "v"))], F.lit(True).alias(p))
+    both = short(a.select(purpose).distinct().intersect(b.select(purpose).distinct()))
+    take = lambda df, p: df.join(both, purpose, "left_semi").select(*keys, *[F.col(c).alias(f"{p}_{n}") for c, n in ((observed, "o"), (present, "p"), (values, "v"))], F.lit(True).alias(p))
     joined = take(a, "a").join(take(b, "b"), keys, "full")
     kind = (
         F.when(F.col("b").isNull(), "only_in_a")
@@ -88,7 +89,7 @@ def saturation(hits: DataFrame, item: str, domain: str, order: list[str] | None
     else:
         places = rows.sparkSession.createDataFrame(list(enumerate(order, 1)), "used int, item string")
         ranked = places.join(counts, "item", "left").na.fill(0, ["hits"])
-    finders = rows.join(F.broadcast(ranked.select("item", "used")), "item").groupBy("domain").agg(F.min("used").alias("used"))
+    finders = rows.join(short(ranked.select("item", "used")), "item").groupBy("domain").agg(F.min("used").alias("used"))
     new = finders.groupBy("used").agg(F.count("*").alias("new_domains"))
     out = ranked.join(new, "used", "left").na.fill(0, ["new_domains"])
     upto = F.sum("new_domains").over(Window.orderBy("used").rowsBetween(Window.unboundedPreceding, 0))

@@ -1,4 +1,4 @@
-"""From raw answers to facts: one row a domain, and the joins that follow names (F-R19, J1, J20, J28 to J34, W7)."""
+"""From raw answers to facts: one row a domain, and the joins that follow names (F-R19, F-C2, J1, J20, J28 to J34, W7)."""
 
 from __future__ import annotations
 
@@ -8,46 +8,53 @@ from pyspark.sql import functions as F
 from mailposture.functions import records as R
 from mailposture.functions.classify import any_true, yes
 from mailposture.functions.names import registrable, suffixes
+from mailposture.operators.tables import least_row
 from mailposture.session import cut
 
 #: Names that a tree walk asks for at most, and labels from which it goes on for long names.
 WALK_NAMES, WALK_LABELS = 8, 7
 
 
-def answers_of(bronze: DataFrame, purpose: str) -> Column:
-    """Aggregate: joined character strings of all observed answers of a purpose, in query order."""
-    values = F.transform("answers", lambda a: R.join_chunks(a["data"]))
-    row = F.when((F.col("purpose") == purpose) & yes(F.col("observed")) & F.col("answers").isNotNull(), F.struct("query_name", "ts", values.alias("v")))
-    return F.flatten(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["v"]))
-
-
 def build_facts(bronze: DataFrame) -> DataFrame:
     """F-R19: one row for each domain of the bronze table, with the columns of F-R2 to F-R18.
 
-    One shuffle by domain; a domain has as many rows as its measurement plan has queries. NULL stays "not known".
+    One shuffle by domain and one list of its rows in query order, which is then read by purpose; a domain has as many
+    rows as its measurement plan has queries. NULL stays "not known".
     """
+    seen = yes(F.col("observed"))
+    row = F.struct(
+        "purpose",
+        "query_name",
+        "ts",
+        F.transform("answers", lambda a: R.join_chunks(a["data"])).alias("v"),
+        F.when(F.col("purpose") == "spf", F.transform("answers", lambda a: a["data"])).alias("chunks"),
+        "protocol",
+        F.element_at(F.when(F.size("cname_chain") > 0, F.col("cname_chain")), -1).alias("cname"),
+        seen.alias("seen"),
+        (seen & yes(F.col("record_present"))).alias("present"),
+    )
     is_purpose = lambda p: F.col("purpose") == p
-    first_txt = F.when(yes(F.col("observed")) & yes(F.col("record_present")), F.get(F.transform("answers", lambda a: R.join_chunks(a["data"])), 0))
-    selector = F.substring_index("query_name", "._domainkey.", 1)
-    key = F.when(is_purpose("dkim"), F.struct(selector.alias("selector"), first_txt.alias("txt"), F.element_at(F.when(F.size("cname_chain") > 0, F.col("cname_chain")), -1).alias("cname")))
-    chunks = F.when(is_purpose("spf") & yes(F.col("observed")), F.struct("query_name", "ts", F.transform("answers", lambda a: a["data"]).alias("chunks"), "protocol"))
     grouped = bronze.groupBy("domain").agg(
         F.coalesce(F.bool_or("observed"), F.lit(False)).alias("observed"),
         F.bool_or("record_present").alias("_present"),
-        F.count_if(is_purpose("mx")).alias("_n_mx"),
-        answers_of(bronze, "mx").alias("_mx"),
-        answers_of(bronze, "spf").alias("_txt"),
-        answers_of(bronze, "dmarc").alias("_dmarc_txt"),
-        answers_of(bronze, "mta_sts").alias("_sts"),
-        answers_of(bronze, "tls_rpt").alias("_rpt"),
-        answers_of(bronze, "bimi").alias("_bimi"),
-        answers_of(bronze, "dane").alias("_tlsa"),
-        F.coalesce(F.bool_or(yes(F.col("observed")) & yes(F.col("dnssec.ad"))), F.lit(False)).alias("dnssec_signed"),
-        F.array_sort(F.collect_list(key)).alias("_keys"),
+        F.coalesce(F.bool_or(seen & yes(F.col("dnssec.ad"))), F.lit(False)).alias("dnssec_signed"),
         F.coalesce(F.bool_or(is_purpose("dkim_control") & yes(F.col("record_present"))), F.lit(False)).alias("dkim_wildcard_suspect"),
-        F.max(F.when(is_purpose("dkim_wildcard"), first_txt)).alias("_wildcard"),
-        F.bool_or(F.when(is_purpose("dkim_parent") & yes(F.col("observed")), F.when(F.col("rcode") == "NXDOMAIN", False).when(F.col("rcode").isin("NOERROR", "NODATA"), True))).alias("_domainkey"),
-        F.array_min(F.collect_list(chunks)).alias("_apex"),
+        F.bool_or(F.when(is_purpose("dkim_parent") & seen, F.when(F.col("rcode") == "NXDOMAIN", False).when(F.col("rcode").isin("NOERROR", "NODATA"), True))).alias("_domainkey"),
+        F.array_sort(F.collect_list(row)).alias("_rows"),
+    )
+    rows_of = lambda p: F.filter("_rows", lambda r: r["purpose"] == p)
+    texts = lambda p: F.flatten(F.transform(F.filter("_rows", lambda r: (r["purpose"] == p) & r["seen"] & r["v"].isNotNull()), lambda r: r["v"]))
+    first = lambda r: F.when(r["present"], F.get(r["v"], 0))
+    key = lambda r: F.struct(F.substring_index(r["query_name"], "._domainkey.", 1).alias("selector"), first(r).alias("txt"), r["cname"].alias("cname"))
+    names = {"_mx": "mx", "_txt": "spf", "_dmarc_txt": "dmarc", "_sts": "mta_sts", "_rpt": "tls_rpt", "_bimi": "bimi", "_tlsa": "dane"}
+    grouped = grouped.withColumns(
+        {
+            **{c: texts(p) for c, p in names.items()},
+            "_n_mx": F.size(rows_of("mx")),
+            "_keys": F.array_sort(F.transform(rows_of("dkim"), key)),
+            "_wildcard": F.array_max(F.transform(rows_of("dkim_wildcard"), first)),
+            "_apex": F.get(F.filter("_rows", lambda r: (r["purpose"] == "spf") & r["seen"]), 0),
+        }
     )
     out = grouped.withColumns({"record_present": F.when(F.col("observed"), F.coalesce("_present", F.lit(False))), **mx_row(F.col("_mx"), F.col("_n_mx"))})
     out = spf_columns(out, "_txt")
@@ -69,6 +76,39 @@ def build_facts(bronze: DataFrame) -> DataFrame:
     return out.select([c for c in out.columns if not c.startswith("_")])
 
 
+def first_look(bronze: DataFrame) -> DataFrame:
+    """F-C2: the probe row of each domain from its MX, TXT (purpose spf) and DMARC answers: (domain, observed,
+    mx_exists, null_mx, mx_hosts, spf_exists, spf_all_qualifier, spf_includes, spf_aligned, dmarc_exists, failures).
+
+    ``observed`` is false if MX or TXT could not be asked; a failed DMARC question is a failure, but not that. What was
+    never asked counts as not answered. A null MX receives nothing, so there is no MX then; of several SPF records the
+    first is read.
+    """
+    values = F.transform("answers", lambda a: R.join_chunks(a["data"]))
+    row = F.struct(yes(F.col("observed")).alias("ok"), F.coalesce("rcode", F.lit("UNKNOWN")).alias("rcode"), F.coalesce(values, R.no_strings()).alias("v"))
+    asked = {"mx": "MX", "spf": "TXT", "dmarc": "DMARC"}
+    last = [F.max_by(F.when(F.col("purpose") == p, row), F.when(F.col("purpose") == p, F.struct("ts", "query_name"))).alias(f"_{p}") for p in asked]
+    out = bronze.filter(F.col("purpose").isin(list(asked))).groupBy("domain").agg(*last)
+    ok = {p: yes(F.col(f"_{p}.ok")) for p in asked}
+    failed = [F.when(~ok[p], F.concat(F.lit(f"{name}:"), F.coalesce(f"_{p}.rcode", F.lit("not_asked")))) for p, name in asked.items()]
+    read = lambda p: F.when(ok[p], F.col(f"_{p}.v")).otherwise(R.no_strings())
+    out = out.withColumns({"_records": F.filter(read("spf"), R.is_spf), "null_mx": R.null_mx(read("mx")), "mx_hosts": R.mx_hosts(read("mx"))})
+    terms = R.spf_terms(F.get("_records", F.lit(0)))
+    return out.select(
+        "domain",
+        (ok["mx"] & ok["spf"]).alias("observed"),
+        ((F.size("mx_hosts") > 0) & ~F.col("null_mx")).alias("mx_exists"),
+        yes(F.col("null_mx")).alias("null_mx"),
+        "mx_hosts",
+        (F.size("_records") > 0).alias("spf_exists"),
+        R.all_qualifier(terms).alias("spf_all_qualifier"),
+        R.spf_includes(terms).alias("spf_includes"),
+        (F.size("_records") > 0).alias("spf_aligned"),
+        (F.size(F.filter(read("dmarc"), R.is_dmarc)) > 0).alias("dmarc_exists"),
+        F.array_compact(F.array(*failed)).alias("failures"),
+    )
+
+
 def mx_row(values: Column, n: Column) -> dict[str, Column]:
     """F-R17: MX columns; ``mx_null`` is NULL where MX was not asked for."""
     return {"mx_hosts": R.mx_hosts(values), "mx_present": (F.size(R.mx_hosts(values)) > 0) & ~R.null_mx(values), "mx_null": F.when(n > 0, R.null_mx(values))}
@@ -137,7 +177,7 @@ def spf_walk(start: DataFrame, names: DataFrame, key: str = "key", record: str =
     targets a key at most and eleven levels end every walk, loops included. ``exceeds`` and ``broken_target`` are
     NULL where a part could not be seen. Each level is cut off in the checkpoint folder.
     """
-    lookup = names.select(F.col("name").alias("target"), "txts").dropDuplicates(["target"])
+    lookup = least_row(names.select(F.col("name").alias("target"), "txts"), ["target"])
     level = start.select(F.col(key).alias("key"), F.col(record).alias("record"), F.lit("").alias("path"), F.lit(0).cast("long").alias("before")).filter("record is not null")
     seen = None
     for _ in range(R.MAX_LOOKUPS + 1):
@@ -167,7 +207,7 @@ def spf_walk(start: DataFrame, names: DataFrame, key: str = "key", record: str =
 
 def effective_all(start: DataFrame, names: DataFrame, key: str = "key", record: str = "raw_spf", hops: int = R.MAX_LOOKUPS) -> DataFrame:
     """(key, qualifier, known): the ``all`` that counts in the end, through redirects."""
-    lookup = names.select(F.col("name").alias("target"), "txts").dropDuplicates(["target"])
+    lookup = least_row(names.select(F.col("name").alias("target"), "txts"), ["target"])
     level = start.select(F.col(key).alias("key"), F.col(record).alias("record")).filter("record is not null")
     done = None
     for hop in range(hops + 1):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailposture.functions.classify import entity_id, yes
 from mailposture.functions.names import names_agree
+from mailposture.operators.tables import least_row, short
 from mailposture.session import cut
 
 ACTIVE = ["active", "renamed"]
@@ -59,8 +62,8 @@ def entity_attrs(entities: DataFrame) -> DataFrame:
 
 
 def fill_by_key(df: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Fill empty columns from a source with unique keys; what is there is never overwritten."""
-    other = source.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns]).dropDuplicates(["_key"])
+    """Fill empty columns from a source with unique keys (of several rows the least); what is there stays."""
+    other = least_row(source.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns]), ["_key"])
     joined = df.join(other, F.col(key) == F.col("_key"), "left")
     return joined.withColumns({c: F.coalesce(c, f"_{c}") for c in columns}).drop("_key", *[f"_{c}" for c in columns])
 
@@ -147,18 +150,36 @@ def fill_from_stated(df: DataFrame, stated: DataFrame, fits: Column, key: str =
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, columns: list[str], limit: int = 100_000) -> DataFrame:
-    """Left join to a mapping table, which is broadcast if it has ``limit`` rows at most."""
-    rows = table.select(key, *columns).dropDuplicates([key])
-    small = rows.limit(limit + 1).count() <= limit
-    return df.join(F.broadcast(rows) if small else rows, key, "left")
+    """Left join to a mapping table, which is broadcast if it has ``limit`` rows at most; of several rows of a
+    key the least counts."""
+    return df.join(short(least_row(table, [key], columns), limit), key, "left")
+
+
+def lookup_counts(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """(rows, matched, unmatched, no_key): how the rows fare against a mapping table."""
+    known = short(table.select(F.col(key).alias("_known")).filter("_known is not null").distinct())
+    joined = df.join(known, F.col(key) == F.col("_known"), "left")
+    empty = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
+    hit = F.col("_known").isNotNull()
+    return joined.agg(F.count("*").alias("rows"), F.count_if(hit).alias("matched"), F.count_if(~hit & ~empty).alias("unmatched"), F.count_if(~hit & empty).alias("no_key"))
+
+
+def top_unmapped(df: DataFrame, table: DataFrame, key: str, n: int = 20) -> DataFrame:
+    """(key, rows): the ``n`` most frequent labels without an entry in the mapping table, ties by the label."""
+    lost = df.filter(F.coalesce(F.col(key), F.lit("")) != "").groupBy(F.trim(key).alias(key)).agg(F.count("*").alias("rows"))
+    lost = lost.join(short(table.select(key).distinct()), key, "left_anti")
+    return lost.orderBy(F.desc("rows"), key).limit(n)
 
 
-def longest_prefix(df: DataFrame, prefixes: DataFrame, code: str, prefix: str, value: str, most: int = 16) -> DataFrame:
+def longest_prefix(df: DataFrame, prefixes: DataFrame, code: str, prefix: str, value: str) -> DataFrame:
     """Add ``value`` of the longest prefix that the code begins with.
 
-    Codes are spread into their own beginnings (``most`` letters at most) and joined on equality, so there is no
-    comparison of all codes with all prefixes.
+    Codes are spread into their own beginnings, up to the longest prefix of the table, and joined on equality, so there
+    is no comparison of all codes with all prefixes.
     """
+    most = prefixes.agg(F.coalesce(F.max(F.length(prefix)), F.lit(0))).first()[0]
+    if not most:
+        return df.withColumn(value, F.lit(None).cast(prefixes.schema[value].dataType))
     codes = df.select(F.col(code).alias("_code")).filter("_code is not null").distinct()
     parts = codes.select("_code", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("_code"), F.lit(most))), lambda n: F.substring("_code", F.lit(1), n))).alias("_prefix"))
     hits = parts.join(prefixes.select(F.col(prefix).alias("_prefix"), F.col(value).alias("_value")), "_prefix")
@@ -262,13 +283,30 @@ def coalesce_sources(df: DataFrame, sources: list[tuple[str, DataFrame]], key: s
     """Fill columns from the sources in order of priority and say in ``<column>_source`` where each came from."""
     out = df.withColumns({f"{c}_source": F.when(F.col(c).isNotNull(), "own") for c in columns})
     for name, source in sources:
-        other = source.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns]).filter("_key is not null").dropDuplicates(["_key"])
+        other = source.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns]).filter("_key is not null")
+        other = least_row(other, ["_key"])
         joined = out.join(other, F.col(key) == F.col("_key"), "left")
         fresh = {f"{c}_source": F.when(F.col(c).isNull() & F.col(f"_{c}").isNotNull(), name).otherwise(F.col(f"{c}_source")) for c in columns}
         out = joined.withColumns(fresh).withColumns({c: F.coalesce(c, f"_{c}") for c in columns}).drop("_key", *[f"_{c}" for c in columns])
     return out
 
 
+def enrich(df: DataFrame, key: str, column: str, steps: list[tuple[str, Callable[[DataFrame], DataFrame]]]) -> DataFrame:
+    """Ordered enrichment: each step fills only the rows that are still empty, and ``<column>_source`` says which.
+
+    A step gets those rows and returns (key, column), from J8, J9, J12 or any other source; of several values of a key
+    the least counts. Each step is cut off in the checkpoint folder, so that later steps do not look everything up again.
+    """
+    out = df.withColumn(f"{column}_source", F.when(F.col(column).isNotNull(), "own"))
+    for name, step in steps:
+        found = step(out.filter(F.col(column).isNull())).filter(F.col(column).isNotNull())
+        one = found.groupBy(F.col(key).alias("_key")).agg(F.min(column).alias("_value"))
+        joined = out.join(one, F.col(key) == F.col("_key"), "left")
+        fresh = F.col(column).isNull() & F.col("_value").isNotNull()
+        out = cut(joined.withColumns({f"{column}_source": F.when(fresh, name).otherwise(F.col(f"{column}_source")), column: F.coalesce(column, "_value")}).drop("_key", "_value"))
+    return out
+
+
 def provenance(df: DataFrame, column: str) -> DataFrame:
     """How many values each source gave, and how many are still missing."""
     return df.groupBy(F.coalesce(f"{column}_source", F.lit("missing")).alias("source")).agg(F.count("*").alias("rows"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mailposture.functions import classify as C
 from mailposture.functions.classify import yes
 from mailposture.functions.names import hash_id
+from mailposture.operators.tables import short
 from mailposture.session import cut
 
 VERIFICATION = "verification_txt"
@@ -72,8 +73,7 @@ def match_rules(facts: DataFrame, rules: DataFrame, keys: list[str]) -> DataFram
     """
     values = observed_values(facts, keys)
     distinct = values.select("record", "value").distinct()
-    small = rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
-    hits = distinct.join(F.broadcast(rules) if small else rules, "record").filter("rlike(value, concat('(?iu)', pattern))")
+    hits = distinct.join(short(rules, BROADCAST_RULES), "record").filter("rlike(value, concat('(?iu)', pattern))")
     record_type = F.when(F.col("category") == VERIFICATION, "VERIFICATION_TXT").otherwise(F.col("record"))
     return values.join(hits, ["record", "value"]).withColumn("record_type", record_type)
 
@@ -199,7 +199,7 @@ def selectors_for(domains: DataFrame, providers: DataFrame, core: list[str], key
 
     ``providers`` has (rank, record, pattern, selectors), a short table; ``domains`` has the value columns of facts.
     """
-    hits = observed_values(domains, keys).join(F.broadcast(providers), "record").filter("rlike(value, concat('(?i)', pattern))")
+    hits = observed_values(domains, keys).join(short(providers), "record").filter("rlike(value, concat('(?i)', pattern))")
     own = hits.groupBy(*keys).agg(F.flatten(F.transform(F.array_sort(F.collect_set(F.struct("rank", "selectors"))), lambda s: s["selectors"])).alias("_own"))
     wanted = F.array_distinct(F.concat(F.coalesce("_own", F.array().cast("array<string>")), F.array(*[F.lit(s) for s in core])))
     return domains.select(*keys).distinct().join(own, keys, "left").select(*keys, wanted.alias("selectors"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mailposture.functions import classify as C
 from mailposture.functions.classify import yes
+from mailposture.operators.tables import least_row
 
 # Bytes of a TXT answer that fit into one UDP packet, addresses from which on a range counts as broad,
 # names that stand for examples only, and the least size of a published cell.
@@ -359,7 +360,7 @@ def monthly_delta(cur: DataFrame, prev: DataFrame, prev2: DataFrame | None = Non
     Inputs have (key, observed, effective_7489, has_rua, record_present). A domain that was not observed is neither
     gone nor weaker; ``disappeared`` needs two observed absences in a row after a month in which it was observed.
     """
-    take = lambda df, p: df.select(key, *[F.col(c).alias(f"{p}_{c}") for c in ("observed", "effective_7489", "has_rua", "record_present")], F.lit(True).alias(p)).dropDuplicates([key])
+    take = lambda df, p: least_row(df, [key], ["observed", "effective_7489", "has_rua", "record_present"]).select(key, *[F.col(c).alias(f"{p}_{c}") for c in ("observed", "effective_7489", "has_rua", "record_present")], F.lit(True).alias(p))
     out = take(cur, "c").join(take(prev, "p"), key, "full")
     if prev2 is not None:
         out = out.join(take(prev2, "q"), key, "left")
@@ -428,6 +429,29 @@ def version_changes(cur: DataFrame, prev: DataFrame) -> DataFrame:
     return joined.filter(~F.col("before").eqNullSafe(F.col("after"))).join(F.broadcast(any_before), how="left_semi", on=F.lit(True)).withColumn("kind", F.when(F.col("key") == "config_hash", "config").otherwise("version"))
 
 
+def measurement_moved(versions: DataFrame, metrics: DataFrame) -> DataFrame:
+    """(version_changes, config_changes, metric_changes, coincide): the note that measuring and figures changed in
+    the same month, so that the figures' change cannot be read as one of the world.
+
+    ``versions`` comes from ``version_changes``, ``metrics`` from ``changes``.
+    """
+    measured = versions.agg(F.count_if(F.col("kind") == "version").alias("version_changes"), F.count_if(F.col("kind") == "config").alias("config_changes"))
+    both = measured.crossJoin(metrics.agg(F.count("*").alias("metric_changes")))  # a row each
+    return both.withColumn("coincide", (F.col("version_changes") + F.col("config_changes") > 0) & (F.col("metric_changes") > 0))
+
+
+def sector_set_changed(cur: DataFrame, prev: DataFrame, sector: str) -> DataFrame:
+    """(added, removed, changed): sector codes of one month only; a changed set cannot be compared sector by sector.
+
+    NULL ``changed`` where one month has no codes at all.
+    """
+    now, before = cur.select(F.col(sector).alias("s")).filter("s is not null").distinct(), prev.select(F.col(sector).alias("s")).filter("s is not null").distinct()
+    both = now.withColumn("_now", F.lit(True)).join(before.withColumn("_before", F.lit(True)), "s", "full")
+    added, removed = F.count_if(F.col("_before").isNull()).alias("added"), F.count_if(F.col("_now").isNull()).alias("removed")
+    known = (F.count("_now") > 0) & (F.count("_before") > 0)
+    return both.agg(added, removed, F.when(known, F.count_if(F.col("_before").isNull() | F.col("_now").isNull()) > 0).alias("changed"))
+
+
 def shrinking(cur: DataFrame, prev: DataFrame, key: str = "population_id", column: str = "total_domains") -> DataFrame:
     """Populations whose figure fell below the earlier one."""
     return cur.select(key, F.col(column).alias("now")).join(prev.select(key, F.col(column).alias("before")), key).filter("now < before")

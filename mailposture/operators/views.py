@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from mailposture.functions.classify import finding_codes, yes
 from mailposture.functions.names import suffixes
+from mailposture.operators.tables import must_be_short, short
+
+#: Letters of a term by which long lists of terms meet the texts, and terms up to which a list is short.
+SEED, FEW_TERMS = 4, 1000
 
 # Columns that may not leave in published tables.
 IDENTIFYING = ["entity_id", "name", "name_en", "name_normalized", "domain", "domain_id", "lei", "cik", "corporate_number", "securities_code", "official_url", "official_domain", "raw_spf", "raw_dmarc", "raw_mx", "evidence"]
@@ -71,9 +75,19 @@ def overdue(df: DataFrame, now: Column, hours: float, opened: str = "opened_at",
 def lint_text(df: DataFrame, terms: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, advice, hits, excerpt) of every term found in a text, case ignored.
 
-    ``terms`` is a short table of (term, advice); the text is read once for each term, as in any scan.
+    ``terms`` is a table of (term, advice). Each text is cut into its runs of SEED letters, of which a term's first one
+    must be among, so that texts and terms meet by an equal key; terms shorter than that are few by nature and are
+    looked for in every text.
     """
-    hit = df.select(key, F.col(text).alias("_t")).join(F.broadcast(terms), F.contains(F.lower("_t"), F.lower("term")))
+    seeded = terms.withColumn("_seed", F.lower(F.substring("term", 1, SEED)))
+    rows = df.select(key, F.col(text).alias("_t"))
+    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_t") - SEED + 1, F.lit(1))), lambda i: F.substring(F.lower("_t"), i, F.lit(SEED))))
+    if terms.limit(FEW_TERMS + 1).count() <= FEW_TERMS:
+        met = rows.join(F.broadcast(seeded), F.contains(F.lower("_t"), F.lower("term")))
+    else:
+        long = rows.withColumn("_seed", F.explode(runs)).join(short(seeded.filter(F.length("term") >= SEED)), "_seed")
+        met = long.select(key, "_t", "term", "advice", "_seed").unionByName(rows.join(must_be_short(seeded.filter(F.length("term") < SEED)), F.contains(F.lower("_t"), F.lower("term"))))
+    hit = met.filter(F.contains(F.lower("_t"), F.lower("term")))
     low, term = F.lower("_t"), F.lower("term")
     count = ((F.length(low) - F.length(F.replace(low, term, F.lit("")))) / F.length(term)).cast("long")
     at = F.instr(low, term)
@@ -128,13 +142,13 @@ def unknown_streak(by_month: DataFrame, months: DataFrame, name: str = "register
     longer than it looks.
     """
     numbered = months.withColumn("_i", F.row_number().over(Window.orderBy("month")))  # a row for each month
-    rows = by_month.join(F.broadcast(numbered), "month")
+    rows = by_month.join(short(numbered), "month")
     # Islands: consecutive list numbers less their rank within the name are equal.
     rows = rows.withColumn("_g", F.col("_i") - F.row_number().over(Window.partitionBy(name).orderBy("_i")))
     island = rows.groupBy(name, "_g").agg(F.max("_i").alias("_last"), F.min("_i").alias("_first"), F.max_by("count", "_i").alias("count"))
     newest = numbered.agg(F.max("_i").alias("_last"))
-    current = island.join(F.broadcast(newest), "_last")
+    current = island.join(F.broadcast(newest), "_last")  # one row
     before = numbered.select((F.col("_i") + 1).alias("_first"), "truncated")
-    out = current.join(F.broadcast(before), "_first", "left")
+    out = current.join(short(before), "_first", "left")
     months_unknown = F.col("_last") - F.col("_first") + 1
     return out.select(name, "count", months_unknown.cast("long").alias("months_unknown"), yes(F.col("truncated")).alias("streak_uncertain"), (months_unknown >= 3).alias("is_stale"))

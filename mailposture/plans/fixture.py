@@ -43,6 +43,22 @@ FROM customer
 #: Shift of the DMARC branch in the months that queries compare; the later months miss some customers.
 MONTHS = {1: ("0", "true"), 2: ("c_custkey % 3", "c_custkey % 17 <> 0"), 3: ("c_custkey % 4", "c_custkey % 19 <> 0")}
 
+# What else is asked of each domain, beside the columns of the fixture.
+EXTRAS = """
+SELECT *,
+ CASE k % 6 WHEN 0 THEN 'v=STSv1; id=2026' WHEN 1 THEN 'v=stsv1;id=x1' WHEN 2 THEN 'v=STSv2; id=1' END AS sts,
+ CASE k % 5 WHEN 0 THEN 'v=TLSRPTv1; rua=mailto:t@r.example' WHEN 1 THEN 'v=TLSRPTv1;rua=https://x.example/t' END AS rpt,
+ CASE k % 8 WHEN 0 THEN 'v=BIMI1; l=https://x.example/a.svg; a=https://x.example/a.pem' WHEN 1 THEN 'v=BIMI1; l=https://x.example/a.svg; a='
+  WHEN 2 THEN 'v=BIMI1; l=; a=' END AS bimi,
+ CASE k % 9 WHEN 0 THEN '3 1 1 ab' END AS tlsa,
+ CASE k % 10 WHEN 0 THEN 'v=DKIM1; p=x' END AS control,
+ CASE k % 12 WHEN 0 THEN 'v=DKIM1; p=' WHEN 1 THEN 'v=DKIM1; p=abc' END AS wildcard,
+ CASE WHEN k % 3 < 2 THEN 'v=DKIM1; k=' END AS dkim_head,
+ CASE k % 7 WHEN 3 THEN 's1.dkim.vendor-d.example.' WHEN 4 THEN 'S2.dkim.vendor-e.example' END AS cname,
+ CASE k % 5 WHEN 2 THEN 'vendor-f-verification=abc' WHEN 3 THEN 'vendor-a-site=1' END AS other
+FROM ({dns}) AS base
+"""
+
 # Names that SPF records refer to: forty, each with the TXT records that its number calls for.
 GRAPH = """
 SELECT concat('n', i, '.spf.example') AS name,
@@ -68,6 +84,43 @@ def dns(spark: SparkSession, sf_dir: str, month: int = 1) -> DataFrame:
     return _run(spark, sf_dir, dns_sql(month))
 
 
+def extras_sql(month: int = 1) -> str:
+    """The fixture with the other records as SQL over the table customer."""
+    return EXTRAS.format(dns=dns_sql(month))
+
+
+def bronze_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw answers of every purpose: beside MX, SPF, DMARC and one DKIM selector also the other records, a control
+    selector, a wildcard and the parent of the selectors (which one domain in three does not answer)."""
+    rows = _run(spark, sf_dir, extras_sql())
+    rows = rows.withColumn("dkim", F.concat("dkim_head", F.when(F.col("k") % 3 == 0, F.concat(F.lit("rsa; p="), F.repeat(F.lit("MIIB"), 98))).otherwise(F.concat(F.lit("ed25519; p="), F.repeat(F.lit("A"), 44)))))
+    one = lambda c: F.array(F.struct(F.lit("TXT").alias("type"), F.lit(300).alias("ttl"), F.array(F.substring(c, 1, 12), F.expr(f"substring({c}, 13)")).alias("data")))
+    answers = {"mx": ("", "mx"), "dmarc": ("_dmarc.", "dmarc"), "dkim": ("s1._domainkey.", "dkim"), "mta_sts": ("_mta-sts.", "sts"), "tls_rpt": ("_smtp._tls.", "rpt"), "bimi": ("default._bimi.", "bimi"), "dane": ("_25._tcp.mx.", "tlsa"), "dkim_control": ("x-1._domainkey.", "control"), "dkim_wildcard": ("*._domainkey.", "wildcard")}
+    none = F.array().cast("array<struct<type:string,ttl:int,data:array<string>>>")
+    item = lambda purpose, prefix, found, rcode: F.struct(F.lit(purpose).alias("purpose"), F.concat(F.lit(prefix), F.col("domain")).alias("query_name"), found.alias("found"), rcode.alias("asked"))
+    listed = [item(p, prefix, F.when(F.col(c).isNotNull(), one(c)).otherwise(none), F.lit("NOERROR")) for p, (prefix, c) in answers.items()]
+    both = F.concat(F.when(F.col("spf").isNotNull(), one("spf")).otherwise(none), F.when(F.col("other").isNotNull(), one("other")).otherwise(none))
+    listed.append(item("spf", "", both, F.lit("NOERROR")))
+    listed.append(item("dkim_parent", "_domainkey.", none, F.when(F.col("k") % 3 == 0, "NXDOMAIN").when(F.col("k") % 3 == 1, "NODATA").otherwise("SERVFAIL")))
+    spread = rows.select("k", "domain", "cname", "observed", F.explode(F.array(*listed)).alias("q"))
+    seen = F.col("observed") & (F.col("q.asked") != "SERVFAIL")
+    present = F.size("q.found") > 0
+    return spread.select(
+        "domain",
+        "q.query_name",
+        "q.purpose",
+        F.lit("base").alias("method"),
+        F.lit("2026-01-01 00:00:00").cast("timestamp").alias("ts"),
+        F.when((F.col("q.purpose") == "spf") & (F.col("k") % 6 == 0), "tcp").otherwise("udp").alias("protocol"),
+        F.when(~F.col("observed"), "SERVFAIL").when(F.col("q.asked") != "NOERROR", F.col("q.asked")).when(present, "NOERROR").otherwise("NODATA").alias("rcode"),
+        seen.alias("observed"),
+        F.when(seen, present).alias("record_present"),
+        F.when(seen, F.col("q.found")).alias("answers"),
+        F.when((F.col("q.purpose") == "dkim") & F.col("cname").isNotNull() & seen, F.array(F.lit("hop.example"), F.col("cname"))).otherwise(F.array().cast("array<string>")).alias("cname_chain"),
+        F.struct(F.lit(True).alias("do"), (seen & (F.col("k") % 4 == 0)).alias("ad"), F.lit(False).alias("rrsig_present")).alias("dnssec"),
+    )
+
+
 def _run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("FROM customer", "FROM {customer}"), customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
 

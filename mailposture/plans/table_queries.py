@@ -32,9 +32,9 @@ def saturation_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def method_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User against assistant messages by conversation and pair of turns: presence, length class, largest first letter of the texts."""
+    """User against assistant messages by conversation and pair of turns: presence, length class, and all texts of a side."""
     rows = table(spark, sf_dir, "conversations").filter("role in ('user', 'assistant')")
-    side = lambda role: rows.filter(F.col("role") == role).groupBy("conv_id", F.floor(F.col("turn") / 2).alias("pair")).agg(F.lit("chat").alias("purpose"), (F.max("turn") < 6).alias("observed"), (F.max(F.length("text")) > 60).alias("record_present"), F.max(F.substring("text", 1, 1)).alias("found"))
+    side = lambda role: rows.filter(F.col("role") == role).groupBy("conv_id", F.floor(F.col("turn") / 2).alias("pair")).agg(F.lit("chat").alias("purpose"), (F.max("turn") < 6).alias("observed"), (F.max(F.length("text")) > 60).alias("record_present"), F.array_sort(F.collect_set(F.sha2("text", 256))).alias("found"))
     return compare.compare_methods(side("user"), side("assistant"), ["conv_id", "pair"], "purpose")
 
 

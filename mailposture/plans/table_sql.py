@@ -12,7 +12,7 @@ SELECT used::INT AS used, item, hits, coalesce(n, 0) AS new_domains, (sum(coales
 ORACLE["saturation_curve"] = f"WITH pairs AS (SELECT DISTINCT event_type AS item, user_id AS domain FROM events), {_CURVE}"
 ORACLE["saturation_orders"] = f"WITH pairs AS (SELECT DISTINCT concat('d', day(o_orderdate)) AS item, o_custkey AS domain FROM orders), {_CURVE}"
 
-_SIDES = """s AS (SELECT role, conv_id, floor(turn / 2)::BIGINT AS pair, max(turn) < 6 AS o, max(len(text)) > 60 AS p, max(substr(text, 1, 1)) AS v FROM conversations WHERE role IN ('user', 'assistant') GROUP BY ALL),
+_SIDES = """s AS (SELECT role, conv_id, floor(turn / 2)::BIGINT AS pair, max(turn) < 6 AS o, max(len(text)) > 60 AS p, list_sort(list(DISTINCT sha256(text))) AS v FROM conversations WHERE role IN ('user', 'assistant') GROUP BY ALL),
 kinds AS (SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.pair, b.pair) AS pair,
   CASE WHEN b.conv_id IS NULL THEN 'only_in_a' WHEN a.conv_id IS NULL THEN 'only_in_b' WHEN NOT a.o OR NOT b.o THEN 'observation_differs' WHEN a.p <> b.p THEN 'presence_differs' WHEN a.v IS DISTINCT FROM b.v THEN 'values_differ' ELSE 'agree' END AS kind
   FROM (SELECT * FROM s WHERE role = 'user') a FULL JOIN (SELECT * FROM s WHERE role = 'assistant') b ON a.conv_id = b.conv_id AND a.pair = b.pair)"""

@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use spark.checkpoint.dir; a temporary folder only where none is named, as in tests."""
+    """Use spark.checkpoint.dir. Where none is named, a temporary folder serves a local session, as in tests; on a
+    cluster executors would not see it, so that raises."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="checkpoint-"))
+    if sc.getCheckpointDir() is not None:
+        return
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
 def cut(df: DataFrame) -> DataFrame:

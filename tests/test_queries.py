@@ -2,7 +2,7 @@
 
 import pytest
 
-from mailposture.plans import queries, sql, table_queries, table_sql  # noqa: F401
+from mailposture.plans import more_queries, more_sql, queries, sql, table_queries, table_sql  # noqa: F401
 from tests.oracle import duck_rows, spark_rows
 
 
