@@ -2,13 +2,18 @@
 
 import math
 import random
+import struct
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mailposture.llm import common, mixing, queries, quotation, rendezvous, sql
+from mailposture.llm import common, mixing, ordinal_quality, queries, quotation, rendezvous, simhash, sql
 from tests.llm.fixtures import SCHEMA, documents, prose
+from tests.llm.test_filters import plain_tiles, words_of
 from tests.oracle import duck_rows, spark_rows
 
 
@@ -316,6 +321,75 @@ def test_other_queries_cover_their_tables(spark, small):
     assert verbatim <= leaks and len(leaks) <= len(verbatim) + 3
 
 
+def spark_hash(value, *words):
+    """Spark's xxhash64 of a long (or null) and of texts behind it."""
+    h = 42 if value is None else xxhash.xxh64_intdigest(struct.pack("<q", value), 42)
+    for w in words:
+        h = xxhash.xxh64_intdigest(w.encode(), h)
+    return h
+
+
+def test_stages_like_brute_force(spark, small):
+    """Each stage of the pipeline on its own input, against a plain version of it: SQL cannot express them."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = [tuple(r) for r in docs.collect()]
+    at = {c: i for i, c in enumerate(docs.columns)}
+    text = lambda r: r[at["text"]] or ""
+    # Quality: what the model scores, row by row.
+    model = ordinal_quality.fit(ordinal_quality.graded(docs, spark.read.parquet(f"{small}/labels.parquet")))
+    kept = [tuple(r) for r in corpus_pipeline.quality(spark, docs, small).collect()]
+    tails = np.round(model.tails(pa.array([text(r) for r in rows])), 6)
+    assert sorted(kept, key=repr) == sorted((r for r, t in zip(rows, tails, strict=True) if t[0] >= 0.25), key=repr)
+    # Near copies: all pairs of fingerprints.
+    single = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, small).collect()]
+    prints = np.array([simhash.fingerprint(text(r), 5, 4) for r in rows])
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in np.flatnonzero(np.bitwise_count(prints[:i] ^ prints[i]).sum(1) <= 51):
+            a, b = root[i], root[j]
+            root = [min(a, b) if x in (a, b) else x for x in root]
+    first = {}
+    for i, r in enumerate(rows):
+        first[root[i]] = min(first.get(root[i], r), r, key=lambda r: r[at["doc_id"]])
+    assert sorted(single, key=repr) == sorted(first.values(), key=repr)
+    # Benchmark: greedy tiles by the definition, over the items that share five words with a document.
+    items = [words_of(r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    runs = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    clean = [tuple(r) for r in corpus_pipeline.decontamination(spark, docs, small).collect()]
+    want = []
+    for r in rows:
+        words = words_of(text(r))
+        shared = [i for i in items if runs(i) & runs(words)]
+        if not any(plain_tiles(near(words, i), i, 5) >= 0.5 * len(i) for i in shared):
+            want.append(r)
+    assert sorted(clean, key=repr) == sorted(want, key=repr)
+    # Mixing: the plain targets are met, and documents come as often as the table of all of them says.
+    mixed = [tuple(r) for r in corpus_pipeline.mixture(spark, docs, small).collect()]
+    sizes = {}
+    for r in rows:
+        sizes[r[at["source"]]] = sizes.get(r[at["source"]], 0) + len(text(r).split())
+    longest = max(len(text(r).split()) for r in rows)
+    for s, target in plain_targets(sizes).items():
+        assert abs(sum(len(text(r).split()) for r in mixed if r[at["source"]] == s) - target) <= longest
+    # Sharding: the largest hash of key and shard; slots without gaps.
+    dealt = corpus_pipeline.shards(spark, docs, small).collect()
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    assert all(r.shard == max(range(24), key=lambda j: signed(spark_hash(r.doc_id, f"shard-{j}"))) for r in dealt)
+    for s in range(24):
+        assert sorted(r.slot for r in dealt if r.shard == s) == list(range(sum(r.shard == s for r in dealt)))
+    assert sorted((tuple(r)[: len(docs.columns)] for r in dealt), key=repr) == sorted(rows, key=repr)
+
+
+def near(words, item):
+    """The words that a run of five of the item covers, with a mark for what lies between."""
+    wanted = {tuple(item[i : i + 5]) for i in range(len(item) - 4)}
+    held = set()
+    for i in range(len(words) - 4):
+        if tuple(words[i : i + 5]) in wanted:
+            held |= set(range(i, i + 5))
+    return [w if i in held else None for i, w in enumerate(words) if i in held or i - 1 in held]
+
+
 def test_pipeline(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     steps = [docs]
