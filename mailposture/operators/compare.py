@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from mailposture.functions.classify import yes
 from mailposture.functions.records import join_chunks
-from mailposture.operators.tables import short
+from mailposture.operators.tables import running, short
+from mailposture.session import cut
+
+#: Distinct values up to which a window may add up the values of a group.
+WINDOW_ROWS = 100_000
 
 
 def dedupe_last(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
@@ -114,13 +118,20 @@ def selector_of(query_name: Column) -> Column:
 def percentiles(df: DataFrame, column: str, keys: list[str] | None = None) -> DataFrame:
     """N, p50 (median cut to an integer), p90 (value at place int(0.9 n) in order), max and mean of each group.
 
-    The place of p90 is found by counting equal values and adding up, not by gathering a group.
+    The place of p90 is found by counting equal values and adding up, not by gathering a group; of a column with very
+    many values the sums are formed range by range.
     """
     keys = keys or []
-    counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("c"))
-    order = Window.partitionBy(*keys).orderBy(column) if keys else Window.partitionBy(F.lit(0)).orderBy(column)
-    every = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    rows = counts.withColumns({"upto": F.sum("c").over(order), "n": F.sum("c").over(every)})
+    counts = cut(df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("c")))
+    if counts.limit(WINDOW_ROWS + 1).count() <= WINDOW_ROWS:
+        upto = counts.withColumn("upto", F.sum("c").over(Window.partitionBy(*keys).orderBy(column)))
+    else:
+        upto = running(counts, [F.col(column).asc()], {"_earlier": F.col("c")}, keys, WINDOW_ROWS).withColumn("upto", F.col("_earlier") + F.col("c")).drop("_earlier")
+    totals = counts.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.sum("c").alias("n"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    rows = upto.join(short(totals), same)
     at = lambda place: F.min(F.when(F.col("upto") > place, F.col(column)))
     n = F.col("n")
     out = rows.groupBy(*keys).agg(F.max("n").alias("n"), at(F.floor((n - 1) / 2)).alias("_lo"), at(F.floor(n / 2)).alias("_hi"), at(F.floor(n * 0.9)).alias("p90"), F.max(column).alias("max"), (F.sum(F.col(column) * F.col("c")) / F.max("n")).alias("mean"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mailposture.session import cut
+
 #: Most rows of a table that is broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -22,6 +26,29 @@ def short(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def running(rows: DataFrame, order: list[Column], sums: dict[str, Column], keys: list[str] | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Add for each name the sum of its column over the rows before this one, in ``order`` and within equal ``keys``.
+
+    The order should leave no ties. Rows are dealt to ranges of keys and order, of about ``limit`` rows; each range is
+    added up on its own, above the sums of those before it, so that no group is gathered in one task.
+    """
+    keys = keys or []
+    parts = max(1, math.ceil(rows.count() / limit))
+    dealt = rows.repartitionByRange(parts, *[F.col(k).asc() for k in keys], *order) if parts > 1 else rows.coalesce(1)
+    dealt = cut(dealt.select("*", F.spark_partition_id().alias("_range"), *[c.alias(f"_{k}") for k, c in sums.items()]))
+    ranges = dealt.groupBy(*keys, "_range").agg(*[F.sum(f"_{k}").alias(f"_{k}_sum") for k in sums])
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = {f"_{k}_before": F.coalesce(F.sum(f"_{k}_sum").over(earlier), F.lit(0)) for k in sums}
+    ranges = ranges.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_range").alias("_r"), *[c.alias(n) for n, c in before.items()])
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = dealt.select("*", *[F.coalesce(F.sum(f"_{k}").over(inside), F.lit(0)).alias(f"_{k}_inside") for k in sums])
+    same = F.col("_range") == F.col("_r")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    out = out.join(short(ranges), same)
+    return cut(out.select(*rows.columns, *[(F.col(f"_{k}_before") + F.col(f"_{k}_inside")).alias(k) for k in sums]))
+
+
 def must_be_short(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """The same for joins by a pattern, which know no other way: raises beyond the limit."""
     if df.limit(limit + 1).count() > limit:
