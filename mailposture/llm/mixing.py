@@ -12,12 +12,11 @@ share a hash and are taken or left together. An empty table gives no rows. Other
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailposture.llm.common import cut
+from mailposture.operators.tables import running
 
 #: Bits of the document hash, refined by LEVEL_BITS at a time.
 HASH_BITS, LEVEL_BITS = 48, 12
@@ -45,10 +44,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3)) ->
     the level is (total - capacity of the full ones) / (weight of the others).
     """
     total, all_weights = F.sum("source_size").alias("total"), F.sum("weight").alias("all")
-    ranked = running(sizes.select("source", "source_size"), [F.col("source").asc_nulls_last()], {"rank": F.lit(1)})
+    ranked = running(sizes.select("source", "source_size"), [F.col("source").asc_nulls_last()], {"rank": F.lit(1)}, limit=BROADCAST_SOURCES)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     rows = ranked.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * MOST_REPEATS).alias("room"))
-    rows = running(rows, [(F.col("room") / F.col("weight")).asc(), F.col("source").asc_nulls_last()], {"place": F.lit(1), "full": F.col("room"), "before": F.col("weight")})
+    rows = running(rows, [(F.col("room") / F.col("weight")).asc(), F.col("source").asc_nulls_last()], {"place": F.lit(1), "full": F.col("room"), "before": F.col("weight")}, limit=BROADCAST_SOURCES)
     rows = rows.crossJoin(F.broadcast(rows.agg(total, all_weights)))  # one row
     rows = rows.withColumn("level", (F.col("total") - F.col("full")) / (F.col("all") - F.col("before")))
     first = rows.filter(F.col("level") * F.col("weight") <= F.col("room")).agg(F.min_by("level", "place").alias("water"))
@@ -57,24 +56,6 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3)) ->
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def running(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
-    """Add for each name the sum of its column over the rows before this one in ``order``, which leaves no ties.
-
-    Rows are dealt to ranges of the order; each range is added up on its own, above the sums of those before it. Up to
-    BROADCAST_SOURCES rows are one range.
-    """
-    parts = max(1, math.ceil(rows.count() / BROADCAST_SOURCES))
-    dealt = rows.repartitionByRange(parts, *order) if parts > 1 else rows.coalesce(1)
-    dealt = cut(dealt.select("*", F.spark_partition_id().alias("_range"), *[c.alias(f"_{k}") for k, c in sums.items()]))
-    ranges = dealt.groupBy("_range").agg(*[F.sum(f"_{k}").alias(f"_{k}_sum") for k in sums])  # ``parts`` rows at most
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("_range", *[F.coalesce(F.sum(f"_{k}_sum").over(earlier), F.lit(0)).alias(f"_{k}_before") for k in sums])
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = dealt.select("*", *[F.coalesce(F.sum(f"_{k}").over(inside), F.lit(0)).alias(f"_{k}_inside") for k in sums])
-    out = out.join(F.broadcast(ranges), "_range")
-    return cut(out.select(*rows.columns, *[(F.col(f"_{k}_before") + F.col(f"_{k}_inside")).alias(k) for k in sums]))
-
-
 def with_source(docs: DataFrame, sources: DataFrame, source: str = "source", hashed: str = "hash") -> DataFrame:
     """Join documents to a table with one row (_s, ...) a source: by broadcast after a look at the table's size, or
     with the documents of a hot source dealt over SALTS parts."""
