@@ -85,6 +85,20 @@ def hot_join(large: DataFrame, small: DataFrame, on: list[str], rows: int, count
     return here.unionByName(rest).drop(count)
 
 
+def hot_left_join(large: DataFrame, small: DataFrame, on: list[str], keys: DataFrame, rows: int) -> DataFrame:
+    """Left join of ``large`` with ``small``, which has one row for each value of ``on`` at most.
+
+    As in ``hot_join`` the rows of hot keys, matched or not, stay where they are. ``keys`` has the columns ``on`` of the
+    ``rows`` rows of ``large``.
+    """
+    counts = keys.groupBy(*on).agg(F.count("*").alias("_n"))
+    hot = cut(counts.filter(F.col("_n") > max(HOT_LEAST, rows // HOT_SHARE)).select(on))  # fewer than HOT_SHARE
+    if hot.isEmpty():
+        return large.join(small, on, "left")
+    here = large.join(F.broadcast(hot.join(small, on, "left")), on)
+    return here.unionByName(large.join(F.broadcast(hot), on, "left_anti").join(small, on, "left"))
+
+
 def byte_view(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column as numpy views; a null has no bytes."""
     if isinstance(column, pa.ChunkedArray):

@@ -69,13 +69,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All messages with the message they reply to, their place in reply order, and their text without quotes.
-
-    The first message of each assembled part of a conversation has the whole part.
-    """
-    placed = quotation.conversations(table(spark, sf_dir, "conversations")).drop("text")
-    parts = quotation.assemble(placed).select(F.col("conv_id").alias("_c"), F.col("first_turn").alias("_t"), "conversation")
-    return placed.join(parts, (F.col("conv_id") == F.col("_c")) & (F.col("turn") == F.col("_t")), "left").drop("_c", "_t")
+    """All messages with the message they reply to, their place in reply order, and their text without quotes; and
+    all conversations in reply order (kind ``conversation``, the turn is the first one of the part)."""
+    messages = table(spark, sf_dir, "conversations")
+    placed = quotation.conversations(messages).drop("text").withColumn("kind", F.lit("message"))
+    parts = quotation.assemble(placed, repeated=quotation.repeats(messages)).select(F.lit("conversation").alias("kind"), "conv_id", F.col("first_turn").alias("turn"), F.col("conversation").alias("chat"))
+    return placed.unionByName(parts, allowMissingColumns=True)
 
 
 # The rules of the query.

@@ -34,10 +34,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType
 
-from mailposture.llm.common import cut, hot_join
+from mailposture.llm.common import cut, hot_join, hot_left_join
 
 #: Turns of one range in the two-step search for the latest earlier message, and of one part of a conversation.
 RANGE, PART = 64, 1024
+#: Conversations with quotes up to which their list is broadcast.
+QUOTING = 100_000
 
 #: A line that announces a quote.
 ANNOUNCES = re.compile(r"(on|am|le|el)\b.*\b(wrote|schrieb|écrit|escribió)\b.*:\s*", re.I)
@@ -103,7 +105,12 @@ def hashed_units(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     m tells messages of one turn apart.
     """
     known = messages.filter(F.col(conv).isNotNull() & F.col(turn).isNotNull() & F.col(text).isNotNull())
-    known = known.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.xxhash64(text).alias("m"), F.col(text).alias("text"))
+    known = known.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(text).alias("text"))
+    # Conversations without any quoted line need no cutting up, if a list of the others is short enough to say so.
+    quoting = cut(known.filter(F.contains("text", F.lit(">")) & F.col("text").rlike(r"(?m)^\s*>")).select("conv").distinct())
+    if quoting.count() <= QUOTING:
+        known = known.join(F.broadcast(quoting), "conv", "left_semi")
+    known = known.select("conv", "turn", F.xxhash64("text").alias("m"), "text")
     names = ["conv", "turn", "m", "level", "passage", "paragraph", "size", "h", "n"]
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +209,7 @@ def conversations(messages: DataFrame, conv: str = "conv_id", turn: str = "turn"
     goes before the new names.
     """
     names = [f"{prefix}{x}" for x in ("reply_to", "thread_root", "depth", "quoted_lines", "clean_text", "chat")]
-    if clash := {*names, "_c", "_t", "_n"} & set(messages.columns):
+    if clash := {*names, "_c", "_t", "_reply", "_root", "_depth"} & set(messages.columns):
         raise ValueError(f"columns exist already, give a prefix: {sorted(clash)}")
     at = messages.columns.index(text)
 
@@ -212,30 +219,38 @@ def conversations(messages: DataFrame, conv: str = "conv_id", turn: str = "turn"
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([q for q, _ in both], pa.int64()), pa.array([c for _, c in both], pa.string())], [*batch.schema.names, names[3], names[4]])
 
     schema = type(messages.schema)([*messages.schema.fields]).add(names[3], LongType()).add(names[4], StringType())
-    tidy = messages.mapInArrow(tidied, schema)
+    there = F.col(conv).isNotNull() & F.col(turn).isNotNull()
     placed = roots(parents(links(messages, conv, turn, text)))
-    # Every turn has a place, also those that reply to nothing: a turn that fills the table is not moved.
-    turns = messages.groupBy(F.col(conv).alias("_c"), F.col(turn).alias("_t")).agg(F.count("*").alias("_n")).filter("_c is not null and _t is not null")
-    placed = turns.join(placed, (F.col("_c") == F.col("conv")) & (F.col("_t") == F.col("turn")), "left")
-    placed = placed.select("_c", "_t", "_n", F.col("reply_to").alias("_reply"), F.coalesce("thread_root", "_t").alias("_root"), F.coalesce("depth", F.lit(0).cast("long")).alias("_depth"))
-    known = tidy.filter(F.col(conv).isNotNull() & F.col(turn).isNotNull()).withColumns({"_c": F.col(conv), "_t": F.col(turn)})
-    out = hot_join(known, placed, ["_c", "_t"], messages.count())
-    lone = tidy.filter(F.col(conv).isNull() | F.col(turn).isNull())
-    kind = placed.schema["_reply"].dataType
-    lone = lone.select("*", F.lit(None).cast(kind).alias("_reply"), F.col(turn).alias("_root"), F.lit(0).cast("long").alias("_depth"))
-    out = out.select(lone.columns).unionByName(lone)
+    kind = placed.schema["reply_to"].dataType
+    placed = placed.select(F.col("conv").alias("_c"), F.col("turn").alias("_t"), F.col("reply_to").alias("_reply"), F.col("thread_root").alias("_root"), F.col("depth").alias("_depth"))
+    known = messages.filter(there).mapInArrow(tidied, schema).withColumns({"_c": F.col(conv), "_t": F.col(turn)})
+    lone = messages.filter(~there).mapInArrow(tidied, schema)
+    keys = messages.filter(there).select(F.col(conv).alias("_c"), F.col(turn).alias("_t"))
+    out = hot_left_join(known, placed, ["_c", "_t"], keys, messages.count()).drop("_c", "_t")
+    out = out.unionByName(lone.withColumns({"_reply": F.lit(None).cast(kind), "_root": F.lit(None).cast(kind), "_depth": F.lit(None).cast("long")}))
     tagged = F.concat(F.lit("<|"), F.coalesce(F.col(role).cast("string"), F.lit("unknown")), F.lit("|>\n"), F.coalesce(names[4], F.lit("")), F.lit("\n<|end|>"))
-    return out.select(*messages.columns, F.col("_reply").alias(names[0]), F.col("_root").alias(names[1]), F.col("_depth").alias(names[2]), names[3], names[4], tagged.alias(names[5]))
+    root, depth = F.coalesce("_root", F.col(turn)), F.coalesce("_depth", F.lit(0).cast("long"))
+    return out.select(*messages.columns, F.col("_reply").alias(names[0]), root.alias(names[1]), depth.alias(names[2]), names[3], names[4], tagged.alias(names[5]))
 
 
-def assemble(placed: DataFrame, conv: str = "conv_id", turn: str = "turn", root: str = "thread_root", chat: str = "chat", part: int = PART) -> DataFrame:
+def repeats(messages: DataFrame, conv: str = "conv_id", turn: str = "turn") -> bool:
+    """Whether a turn of a conversation occurs more than once."""
+    keys = messages.filter(F.col(conv).isNotNull() & F.col(turn).isNotNull()).groupBy(conv, turn).count()
+    return not keys.filter("count > 1").isEmpty()
+
+
+def assemble(placed: DataFrame, conv: str = "conv_id", turn: str = "turn", root: str = "thread_root", chat: str = "chat", part: int = PART, repeated: bool = True) -> DataFrame:
     """(conv, root_part, turn_part, first_turn, messages, conversation) of the messages that ``conversations`` placed.
 
     Parts in the order (root_part, turn_part) make up a conversation; one of up to ``part`` turns has one part. A part
-    holds up to ``part`` turns, thread by thread.
+    holds up to ``part`` turns, thread by thread. ``repeated`` false (see ``repeats``) saves a shuffle of the texts.
     """
     known = placed.filter(F.col(conv).isNotNull() & F.col(turn).isNotNull())
-    one = known.groupBy(F.col(conv), F.col(turn)).agg(F.min(F.struct(F.xxhash64(chat), F.col(root).alias("root"), F.col(chat).alias("chat"))).alias("_m"))
-    rows = one.select(conv, F.floor(F.col("_m.root") / part).alias("root_part"), F.floor(F.col(turn) / part).alias("turn_part"), F.struct(F.col("_m.root").alias("root"), F.col(turn).alias("turn"), F.col("_m.chat").alias("chat")).alias("m"))
+    rows = known.select(conv, turn, F.col(root).alias("_root"), F.col(chat).alias("_chat"))
+    if repeated:
+        # Of a repeated turn the row with the least hash counts; rows are combined where they are first.
+        one = rows.groupBy(conv, turn).agg(F.min(F.struct(F.xxhash64("_chat"), "_root", "_chat")).alias("_m"))
+        rows = one.select(conv, turn, "_m._root", "_m._chat")
+    rows = rows.select(conv, F.floor(F.col("_root") / part).alias("root_part"), F.floor(F.col(turn) / part).alias("turn_part"), F.struct(F.col("_root").alias("root"), F.col(turn).alias("turn"), F.col("_chat").alias("chat")).alias("m"))
     held = rows.groupBy(conv, "root_part", "turn_part").agg(F.array_sort(F.collect_list("m")).alias("m"))  # ``part`` at most
     return held.select(conv, "root_part", "turn_part", F.get("m", F.lit(0))["turn"].alias("first_turn"), F.size("m").cast("long").alias("messages"), F.array_join(F.col("m.chat"), "\n").alias("conversation"))

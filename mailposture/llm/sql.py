@@ -127,7 +127,8 @@ assembled AS (
   SELECT conv_id, arg_min(turn, (thread_root, turn)) AS first_turn, string_agg(chat, chr(10) ORDER BY thread_root, turn) AS conversation
   FROM rows_ WHERE conv_id IS NOT NULL AND turn IS NOT NULL
   GROUP BY conv_id, floor(thread_root / 1024), floor(turn / 1024))
-SELECT r.*, a.conversation FROM rows_ r LEFT JOIN assembled a ON r.conv_id = a.conv_id AND r.turn = a.first_turn
+SELECT 'message' AS kind, * FROM rows_
+UNION ALL SELECT 'conversation', conv_id, first_turn, NULL, NULL, NULL, NULL, NULL, NULL, conversation FROM assembled
 """
 
 
