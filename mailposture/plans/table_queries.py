@@ -188,10 +188,10 @@ def merged_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def group_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as group companies of their suppliers, with the reason for which each is dropped."""
-    lines = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 60).cast("string").alias("name"), F.concat(F.lit("p"), (F.col("l_suppkey") % 20).cast("string")).alias("parent"), F.concat(F.lit("d"), (F.col("l_partkey") % 13).cast("string")).alias("domain")).distinct()
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("name"), F.concat(F.lit("p"), F.col("l_suppkey").cast("string")).alias("parent"), F.concat(F.lit("d"), F.floor(F.col("l_partkey") / 100).cast("string")).alias("domain")).distinct()
     names = spark.createDataFrame([("7",), ("8",)], "name string")
     sites = spark.createDataFrame([("d3",)], "domain string")
-    return population.build_group(lines, names, sites, most_parents=12, most_siblings=2)
+    return population.build_group(lines, names, sites, most_parents=28, most_siblings=2)
 
 
 @query
@@ -299,8 +299,10 @@ def san_siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def company_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between derived sites that are the same company's."""
-    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("e"), (F.col("o_custkey") % 300).cast("string")).alias("entity_id"), F.concat(F.lit("s"), (F.col("o_custkey") % 300).cast("string")).alias("source"), F.concat(F.lit("t"), (F.col("o_orderkey") % 2000).cast("string")).alias("target"), (F.col("o_orderkey") % 3 > 0).alias("has_mx"), (F.col("o_orderkey") % 5 > 2).alias("names_company"), F.lit(False).alias("links_back"))
-    companies = spark.range(0, 40).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("entity_id"), F.concat(F.lit("t"), (F.col("id") * 7).cast("string")).alias("official_domain"))
+    k = F.col("o_orderkey")
+    target = F.when(k % 2 == 0, F.floor(k / 40) * 2).otherwise(F.floor(k / 4) * 2 + 1)  # twenty orders lead to each even one
+    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("e"), F.col("o_custkey").cast("string")).alias("entity_id"), F.concat(F.lit("s"), F.col("o_custkey").cast("string")).alias("source"), F.concat(F.lit("t"), target.cast("string")).alias("target"), (F.col("o_orderkey") % 3 > 0).alias("has_mx"), (F.col("o_orderkey") % 5 > 2).alias("names_company"), F.lit(False).alias("links_back"))
+    companies = table(spark, sf_dir, "customer").select(F.concat(F.lit("e"), F.col("c_custkey").cast("string")).alias("entity_id"), F.concat(F.lit("t"), (F.col("c_custkey") * 7).cast("string")).alias("official_domain"))
     return candidates.same_company_links(orders, companies, k=8)
 
 
@@ -348,7 +350,7 @@ def vocabulary_lint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unknown_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For how many months in a row each user of the last month has been there; odd months were cut off."""
     events = table(spark, sf_dir, "events").withColumn("month", (F.hour("ts") % 12).cast("int"))
-    by_month = events.groupBy("month", (F.col("user_id") % 997).cast("string").alias("registered_domain")).agg(F.count("*").alias("count"))
+    by_month = events.groupBy("month", F.col("user_id").cast("string").alias("registered_domain")).agg(F.count("*").alias("count"))
     months = events.select("month").distinct().withColumn("truncated", F.col("month") % 2 == 1)
     return views.unknown_streak(by_month, months)
 

@@ -56,9 +56,9 @@ s AS (SELECT round(s_acctbal, -2)::BIGINT AS bal, count(DISTINCT s_suppkey) AS n
 j AS (SELECT c_custkey, site, CASE WHEN s.bal IS NULL THEN 'no_match' WHEN n > 1 THEN 'conflict' WHEN NOT list_contains(odds, odd) THEN 'name_rejected' ELSE 'filled' END AS outcome FROM c LEFT JOIN s USING (bal))
 SELECT c_custkey, CASE WHEN outcome = 'filled' THEN site END AS site, outcome FROM j"""
 ORACLE["as_of_previous"] = """SELECT a.o_orderkey, arg_max(b.o_orderkey, (b.o_orderdate, b.o_orderkey)) AS previous_order FROM orders a LEFT JOIN orders b ON a.o_custkey = b.o_custkey AND b.o_orderdate < a.o_orderdate GROUP BY 1"""
-ORACLE["group_companies"] = """WITH l AS (SELECT DISTINCT (l_partkey % 60)::VARCHAR AS name, concat('p', l_suppkey % 20) AS parent, concat('d', l_partkey % 13) AS domain FROM lineitem),
+ORACLE["group_companies"] = """WITH l AS (SELECT DISTINCT l_partkey::VARCHAR AS name, concat('p', l_suppkey) AS parent, concat('d', l_partkey // 100) AS domain FROM lineitem),
 p AS (SELECT name, count(DISTINCT parent) AS parents FROM l GROUP BY 1), s AS (SELECT parent, domain, count(DISTINCT name) AS siblings FROM l GROUP BY ALL)
-SELECT name, parent, domain, CASE WHEN name IN ('7', '8') THEN 'listed_company' WHEN domain = 'd3' THEN 'listed_domain' WHEN parents > 12 THEN 'many_parents' WHEN row_number() OVER (PARTITION BY name, domain ORDER BY parent) > 1 THEN 'repeated' WHEN siblings > 2 THEN 'shared_site' END AS dropped
+SELECT name, parent, domain, CASE WHEN name IN ('7', '8') THEN 'listed_company' WHEN domain = 'd3' THEN 'listed_domain' WHEN parents > 28 THEN 'many_parents' WHEN row_number() OVER (PARTITION BY name, domain ORDER BY parent) > 1 THEN 'repeated' WHEN siblings > 2 THEN 'shared_site' END AS dropped
 FROM l JOIN p USING (name) JOIN s USING (parent, domain)"""
 ORACLE["latest_filing"] = "SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1"
 ORACLE["folded_names"] = "SELECT c_custkey, concat('the', lower(c_name)) AS folded FROM customer"
@@ -85,9 +85,9 @@ SELECT user_id, event_type FROM c QUALIFY row_number() OVER (PARTITION BY user_i
 ORACLE["san_siblings"] = """WITH c AS (SELECT l_orderkey AS c, concat('e', l_suppkey % 50) AS entity_id, concat('b', l_partkey % 25) AS registrable FROM lineitem),
 s AS (SELECT c FROM c GROUP BY 1 HAVING count(DISTINCT registrable) <= 3)
 SELECT DISTINCT entity_id, registrable FROM c SEMI JOIN s USING (c) WHERE registrable <> 'b0'"""
-ORACLE["company_links"] = """WITH r AS (SELECT concat('e', o_custkey % 300) AS entity_id, o_custkey % 300 AS e, o_orderkey % 2000 AS t, o_orderkey % 3 > 0 AS mx, o_orderkey % 5 > 2 AS named FROM orders),
+ORACLE["company_links"] = """WITH r AS (SELECT concat('e', o_custkey) AS entity_id, o_custkey AS e, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey // 40 * 2 ELSE o_orderkey // 4 * 2 + 1 END AS t, o_orderkey % 3 > 0 AS mx, o_orderkey % 5 > 2 AS named FROM orders),
 shared AS (SELECT t FROM r GROUP BY 1 HAVING count(DISTINCT e) >= 8),
-good AS (SELECT DISTINCT entity_id, concat('t', t) AS target FROM r WHERE t NOT IN (SELECT t FROM shared) AND NOT (t % 7 = 0 AND t // 7 < 40 AND t // 7 <> e) AND mx AND named)
+good AS (SELECT DISTINCT entity_id, concat('t', t) AS target FROM r WHERE t NOT IN (SELECT t FROM shared) AND NOT (t % 7 = 0 AND t // 7 IN (SELECT c_custkey FROM customer) AND t // 7 <> e) AND mx AND named)
 SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY target) <= 15"""
 ORACLE["domain_decisions"] = f"""WITH {facts()},
 c AS (SELECT *, CASE WHEN NOT mx_present THEN CASE WHEN spf_all_qualifier = '-' THEN 'parked' ELSE 'unknown' END WHEN spf_present AND k % 3 = 0 THEN 'confirmed' WHEN spf_present OR dmarc_present THEN 'likely' ELSE 'unknown' END AS confidence FROM facts)
@@ -112,7 +112,7 @@ SELECT code, code AS label, n, round(n / sum(n) OVER ()::DOUBLE, 4) AS share, ro
 ORACLE["search_rows"] = "SELECT c_custkey FROM customer WHERE c_custkey::VARCHAR ILIKE '%BUILD%' OR c_name ILIKE '%BUILD%' OR c_mktsegment ILIKE '%BUILD%' ORDER BY c_custkey LIMIT 20 OFFSET 10"
 ORACLE["vocabulary_lint"] = """WITH t AS (SELECT * FROM (VALUES ('idiot', 'neutral word'), ('license', 'check the licence'), ('token =', 'secret?'), ('!!', 'less emphasis')) AS v(term, advice))
 SELECT doc_id, term, advice, ((len(lower(text)) - len(replace(lower(text), term, ''))) / len(term))::BIGINT AS hits FROM documents JOIN t ON contains(lower(text), term)"""
-ORACLE["unknown_streak"] = """WITH e AS (SELECT hour(ts) % 12 AS month, (user_id % 997)::VARCHAR AS name FROM events),
+ORACLE["unknown_streak"] = """WITH e AS (SELECT hour(ts) % 12 AS month, user_id::VARCHAR AS name FROM events),
 m AS (SELECT month, month % 2 = 1 AS truncated, row_number() OVER (ORDER BY month) AS i FROM (SELECT DISTINCT month FROM e)),
 c AS (SELECT name, i, count(*) AS n FROM e JOIN m USING (month) GROUP BY ALL),
 g AS (SELECT *, i - row_number() OVER (PARTITION BY name ORDER BY i) AS g FROM c),
