@@ -3,6 +3,7 @@
 import random
 import re
 import tracemalloc
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -168,6 +169,45 @@ def test_bands(spark):
         compression_bands.judge(spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept", F.lit(1)))
 
 
+def test_verdicts_like_the_rule(spark):
+    """Whole and chunk ratios recomputed: texts of every class, repetitive, ordinary and incompressible."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    texts = [None, "", "short"]
+    for size in (200, 300, 600, 1500, 2048, 3071, 3073, 5000, 20_000, 70_000):
+        texts.append(prose(rng, "de", size // 4)[:size])
+        texts.append("".join(rng.choice(letters) if i % 8 else " " for i in range(size)))
+        texts.append((prose(rng, "en", 40) + " ") * (size // 100))
+        texts.append(prose(rng, "fr", size // 8) + " " + "x1 " * (size // 8))
+    pack = zstandard.ZstdCompressor(level=compression_bands.LEVEL)
+    ratio = lambda b: len(b) / len(pack.compress(b))
+    seen = set()
+    for r in compression_bands.judge(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        raw = (texts[r.doc_id] or "").encode()
+        words, _, _, _, repeated = plain_counts_fast(raw.decode())
+        failed = words < 50 or repeated > 0.5 * words
+        low, high = next(((a, b) for least, a, b in reversed(compression_bands.BANDS) if len(raw) >= least), (0, 1e9))
+        chunks, rest = [], raw
+        while len(raw) >= 2048 and len(rest) >= 1.5 * 2048:
+            chunks, rest = [*chunks, rest[:2048]], rest[2048:]
+        if len(raw) >= 2048:
+            chunks.append(rest)
+        odd = sum(not compression_bands.CHUNK_LOW <= ratio(c) <= compression_bands.CHUNK_HIGH for c in chunks) / max(1, len(chunks))
+        inside = not raw or len(raw) < 256 or (low <= ratio(raw) <= high and odd <= compression_bands.CHUNK_SHARE)
+        assert (r.base_failed, r.kept) == (failed, inside and not failed), (r.doc_id, len(raw))
+        assert len(raw) < 256 or abs(r.odd_chunks - odd) < 1e-12
+        seen.add((failed, r.kept))
+    assert seen == {(True, False), (False, False), (False, True)}
+
+
+def plain_counts_fast(text):
+    """``plain_counts`` with a table of windows, for long texts."""
+    words = text.split()
+    grams = Counter(zip(words, words[1:], words[2:], strict=False))
+    hit = {i + k for i, g in enumerate(zip(words, words[1:], words[2:], strict=False)) if grams[g] > 1 for k in range(3)}
+    return len(words), 0, 0, 0, len(hit)
+
+
 def test_bands_decide_beyond_the_base_rules(spark, small):
     """Good texts stay; symbols behind the words, or spaced base64, go by their ratio in every class."""
     rng = random.Random(9)

@@ -66,6 +66,19 @@ def test_scores_do_not_depend_on_windows(spark, monkeypatch):
         assert np.allclose(row, share @ weights[at] if len(at) else 0, atol=1e-5)
 
 
+def test_language_probabilities_by_plain_means():
+    """A text is the mean of its subwords' vectors, the softmax is linear in it, the temperature divides."""
+    rng = np.random.default_rng(3)
+    weights = rng.normal(size=(1 << language_id.BITS, 3))
+    model = language_id.LanguageModel(["a", "b", "c"], weights, rng.normal(size=3), 1.7)
+    texts = ["Ein kurzer Text", "ÉTÉ", "x", "", None, "many words " * 500]
+    got = model.probabilities(pa.array(texts))
+    for text, row in zip(texts, got, strict=True):
+        at, share = common.gram_counts((text or "").lower().encode(), language_id.SIZES, language_id.BITS)
+        z = ((share @ weights[at] if len(at) else np.zeros(3)) + model.bias) / 1.7
+        assert np.allclose(row, np.exp(z) / np.exp(z).sum(), atol=1e-5)
+
+
 def test_language_id(spark, docs):
     known = docs.filter("doc_id < 1000")
     model = language_id.fit(known.filter("doc_id % 3 <> 1"))
