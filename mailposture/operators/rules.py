@@ -167,7 +167,11 @@ def infer(facts: DataFrame, rules: DataFrame, keys: list[str], prev: DataFrame |
     The folded rows are cut off in the checkpoint folder, since the sentinels look at them again; ``facts`` should be
     a stored table, it is read for values, for corroboration and for the sentinels.
     """
-    hits = corroborate(match_rules(facts, rules, keys), facts, keys)
+    hits = match_rules(facts, rules, keys)
+    if rules.filter("corroborated_by is not null").isEmpty():
+        hits = hits.withColumn("corroborated", F.lit(None).cast("boolean"))
+    else:
+        hits = corroborate(hits, facts, keys)
     rows = cut(mark_primary(stale_streak(drafts(hits, rules, keys), prev, keys), keys))
     out = rows.unionByName(sentinels(facts, rows, keys), allowMissingColumns=True)
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in [*keys, "category", "layer", "vendor"]]

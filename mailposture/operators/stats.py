@@ -108,8 +108,6 @@ def metrics() -> dict[str, Column]:
     spf, dmarc = obs & t("spf_present"), obs & t("dmarc_present")
     eq = lambda name, value: yes(F.col(name) == value)
     n = F.count_if
-    owner = F.when(F.coalesce(c("entity_id"), F.lit("")) != "", c("entity_id"))
-    entities = lambda cond: F.count_distinct(F.when(cond, owner))
     fetched = n(obs & t("mta_sts_present") & c("mta_sts_policy_status").isNull()) == 0
     walked = n(obs & (c("spf_total_exceeds").isNotNull() | c("spf_target_broken").isNotNull())) > 0
     single = spf & ~eq("spf_error", "multiple_records")
@@ -123,12 +121,8 @@ def metrics() -> dict[str, Column]:
     return {
         "total_domains": n(apex),
         "observed_domains": n(obs),
-        "entities_with_domains": entities(apex),
-        "spf_adopted_entities": entities(spf),
         "spf_adopted_domains": n(spf),
-        "dmarc_adopted_entities": entities(dmarc),
         "dmarc_adopted_domains": n(dmarc),
-        "dmarc_enforced_entities": entities(obs & c("enforced")),
         "dmarc_enforced_domains": n(obs & c("enforced")),
         "dmarc_invalid_domains": n(dmarc & (t("dmarc_multiple_records") | ~yes(c("dmarc_p").isin(VALID_P)))),
         "dmarc_no_rua_domains": n(dmarc & ~c("has_rua")),
@@ -145,7 +139,6 @@ def metrics() -> dict[str, Column]:
         "subdomains_with_own_dmarc": n(sub_obs & t("dmarc_present")),
         "subdomains_dmarc_enforced": n(sub_obs & yes(F.coalesce("applied_7489", "effective_7489").isin(C.ENFORCING))),
         "subdomains_inherited_policy": n(sub_obs & ~t("dmarc_present") & (F.coalesce(c("applied_7489"), F.lit("")) != "")),
-        "entities_with_subdomain_mail": entities(sub),
         "dkim_detected_domains": n(obs & c("detected")),
         "dkim_not_found_domains": n(obs & eq("dkim_status", "not_found_in_known_selectors")),
         "dkim_key_short_domains": n(keyed & (c("min_key_bits") < 1024)),
@@ -200,29 +193,53 @@ def metrics() -> dict[str, Column]:
     }
 
 
-def mail_evidence(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group the number of entities in each exclusive stage of mail use, off-site mail, and the DKIM hint.
+#: Counts of entities; groups without any have 0, but the hint stays NULL.
+ENTITY_COUNTS = [
+    "entities_with_domains", "entities_with_subdomain_mail", "spf_adopted_entities", "dmarc_adopted_entities", "dmarc_enforced_entities",
+    "evidence_signed_entities", "evidence_sending_entities", "evidence_receiving_entities", "evidence_none_entities", "mail_off_site_entities",
+]
 
-    Entities are folded first, then counted; the hint is NULL if it was never measured.
+
+def entity_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group how many entities have domains and records, are in each exclusive stage of mail use, use mail
+    off their site, and give the DKIM hint.
+
+    Entities are folded first, then counted, so that no distinct count spreads the rows; the hint is NULL if it was
+    never measured. Stages look at observed apexes.
     """
-    obs = rows.filter(yes(F.col("is_apex")) & yes(F.col("observed")) & (F.coalesce("entity_id", F.lit("")) != ""))
-    official = yes(F.col("is_official"))
-    one = obs.groupBy(*keys, "entity_id").agg(
-        F.bool_or("mx_reachable").alias("mx"),
-        F.bool_or("spf_sends").alias("send"),
-        F.bool_or("detected").alias("signed"),
-        F.bool_or(yes(F.col("dkim_domainkey_exists"))).alias("hint"),
-        (F.count("dkim_domainkey_exists") > 0).alias("hinted"),
-        (F.bool_or(official) & ~F.bool_or(official & F.col("mx_reachable")) & F.bool_or(~official & F.col("mx_reachable"))).alias("off_site"),
+    apex, official = yes(F.col("is_apex")), yes(F.col("is_official"))
+    obs = apex & yes(F.col("observed"))
+    some = lambda cond: F.bool_or(obs & yes(cond))
+    reach = F.col("mx_reachable")
+    one = rows.filter(F.coalesce("entity_id", F.lit("")) != "").groupBy(*keys, "entity_id")
+    one = one.agg(
+        F.bool_or(apex).alias("apex"),
+        F.bool_or(~apex).alias("below"),
+        F.bool_or(obs).alias("seen"),
+        some(F.col("spf_present")).alias("spf"),
+        some(F.col("dmarc_present")).alias("dmarc"),
+        some(F.col("enforced")).alias("enforced"),
+        some(reach).alias("mx"),
+        some(F.col("spf_sends")).alias("send"),
+        some(F.col("detected")).alias("signed"),
+        some(F.col("dkim_domainkey_exists")).alias("hint"),
+        (F.count(F.when(obs, F.col("dkim_domainkey_exists"))) > 0).alias("hinted"),
+        (some(official) & ~some(official & reach) & some(~official & reach)).alias("off_site"),
     )
-    m, s, g = F.col("mx"), F.col("send"), F.col("signed")
+    o, m, s, g = F.col("seen"), F.col("mx"), F.col("send"), F.col("signed")
+    n = F.count_if
     return one.groupBy(*keys).agg(
-        F.count_if(m & s & g).alias("evidence_signed_entities"),
-        F.count_if(m & s & ~g).alias("evidence_sending_entities"),
-        F.when(F.bool_or("hinted"), F.count_if(m & s & ~g & F.col("hint"))).alias("evidence_dkim_hint_entities"),
-        F.count_if(m & ~s).alias("evidence_receiving_entities"),
-        F.count_if(~m).alias("evidence_none_entities"),
-        F.count_if("off_site").alias("mail_off_site_entities"),
+        n("apex").alias("entities_with_domains"),
+        n("below").alias("entities_with_subdomain_mail"),
+        n("spf").alias("spf_adopted_entities"),
+        n("dmarc").alias("dmarc_adopted_entities"),
+        n("enforced").alias("dmarc_enforced_entities"),
+        n(m & s & g).alias("evidence_signed_entities"),
+        n(m & s & ~g).alias("evidence_sending_entities"),
+        F.when(F.bool_or("hinted"), n(m & s & ~g & F.col("hint"))).alias("evidence_dkim_hint_entities"),
+        n(m & ~s).alias("evidence_receiving_entities"),
+        n(o & ~m).alias("evidence_none_entities"),
+        n("off_site").alias("mail_off_site_entities"),
     )
 
 
@@ -232,25 +249,28 @@ def ownership_crosstab(rows: DataFrame, keys: list[str], row: str = "ownership",
     return rows.filter(F.col(row).isNotNull()).groupBy(*keys, row).pivot(column, values).count().na.fill(0, values)
 
 
-def ownership_json(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """A8 at the gold boundary: per group the crosstab of all tiers as JSON; no row without any ownership."""
-    obs = rows.filter(yes(F.col("is_apex")) & yes(F.col("observed")) & F.col("ownership").isNotNull())
-    cells = [F.count_if((F.col("ownership") == t) & (F.col("domain_stage") == s)).alias(f"{t}|{s}") for t in C.OWNERSHIP_TIERS for s in C.STAGES]
-    tiers = F.struct(*[F.struct(*[F.col(f"{t}|{s}").alias(s) for s in sorted(C.STAGES)]).alias(t) for t in sorted(C.OWNERSHIP_TIERS)])
-    return obs.groupBy(*keys).agg(*cells).select(*keys, F.to_json(tiers).alias("ownership_evidence_dist"))
+def ownership_cells() -> tuple[dict[str, Column], Column]:
+    """A8 at the gold boundary: the cells of the crosstab of all tiers as aggregates, and the JSON made of them, NULL
+    where nothing has an owner."""
+    obs = yes(F.col("is_apex")) & yes(F.col("observed"))
+    cells = {f"_{t}|{s}": F.count_if(obs & yes(F.col("ownership") == t) & (F.col("domain_stage") == s)) for t in C.OWNERSHIP_TIERS for s in C.STAGES}
+    cells["_owned"] = F.count(F.when(obs, F.col("ownership")))
+    tiers = F.struct(*[F.struct(*[F.col(f"_{t}|{s}").alias(s) for s in sorted(C.STAGES)]).alias(t) for t in sorted(C.OWNERSHIP_TIERS)])
+    return cells, F.when(F.col("_owned") > 0, F.to_json(tiers))
 
 
 def stats_overall(rows: DataFrame, keys: list[str], totals: DataFrame | None = None) -> DataFrame:
     """The metric table, one row for each value of ``keys``.
 
     ``rows`` comes from ``derive_domain_row`` with the key columns added; ``totals`` has the keys and total_entities
-    (entities without any domain count too). All metrics are one aggregation with map-side combining.
+    (entities without any domain count too). What counts domains is one aggregation with map-side combining; what
+    counts entities is a second one, folded by entity.
     """
     dist = F.to_json(F.struct(*[F.col(f"maturity_{k}").alias(str(k)) for k in range(5)]))
-    out = rows.groupBy(*keys).agg(*[m.alias(name) for name, m in metrics().items()]).withColumn("maturity_stage_dist", dist)
-    out = out.join(mail_evidence(rows, keys), keys, "left").join(ownership_json(rows, keys), keys, "left")
-    counted = [c for c in out.columns if c.endswith("_entities") and c.startswith("evidence_") and c != "evidence_dkim_hint_entities"]
-    out = out.na.fill(0, [*counted, "mail_off_site_entities"])
+    cells, owned = ownership_cells()
+    out = rows.groupBy(*keys).agg(*[m.alias(name) for name, m in (metrics() | cells).items()])
+    out = out.withColumns({"maturity_stage_dist": dist, "ownership_evidence_dist": owned}).drop(*cells)
+    out = out.join(entity_counts(rows, keys), keys, "left").na.fill(0, ENTITY_COUNTS)
     return out if totals is None else totals.select(*keys, "total_entities").join(out, keys, "left")
 
 
