@@ -612,6 +612,21 @@ def release_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.release_domains(docs, rules, spark.createDataFrame([("wire.com",)], "domain string"), "s_suppkey", "html")
 
 
+@query
+def page_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-T2, F-T13: whether made-up pages of the suppliers name their company, in the title or anywhere, and a parent."""
+    k = F.col("s_suppkey")
+    core = F.when(k % 2 == 0, F.concat(F.lit("山"), k % 10)).otherwise(F.concat(F.lit("長い社名"), k))
+    titles = [F.concat(F.lit("株式会社"), core), F.concat(core, F.lit("のページ")), F.lit("Home")]
+    title = F.element_at(F.array(*titles), (k % 3 + 1).cast("int"))
+    english = F.concat(F.lit("Acme Steel Works "), k, F.lit(" Co., Ltd."))
+    html = F.concat(F.lit("<html><title>"), title, F.lit("</title><body>"), F.when(k % 4 < 2, core).otherwise(""), F.lit(" 親会社"), F.lit("</body></html>"))
+    page = F.concat(F.lit("<title>"), F.when(k % 2 == 0, F.upper(english)).otherwise("Other"), F.lit("</title>"))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", core.alias("core"), english.alias("name"), html.alias("html"), page.alias("page"))
+    found = T.page_names(F.col("html"), F.col("core"), ["株式会社{c}", "{c}株式会社"])
+    return rows.select("s_suppkey", found.alias("named"), T.title_names_english(F.col("page"), F.col("name")).alias("english"), T.parent_mentioned(F.col("html"), F.lit("親会社"), F.when(k % 5 == 0, F.lit("親会社")).otherwise(F.col("core"))).alias("parent"))
+
+
 @query
 def decoded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-T14: page bytes decoded by header, by the page's own word, or as UTF-8."""

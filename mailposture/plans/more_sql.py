@@ -227,6 +227,7 @@ ORACLE["notice_sections"] = """SELECT s_suppkey, concat('www.s', s_suppkey, '.co
 ORACLE["wiki_fields"] = """WITH s AS (SELECT s_suppkey, lpad((s_suppkey % 9000 + 1000)::VARCHAR, 4, '0') AS c FROM supplier)
 SELECT s_suppkey, concat(c, ',285A') AS codes, true AS listed, concat('https://s', c, '.example/') AS link, CASE WHEN s_suppkey % 2 = 0 THEN 'toyota' ELSE 'nippon' END AS kana, concat(c, ',', c, ' (企業)') AS titles FROM s"""
 ORACLE["release_domains"] = """SELECT s_suppkey, concat('s', s_suppkey, '.com') AS registrable, 1 AS times, 0 AS pos FROM supplier UNION ALL SELECT s_suppkey, concat('news', s_suppkey, '.com'), 1, 1 FROM supplier"""
+ORACLE["page_naming"] = """SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey % 3 = 0 ELSE s_suppkey % 3 < 2 OR s_suppkey % 4 < 2 END AS named, s_suppkey % 2 = 0 AS english, s_suppkey % 5 <> 0 AS parent FROM supplier"""
 ORACLE["decoded_pages"] = "SELECT page_id, md5(html) AS digest FROM pages"
 
 ORACLE["bronze_round_trip"] = f"""WITH {_DNS}

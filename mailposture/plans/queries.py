@@ -113,9 +113,10 @@ def rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rule_match_all_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J5 on page URLs: every pattern that every URL matches."""
-    patterns = spark.createDataFrame([("com", r"\.example\.com/"), ("lang", r"/(de|fr)/\d+"), ("sub", r"//(www|m|blog)\."), ("query", r"\?")], "id string, pattern string")
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return pages.join(F.broadcast(patterns), F.expr("rlike(url, concat('(?i)', pattern))")).select("page_id", "id")
+    patterns = {"com": r"\.example\.com/", "lang": r"/(de|fr)/\d+", "sub": r"//(www|m|blog)\.", "query": r"\?"}
+    rules = rules_ops.load_rules(spark, [{"id": k, "vendor": k, "category": "esp", "record": "TXT", "pattern": p} for k, p in patterns.items()])
+    pages = table(spark, sf_dir, "pages").select("page_id", F.array("url").alias("verification_txt"))
+    return rules_ops.match_rules(pages, rules.filter("record = 'TXT'"), ["page_id"]).select("page_id", "id")
 
 
 @query
