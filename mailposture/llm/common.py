@@ -24,6 +24,8 @@ WINDOW = 1 << 19
 MOST_GROUPS, MOST_ROWS = 500, 20_000
 #: A key is hot from this share of the rows on (1 / HOT_SHARE), if it has HOT_LEAST rows.
 HOT_SHARE, HOT_LEAST = 1000, 1000
+#: Rows up to which a narrow table is broadcast to a left join.
+SHORT = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,9 +90,12 @@ def hot_join(large: DataFrame, small: DataFrame, on: list[str], rows: int, count
 def hot_left_join(large: DataFrame, small: DataFrame, on: list[str], keys: DataFrame, rows: int) -> DataFrame:
     """Left join of ``large`` with ``small``, which has one row for each value of ``on`` at most.
 
-    As in ``hot_join`` the rows of hot keys, matched or not, stay where they are. ``keys`` has the columns ``on`` of the
+    A table of up to SHORT rows is broadcast. Beyond that the rows of hot keys, matched or not, stay where they are, as
+    in ``hot_join``. ``keys`` has the columns ``on`` of the
     ``rows`` rows of ``large``.
     """
+    if small.limit(SHORT + 1).count() <= SHORT:
+        return large.join(F.broadcast(small), on, "left")
     counts = keys.groupBy(*on).agg(F.count("*").alias("_n"))
     hot = cut(counts.filter(F.col("_n") > max(HOT_LEAST, rows // HOT_SHARE)).select(on))  # fewer than HOT_SHARE
     if hot.isEmpty():

@@ -244,6 +244,7 @@ def plain_replies(rows):
 def test_generated_threads(spark, tmp_path, monkeypatch, width):
     monkeypatch.setattr(quotation, "RANGE", width)
     monkeypatch.setattr(common, "HOT_LEAST", 50)
+    monkeypatch.setattr(common, "SHORT", 10 if width == 8 else 100_000)
     rows, replied, whole = threads(3, 250, 700)
     assert len(rows) > 2000
     messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
