@@ -13,7 +13,7 @@ from mailposture.operators.tables import running, short
 from mailposture.session import cut
 
 #: Distinct values up to which a window may add up the values of a group.
-WINDOW_ROWS = 100_000
+WINDOW_ROWS = 1_000_000
 
 
 def dedupe_last(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
@@ -122,8 +122,13 @@ def percentiles(df: DataFrame, column: str, keys: list[str] | None = None) -> Da
     many values the sums are formed range by range.
     """
     keys = keys or []
-    counts = cut(df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("c")))
-    if counts.limit(WINDOW_ROWS + 1).count() <= WINDOW_ROWS:
+    there = df.filter(F.col(column).isNotNull())
+    counts = there.groupBy(*keys, column).agg(F.count("*").alias("c"))
+    few = there.count() <= WINDOW_ROWS
+    if not few:
+        counts = cut(counts)
+        few = counts.limit(WINDOW_ROWS + 1).count() <= WINDOW_ROWS
+    if few:
         upto = counts.withColumn("upto", F.sum("c").over(Window.partitionBy(*keys).orderBy(column)))
     else:
         upto = running(counts, [F.col(column).asc()], {"_earlier": F.col("c")}, keys, WINDOW_ROWS).withColumn("upto", F.col("_earlier") + F.col("c")).drop("_earlier")

@@ -29,12 +29,15 @@ def short(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 def running(rows: DataFrame, order: list[Column], sums: dict[str, Column], keys: list[str] | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Add for each name the sum of its column over the rows before this one, in ``order`` and within equal ``keys``.
 
-    The order should leave no ties. Rows are dealt to ranges of keys and order, of about ``limit`` rows; each range is
-    added up on its own, above the sums of those before it, so that no group is gathered in one task.
+    The order should leave no ties. Beyond ``limit`` rows these are dealt to ranges of keys and order, of about that
+    many; each range is added up on its own, above the sums of those before it, so that no group is gathered in one task.
     """
     keys = keys or []
-    parts = max(1, math.ceil(rows.count() / limit))
-    dealt = rows.repartitionByRange(parts, *[F.col(k).asc() for k in keys], *order) if parts > 1 else rows.coalesce(1)
+    parts = math.ceil(rows.count() / limit)
+    if parts <= 1:
+        group = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select("*", *[F.coalesce(F.sum(c).over(group), F.lit(0)).alias(k) for k, c in sums.items()])
+    dealt = rows.repartitionByRange(parts, *[F.col(k).asc() for k in keys], *order)
     dealt = cut(dealt.select("*", F.spark_partition_id().alias("_range"), *[c.alias(f"_{k}") for k, c in sums.items()]))
     ranges = dealt.groupBy(*keys, "_range").agg(*[F.sum(f"_{k}").alias(f"_{k}_sum") for k in sums])
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
