@@ -36,7 +36,8 @@ def either(words: list[str]) -> str:
 _KINDS = rf"(?:{either(SITE_KINDS)}\s+){{0,2}}"
 _SITE = rf"{_KINDS}{either(SITE_WORDS)}(?:\s+address)?"
 _OWNER = rf"the\s+{either(OWNERS)}"
-_NAME = rf"(?:[A-Z][\w&.-]*\s+){{0,{NAME_WORDS - 1}}}[A-Z][\w&.-]*"
+_WORD = r"\p{Lu}[\w&.-]*"
+_NAME = rf"{_WORD}(?:\s+{_WORD}){{0,{NAME_WORDS - 1}}}"
 #: Phrases with which a company speaks of its own site: "our website", "the Company's website", "we maintain a website".
 SELF_PHRASES = [rf"(?i)\b(?:our|{_OWNER}['’]?s)\s+{_SITE}", rf"(?i)\b(?:we|{_OWNER})\s+(?:also\s+)?{either(['maintain', 'maintains', 'have established', 'has established'])}\s+an?\s+{_SITE}"]
 #: Phrases that name the owner, which must be the company: "Acme Steel's website", "the Acme website".
