@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailposture.llm import compression_bands, language_id, main_text, mixing, ordinal_quality, quotation, rendezvous, simhash, spelling, string_tiling, toxicity, url_filter
+from mailposture.llm import compression_bands, language_id, lexical_search, main_text, mixing, ordinal_quality, quotation, rendezvous, simhash, spelling, string_tiling, toxicity, url_filter
 from mailposture.llm.common import id_remainder, table
 
 SHARDS = 24
@@ -94,6 +94,11 @@ def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of each benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of seven letters or more with their near words, their form and its root."""
     return spelling.group(spelling.words(table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -113,6 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_quotation_linking,
         op10_url_filter,
         op11_main_text,
+        op12_lexical_search,
         op13_spelling_variants,
     )
     return {f.__name__: f for f in found}

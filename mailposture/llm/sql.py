@@ -132,6 +132,33 @@ UNION ALL SELECT 'conversation', conv_id, first_turn, NULL, NULL, NULL, NULL, NU
 """
 
 
+OP12_LEXICAL_SEARCH = r"""
+WITH rows_ AS (SELECT row_number() OVER () AS d, doc_id, text FROM documents),
+tokens AS (
+  SELECT d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM rows_ WHERE text IS NOT NULL),
+tfs AS (SELECT d, doc_id, term, count(*)::BIGINT AS tf FROM tokens GROUP BY ALL),
+sizes AS (SELECT d, sum(tf)::BIGINT AS n FROM tfs GROUP BY d),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tfs CROSS JOIN totals GROUP BY term),
+items AS (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+wanted AS (
+  SELECT i, item_id, term, count(*)::BIGINT AS repeats
+  FROM (SELECT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items)
+  GROUP BY ALL),
+lengths AS (SELECT d, 100 - 25 + ((25 * n * docs) // terms) AS m FROM sizes CROSS JOIN totals),
+scores AS (
+  SELECT i, item_id, d, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM wanted JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (d) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op8_mixing": OP8_MIXING, "op9_quotation_linking": OP9_QUOTATION_LINKING, "op10_url_filter": OP10_URL_FILTER}
+    return {"op8_mixing": OP8_MIXING, "op9_quotation_linking": OP9_QUOTATION_LINKING, "op10_url_filter": OP10_URL_FILTER, "op12_lexical_search": OP12_LEXICAL_SEARCH}
