@@ -1,11 +1,13 @@
 """Spelling variants: words one edit apart, found by asymmetric q-chunks.
 
 For words of equal or neighbouring lengths the first of a pair contributes two disjoint chunks, its beginning and its
-end of half its length each (less the middle letter of an odd length), and the second all the grams of that size that
-can stand at a chunk's place. One edit touches one of the chunks at most, so the other one is also in the second word:
-the first chunk at the same place, the last one moved by the difference of the lengths, which is one at most. Joining on
-(length, chunk, text) therefore loses no pair; the exact distance is part of the join's condition, so candidates that
-fail are never rows. A pair that shares both chunks is taken by the first chunk only.
+end of half its length each (less the middle letter of an odd length), and the second the grams of that size that can
+stand at a chunk's place. One edit touches one of the chunks at most, so the other one is also in the second word: the
+first chunk at the same place, the last one moved by the difference of the lengths, which is one at most. What is left
+of the word beside that chunk holds the edit and has two disjoint chunks of its own, of half that size, one of which is
+kept for the same reason. Joining on (length, which chunks, their letters) therefore loses no pair, and two words meet
+only if they share about three quarters of their letters; the exact distance is part of the join's condition, so
+candidates that fail are never rows. A pair that shares several chunks is taken by the first of them only.
 """
 
 from __future__ import annotations
@@ -44,42 +46,52 @@ def words(docs: DataFrame, key: str = "doc_id", text: str = "text", letters: int
     return found.groupBy("word").agg(F.count("*").alias("n")).filter((F.length("word") >= letters) & (F.col("n") >= count))
 
 
-def chunks(words: DataFrame, word: str = "word") -> DataFrame:
-    """Two rows a word: its length, which chunk, and the chunk; the two chunks have half of the length each."""
-    size = F.length(word)
+def _keys(word: Column, n: Column, half: Column, quarter: Column) -> list[Column]:
+    """The letters of a word of ``n`` letters under the four pairs of a chunk and a chunk of the rest."""
+    start = lambda k: F.substring(word, F.lit(1), k)
+    end = lambda k: F.substring(word, n - k + 1, k)
+    return [start(half + quarter), F.concat(start(half), end(quarter)), F.concat(start(quarter), end(half)), end(half + quarter)]
+
+
+def _sizes(size: Column) -> tuple[Column, Column]:
     half = F.floor(size / 2).cast("int")
-    both = F.array(
-        F.struct(F.lit(0).alias("chunk"), F.substring(word, F.lit(1), half).alias("gram")),
-        F.struct(F.lit(1).alias("chunk"), F.substring(word, size - half + 1, half).alias("gram")),
-    )
-    return words.select("*", size.alias("size"), F.explode(both).alias("_c")).select(*words.columns, "size", "_c.*")
+    return half, F.floor(half / 2).cast("int")
+
+
+def _exploded(rows: DataFrame, keys: list[Column]) -> DataFrame:
+    each = F.array(*[F.struct(F.lit(k).alias("chunk"), c.alias("gram")) for k, c in enumerate(keys)])
+    return rows.select("*", F.explode(each).alias("_c")).select(*rows.columns, "_c.*")
+
+
+def chunks(words: DataFrame, word: str = "word") -> DataFrame:
+    """Four rows a word: its length, which chunks (0, 1: its first half and the first or last of the rest; 2, 3: its last
+    half and the first or last of the rest), and their letters."""
+    rows = words.select("*", F.length(word).alias("size"))
+    return _exploded(rows, _keys(F.col(word), F.col("size"), *_sizes(F.col("size"))))
 
 
 def grams(words: DataFrame, word: str = "word") -> DataFrame:
-    """The positional grams of a word that can be a chunk of a word of ``size`` letters, one less, equal or one more:
-    those of that word's chunk size whose place is the chunk's, moved by the difference of the lengths for the last."""
+    """The same of the positional grams that can be chunks of a word of ``size`` letters, one less, equal or one more: of
+    that word's chunk sizes, at the chunk's place, or moved by the difference of the lengths behind the edit."""
     n = F.length(word)
-    sized = words.select("*", F.explode(F.array(n - 1, n, n + 1)).alias("size"))
-    half = F.floor(F.col("size") / 2).cast("int")
-    # the last chunk begins at size - half; the same letters begin at n - half here, a shift of n - size
-    placed = F.array(
-        F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("shift"), F.substring(word, F.lit(1), half).alias("gram")),
-        F.struct(F.lit(1).alias("chunk"), (n - F.col("size")).alias("shift"), F.substring(word, n - half + 1, half).alias("gram")),
-    )
-    return sized.select("*", F.explode(placed).alias("_g")).select(*words.columns, "size", "_g.*")
+    rows = words.select("*", F.explode(F.array(n - 1, n, n + 1)).alias("size"))
+    return _exploded(rows, _keys(F.col(word), n, *_sizes(F.col("size"))))
 
 
 def near(words: DataFrame) -> DataFrame:
     """(word, n, other, other_n): all ordered pairs of distinct ``words`` (word, n) that are one edit apart.
 
-    The words must be of two letters or more and one row each.
+    The words must be of six letters or more and one row each.
     """
     a = chunks(words)
-    b = grams(words).select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("size").alias("_size"), F.col("chunk").alias("_chunk"), F.col("gram").alias("_gram"), "shift")
-    half = F.floor(F.col("size") / 2).cast("int")
-    first_shared = F.substring(F.col("word"), F.lit(1), half) == F.substring(F.col("other"), F.lit(1), half)
-    same = (F.col("size") == F.col("_size")) & (F.col("chunk") == F.col("_chunk")) & (F.col("gram") == F.col("_gram")) & (F.abs("shift") <= 1)
-    verified = (F.col("word") != F.col("other")) & ((F.col("chunk") == 0) | ~first_shared) & (F.levenshtein("word", "other", 1) == 1)
+    b = grams(words).select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("size").alias("_size"), F.col("chunk").alias("_chunk"), F.col("gram").alias("_gram"))
+    sizes = _sizes(F.col("size"))
+    mine, theirs = _keys(F.col("word"), F.length("word"), *sizes), _keys(F.col("other"), F.length("other"), *sizes)
+    first = F.lit(3)
+    for k in (2, 1, 0):
+        first = F.when(mine[k] == theirs[k], k).otherwise(first)
+    same = (F.col("size") == F.col("_size")) & (F.col("chunk") == F.col("_chunk")) & (F.col("gram") == F.col("_gram"))
+    verified = (F.col("word") != F.col("other")) & (F.levenshtein("word", "other", 1) == 1) & (F.col("chunk") == first)
     return a.join(b, same & verified).select("word", "n", "other", "other_n")
 
 
