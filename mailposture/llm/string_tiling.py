@@ -163,9 +163,10 @@ class Block:
             a = b
         return found
 
-    def tilings(self, texts: pa.Array, tokenizer: Tokenizer) -> Iterator[tuple[int, int, list[tuple[int, int, int]], float]]:
+    def tilings(self, texts: pa.Array, tokenizer: Tokenizer, least: float = 0.0) -> Iterator[tuple[int, int, list[tuple[int, int, int]], float]]:
         """(row, item, tiles, coverage) of every row and item that share a seed, or a whole item without one; tiles:
-        (at in text, at in item, tokens)."""
+        (at in text, at in item, tokens). Pairs that cannot reach the coverage ``least`` are left out: every token of a tile
+        is under a shared seed, so the item's tokens under shared seeds are the most that tiles can cover."""
         if self.short:
             yield from self._whole(texts, tokenizer)
         for _, _, hashes, rows in tokenizer.column(texts):
@@ -175,6 +176,9 @@ class Block:
                 r, i = divmod(pair, len(self.ids))
                 first, a, b = int(np.searchsorted(rows, r)), int(np.searchsorted(rows[at], r)), int(np.searchsorted(rows[at], r, "right"))
                 lo, hi = int(self.bounds[i]), int(self.bounds[i + 1])
+                under = np.flatnonzero(np.isin(self.seed_at[lo:hi], seed[a:b]))
+                if (int(np.minimum(np.diff(under), SEED_TOKENS).sum()) + SEED_TOKENS) / (hi - lo) < least:
+                    continue
                 mine = at[a:b][np.isin(seed[a:b], self.seed_at[lo:hi])]
                 place, tokens, used = covered(mine, hashes)
                 tiles = [(int(place[t]) - first, p, n) for t, p, n in greedy_tiles(tokens, used, self.tokens[lo:hi])]
@@ -292,7 +296,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, key
         def pairs(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             tokenizer, items = Tokenizer(), sent.value
             for batch in batches:
-                rows = [(batch.column(0)[r].as_py(), items.ids[i], round(c, 6), [{"doc_at": t, "item_at": p, "tokens": n} for t, p, n in tiles], True) for r, i, tiles, c in items.tilings(batch.column(1), tokenizer) if c >= coverage]
+                rows = [(batch.column(0)[r].as_py(), items.ids[i], round(c, 6), [{"doc_at": t, "item_at": p, "tokens": n} for t, p, n in tiles], True) for r, i, tiles, c in items.tilings(batch.column(1), tokenizer, coverage) if c >= coverage]
                 if rows:
                     yield pa.RecordBatch.from_pylist([dict(zip((key, item, "coverage", "tiles", "contaminated"), r, strict=True)) for r in rows], _arrow(batch.schema.field(0).type, items.ids, key, item))
 
@@ -316,7 +320,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
             tokenizer, items = Tokenizer(), sent.value
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                keep[[r for r, _, _, c in items.tilings(batch.column(at), tokenizer) if c >= coverage]] = False
+                keep[[r for r, _, _, c in items.tilings(batch.column(at), tokenizer, coverage) if c >= coverage]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(clean, docs.schema)

@@ -288,3 +288,18 @@ def test_bloom_has_no_false_negatives_and_few_false_positives(spark, monkeypatch
     monkeypatch.setattr(url_filter, "MOST_BLOCKS", 1)
     pages = asked.select(F.col("id").alias("page_id"), F.concat(F.lit("http://"), F.col("c")).alias("url"))
     assert url_filter.judge(pages, listed, []).filter("(verdict = 'block') <> (page_id < 3000)").count() == 0
+
+
+def test_pairs_under_the_coverage_are_not_tiled(monkeypatch):
+    """A phrase that many items share: only pairs that can reach the coverage are tiled, with the same results."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    phrase = "this phrase is in every one"
+    items = [" ".join([word() for _ in range(30)] + [phrase] + [word() for _ in range(30)]) for _ in range(300)]
+    texts = [" ".join([word() for _ in range(100)] + [phrase, items[k][: (k + 1) * 60]]) for k in range(6)]
+    block, tokenizer = string_tiling.Block.of(list(range(300)), items), string_tiling.Tokenizer()
+    whole = [t for t in block.tilings(pa.array(texts), tokenizer) if t[3] >= 0.5]
+    calls, greedy = [], string_tiling.greedy_tiles
+    monkeypatch.setattr(string_tiling, "greedy_tiles", lambda *a: calls.append(1) or greedy(*a))
+    assert [t for t in block.tilings(pa.array(texts), tokenizer, 0.5) if t[3] >= 0.5] == whole
+    assert whole and len(calls) <= len(texts)
