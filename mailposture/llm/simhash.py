@@ -9,7 +9,8 @@ radius agree in at least ``agree`` blocks, and every choice of ``agree`` blocks
 a large radius (wide fingerprints) no complete set is affordable: there the keys are MinHash bands of the same shingles
 (``BANDS`` keys of ``BAND_ROWS`` minima each). Their number does not depend on the table, so that two documents link in
 a large table if they do in a small one. They miss a pair of Jaccard similarity 0.8 with probability 3e-5, and one of
-0.68, whose fingerprints differ in a fifth of the bits on average, with 0.008.
+0.68, whose fingerprints differ in a fifth of the bits on average, with 0.008. Fingerprints of that radius also bring
+together texts of a similarity of 0.6, so ``keep_first`` compares the shingle sets of its candidates.
 
 Fingerprints that share a key are compared bit-sliced: 64 of them lie vertically in one word for each bit of the
 fingerprint; XOR with a query's bit gives 64 differences at once, carry-save counters add them up, and a block is
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,8 @@ TILE, MOST_TILE, MOST_TILES = 2048, 1 << 18, 64
 KEYED_ROWS, HOT_KEYS = 2000, 50_000
 #: Mean number of fingerprints of one key that is aimed at.
 OCCUPANCY = 1024
+#: Texts whose shingle sets leave a task at a time, and parts over which the partners of one text are dealt.
+SET_ROWS, SET_SALTS = 64, 256
 #: MinHash bands of a text, the minima in each, and shingles that meet all permutations at a time.
 BANDS, BAND_ROWS, MIN_STEP = 20, 4, 1024
 
@@ -77,24 +81,34 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str | None, words: int, lanes: int = 1, minima: np.ndarray | None = None) -> np.ndarray:
-    """``lanes`` 64-bit words: the SimHash of the shingles of ``words`` words of the A-Z lower-cased text.
+def shingle_hashes(text: str | None, words: int) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of the space-joined shingles of ``words`` words of the A-Z lower-cased text, in bounded steps.
 
-    The first lane uses XXH64 (seed 42) of the space-joined shingle; further lanes mix that hash anew. ``minima``, if
-    given, are lowered to those of the shingles.
+    Fewer words are one shingle; no words have none.
     """
     parts = text.encode("utf-8", "surrogatepass").lower().split() if text else []  # splits at \x20 and \x09-\x0D
     if not parts:
-        return np.zeros(lanes, np.uint64)
+        return
     joined = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(parts) - words + 1)
     last = ends[words - 1 :] if len(parts) >= words else ends[-1:]
-    counts, digest = np.zeros((lanes, 64), np.int64), xxhash.xxh64_intdigest
+    digest = xxhash.xxh64_intdigest
     for i in range(0, n, STEP):
         spans = zip(starts[i : min(i + STEP, n)].tolist(), last[i : i + STEP].tolist(), strict=True)
-        h = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64, min(STEP, n - i))
+        yield np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64, min(STEP, n - i))
+
+
+def fingerprint(text: str | None, words: int, lanes: int = 1, minima: np.ndarray | None = None) -> np.ndarray:
+    """``lanes`` 64-bit words: the SimHash of the shingles of ``words`` words of the A-Z lower-cased text.
+
+    The first lane uses the shingles' hashes; further lanes mix that hash anew. ``minima``, if given, are lowered to
+    those of the shingles.
+    """
+    counts, n = np.zeros((lanes, 64), np.int64), 0
+    for h in shingle_hashes(text, words):
+        n += len(h)
         if minima is not None:
             add_minima(minima, h)
         for lane in range(lanes):
@@ -249,7 +263,7 @@ def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray
 def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, tile: int = TILE) -> DataFrame:
     """(a, b): links between the nodes of ``folded`` (node, fp), enough to connect what is within the radius.
 
-    ``bands`` of ``folded``, if it has them, are keys beside those of the fingerprint.
+    Of what a key connects, each node is linked to the least one, b. ``bands`` of ``folded``, if it has them, are keys beside those of the fingerprint.
     """
     banded = "bands" in folded.columns
 
@@ -296,8 +310,10 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
                 node, unit = part.column("node").to_numpy(), unit[:stop]
                 begin = first_compared(unit, part.column("own").to_numpy(), part.column("mixed").to_numpy())
                 root = forest(close_pairs(fps, unit, radius, begin), stop)
-                at = np.flatnonzero(node != node[root])
-                yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[root[at]])], ["a", "b"])
+                least = node.copy()
+                np.minimum.at(least, root, node)
+                at = np.flatnonzero(node != least[root])
+                yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(least[root[at]])], ["a", "b"])
 
     return dealt.mapInArrow(linked, "a bigint, b bigint")
 
@@ -336,40 +352,96 @@ def groups(prints: DataFrame, radius: int, lanes: int = 1, key: str = "doc_id")
     return out.unionByName(prints.filter(F.col(key).isNull()).select(key, "fp", F.lit(None).cast("long").alias("component")))
 
 
-def similar(prints: DataFrame, radius: int, lanes: int) -> DataFrame:
-    """``prints`` (fp, bands, ...) folded to one row for each fp and bands: (first, node, component).
+def folded_prints(prints: DataFrame) -> DataFrame:
+    """``prints`` (fp, bands, ...) folded to one row for each fp and bands: (fp, bands, first, node).
 
-    first: the least struct of the other columns; component: the smallest node that links reach.
+    first: the least struct of the other columns; node: a number in the order of first.
     """
     others = [c for c in prints.columns if c not in ("fp", "bands")]
     folded = prints.groupBy("fp", "bands").agg(F.min(F.struct(*others)).alias("first"))
-    folded = cut(folded.withColumn("node", F.monotonically_increasing_id()))
-    found = links(folded, [], radius, lanes)
-    # Texts of equal fingerprint may differ in bands: they are linked to the smallest node of theirs.
-    equal = folded.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("_n"))
-    same = hot_join(folded.select("fp", "node"), equal.filter("_n > 1"), ["fp"], folded.count()).filter("node <> least")
-    reached = components(found.union(same.select(F.col("node").alias("a"), F.col("least").alias("b"))))
-    return folded.join(reached, "node", "left").select("first", "node", F.coalesce("component", "node").alias("component"))
+    return cut(folded.orderBy("first").withColumn("node", F.monotonically_increasing_id()))
 
 
-def keep_first(docs: DataFrame, words: int = 5, lanes: int = 4, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the one with the smallest id, and of equal ids that with the smallest text hash.
+def candidates(folded: DataFrame, radius: int, lanes: int) -> DataFrame:
+    """(a, b), b < a, of nodes that share a band and are connected within the radius there, or share a fingerprint.
+
+    Of what a band or a fingerprint connects, each node is paired with the least one.
+    """
+    equal = folded.groupBy("fp").agg(F.min("node").alias("b"), F.count("*").alias("_n"))
+    same = hot_join(folded.select("fp", "node"), equal.filter("_n > 1"), ["fp"], folded.count()).filter("node <> b")
+    return cut(links(folded, [], radius, lanes).union(same.select(F.col("node").alias("a"), "b")).distinct())
+
+
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, shingles): the distinct hashes of the shingles, sorted, from (node, text)."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, SET_ROWS):
+                part = batch.slice(i, SET_ROWS)
+                found = [np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(t.as_py(), words)])).view(np.int64) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return texts.mapInArrow(hashed, "node bigint, shingles array<bigint>")
+
+
+def resembling(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b) whose ``sets`` (node, shingles) have a Jaccard similarity of ``similarity`` or more.
+
+    The set of a b is copied to at most SET_SALTS parts, over which its partners are dealt.
+    """
+    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64("a"), F.lit(SET_SALTS)))
+    theirs = salted.select("b", "_salt").distinct().join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
+    both = salted.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a").join(theirs, ["b", "_salt"])
+    shared = F.size(F.array_intersect("_a", "_b"))
+    return both.filter(shared >= similarity * (F.size("_a") + F.size("_b") - shared)).select("a", "b")
 
-    Documents link if at least ``similarity`` of the fingerprint's bits agree. Candidates share a MinHash band, so that
-    whether two documents link does not depend on the table. A pair of Jaccard similarity 0.8 differs in 0.15 of the
-    bits on average; its bits spread, and with probability 0.016 it lies beyond the radius and is not linked. Rows
-    without an id come last in their group. Different texts of one id are different documents; rows that repeat id and
-    text are one.
+
+def repeated(folded: DataFrame, texts: DataFrame, radius: int, lanes: int, words: int, similarity: float) -> DataFrame:
+    """(node): the nodes that resemble a smaller one that is not itself among them.
+
+    ``texts`` has the columns of ``first`` and the text, a row each. A node without a smaller partner stays, and
+    partners that resemble it go; partners that do not are paired anew among themselves, until none has a partner. Each
+    round decides at least the least node of all that are connected.
+    """
+    left, gone, sets = folded, [], None
+    while True:
+        pairs = candidates(left, radius, lanes)
+        if pairs.isEmpty():
+            break
+        if sets is None:
+            involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+            named = folded.join(involved, "node").select("node", "first.*")
+            on = [c for c in texts.columns if c in named.columns]
+            sets = cut(shingle_sets(texts.join(named.select("node", *on), on).select("node", *[c for c in texts.columns if c not in on]), words))
+        staying = pairs.select("b").distinct().join(pairs.select(F.col("a").alias("b")), "b", "left_anti")
+        near = cut(resembling(pairs.join(staying, "b", "left_semi"), sets, similarity).select(F.col("a").alias("node")).distinct())
+        gone.append(near)
+        open_ = pairs.select(F.col("a").alias("node")).distinct().join(near, "node", "left_anti")
+        left = cut(left.join(open_, "node", "left_semi"))
+    return reduce(DataFrame.union, gone, folded.select("node").limit(0))
+
+
+def keep_first(docs: DataFrame, words: int = 5, lanes: int = 4, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that resemble none with a smaller id that stays; of equal ids the smallest text hash comes first.
+
+    A document goes only if the Jaccard similarity of its shingles and those of a document that stays is ``similarity``
+    or more, by an exact comparison. Candidates agree in ``similarity`` of the fingerprint's bits or more and share a
+    MinHash band, so that whether two documents meet does not depend on the table; texts of equal fingerprint and bands
+    count as equal. A pair of Jaccard similarity 0.8 differs in 0.15 of the bits on average; its bits spread, and with
+    probability 0.016 it lies beyond the radius and both stay. Texts without words resemble one another. Rows without an
+    id come last. Different texts of one id are different documents; rows that repeat id and text are one.
     """
     same = {"_none": F.col(key).isNull(), "_name": F.coalesce(F.col(key).cast("string"), F.lit("")), "_content": F.xxhash64(text)}
     marks = {**same, "_key": F.col(key)}
-    if clash := set(marks) & set(docs.columns):
+    if clash := {*marks, "node"} & set(docs.columns):
         raise ValueError(f"columns exist already: {sorted(clash)}")
     marked = docs.withColumns(marks)
-    prints = cut(fingerprints(marked, words, lanes, "_none", text, bands=True, others=("_key", "_content", "_name")))
-    first = similar(prints, int((1 - similarity) * 64 * lanes), lanes).groupBy("component").agg(F.min("first").alias("first"))
-    # Repeated rows are combined where they are before the one shuffle of the texts.
+    folded = folded_prints(cut(fingerprints(marked, words, lanes, "_none", text, bands=True, others=("_key", "_content", "_name"))))
+    # Repeated rows are combined where they are before a shuffle of the texts.
     single = marked.drop("_key").dropDuplicates(list(same))
+    gone = repeated(folded, single.select(*same, text), int((1 - similarity) * 64 * lanes), lanes, words, similarity)
+    first = folded.join(gone, "node", "left_anti")
     return single.join(first.select(*[f"first.{c}" for c in same]), list(same), "left_semi").select(docs.columns)
 
 

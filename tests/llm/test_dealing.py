@@ -344,14 +344,12 @@ def test_stages_like_brute_force(spark, small):
     # Near copies: all pairs of fingerprints.
     single = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, small).collect()]
     prints = np.array([simhash.fingerprint(text(r), 5, 4) for r in rows])
-    root = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in np.flatnonzero(np.bitwise_count(prints[:i] ^ prints[i]).sum(1) <= 51):
-            a, b = root[i], root[j]
-            root = [min(a, b) if x in (a, b) else x for x in root]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := text(r).encode().lower().split()) else set() for r in rows]
     first = {}
-    for i, r in enumerate(rows):
-        first[root[i]] = min(first.get(root[i], r), r, key=lambda r: r[at["doc_id"]])
+    for i in sorted(range(len(rows)), key=lambda i: rows[i][at["doc_id"]]):
+        near = [j for j in first if np.bitwise_count(prints[i] ^ prints[j]).sum() <= 51]
+        if not any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in near):
+            first[i] = rows[i]
     assert sorted(single, key=repr) == sorted(first.values(), key=repr)
     # Benchmark: greedy tiles by the definition, over the items that share five words with a document.
     items = [words_of(r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]

@@ -136,8 +136,8 @@ def test_near_copies_link_at_every_table_size(spark, pairs):
     new = lambda n: " ".join(f"w{rng.getrandbits(40):x}" for _ in range(n))
     rows = []
     for i in range(pairs):
-        same = new(250)  # 246 shingles in common, 31 own ones on each side
-        rows += [(2 * i, f"{same} {new(31)}"), (2 * i + 1, f"{same} {new(31)}")]
+        same = new(250)  # 246 shingles in common, 30 own ones on each side
+        rows += [(2 * i, f"{same} {new(30)}"), (2 * i + 1, f"{same} {new(30)}")]
     prints = [simhash.fingerprint(t, 5, 4) for _, t in rows]
     close = {2 * i + 1 for i in range(pairs) if np.bitwise_count(prints[2 * i] ^ prints[2 * i + 1]).sum() <= 51}
     assert len(close) > 0.93 * pairs
@@ -145,6 +145,37 @@ def test_near_copies_link_at_every_table_size(spark, pairs):
     assert {k for k, _ in rows} - kept == close
 
 
+def candidate_groups(prints):
+    """Of each folded document the smallest node that candidates reach."""
+    folded = simhash.folded_prints(prints)
+    reached = {r.node: r.component for r in components(simhash.candidates(folded, 51, 4)).collect()}
+    return {r.first.doc_id: reached.get(r.node, r.node) for r in folded.collect()}
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_only_what_resembles_a_kept_text_goes(spark):
+    """A chain of drifting texts and a template with many fillings, against the exact similarities of all pairs."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.getrandbits(40):x}"
+    rows, words = [], [word() for _ in range(200)]
+    for i in range(30):  # neighbours resemble one another, distant ones do not
+        rows.append((i, " ".join(words)))
+        words[6 * i : 6 * i + 6] = [word() for _ in range(6)]
+    frame = [word() for _ in range(190)]
+    for i in range(100, 140):  # 0.7 by template
+        rows.append((i, " ".join(frame + [word() for _ in range(40)])))
+    kept = {r.doc_id for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    for k, t in rows:
+        near = [j for j in kept if j < k and jaccard(text[j], t) >= 0.8]
+        assert (k in kept) == (not near)
+    assert set(range(100, 140)) <= kept and 1 < len(kept & set(range(30))) < 30
+
+
 @pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
 def test_recall_against_all_pairs(spark, folder):
     """Of all pairs of given documents within the radius, with an id divisible by 100 on one side, 0.9 are in one group."""
@@ -153,7 +184,7 @@ def test_recall_against_all_pairs(spark, folder):
         pytest.skip("test tables are not here")
     docs = spark.read.parquet(str(path)).select("doc_id", "text")
     prints = simhash.fingerprints(docs, 5, 4, bands=True)
-    got = {r.first.doc_id: r.component for r in simhash.similar(prints, 51, 4).collect()}
+    got = candidate_groups(prints)
     rows = [(r.doc_id, np.array(r.fp)) for r in prints.filter(F.col("doc_id").isin(list(got))).collect()]
     ids, fps = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
     found = total = 0
@@ -171,7 +202,7 @@ def test_equal_fingerprints_keep_all_their_bands(spark):
     bands = lambda start: list(range(start, start + simhash.BANDS))
     rows = [(1, a, bands(0)), (2, b, bands(1000)), (3, c, bands(1000)), (4, a, bands(0)), (5, c, bands(2000)), (6, [~x for x in a], bands(0))]
     prints = spark.createDataFrame(rows, "doc_id long, fp array<long>, bands array<long>")
-    got = {r.first.doc_id: r.component for r in simhash.similar(prints, 51, 4).collect()}
+    got = candidate_groups(prints)
     assert got.keys() == {1, 2, 3, 5, 6} and len({got[i] for i in (1, 2, 3, 5)}) == 1 and got[6] != got[1]
 
 
