@@ -25,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents alike in their 5-word shingles (0.8 of the fingerprint's bits or more) the first stays."""
+    """Of documents alike in their 5-word shingles (Jaccard similarity 0.8 or more) the first stays."""
     return simhash.keep_first(docs)
 
 
