@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mailposture.functions import records as R
 from mailposture.functions.classify import any_true, yes
 from mailposture.functions.names import registrable, suffixes
-from mailposture.operators.tables import least_row
+from mailposture.operators.tables import BROADCAST_ROWS, least_row, reached
 from mailposture.session import cut
 
 #: Names that a tree walk asks for at most, and labels from which it goes on for long names.
@@ -309,11 +309,15 @@ def dkim_control(bronze: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- address space
 
 
+#: Numbers of an address: IPv4 addresses, or the IPv6 networks of 64 bits, up to 2**64 of them.
+NUMBER = "decimal(20,0)"
+
+
 def cidr_range(value: Column) -> Column:
-    """(low, high, prefix) of an IPv4 range text; NULL if it is none."""
-    parts = F.regexp_extract(value, r"^(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?:/(\d{1,2}))?$", 1)
+    """(low, high, prefix) of an IPv4 range text, as longs; NULL if it is none. Octets have no leading zeros."""
+    parts = F.regexp_extract(value, r"^((?:(?:0|[1-9]\d{0,2})\.){3}(?:0|[1-9]\d{0,2}))(?:/(\d{1,9}))?$", 1)
     octets = F.transform(F.split(parts, r"\."), lambda x: F.when(x != "", x).cast("int"))
-    size = F.regexp_extract(value, r"/(\d{1,2})$", 1)
+    size = F.regexp_extract(value, r"/(\d{1,9})$", 1)
     prefix = F.when(size == "", 32).otherwise(F.when(size != "", size).cast("int"))
     number = F.aggregate(octets, F.lit(0).cast("long"), lambda n, o: n * 256 + o)
     span = F.pow(F.lit(2.0), 32 - prefix).cast("long")
@@ -322,16 +326,91 @@ def cidr_range(value: Column) -> Column:
     return F.when(good, F.struct(low.alias("low"), (low + span - 1).alias("high"), prefix.alias("prefix")))
 
 
-def address_space(ranges: DataFrame, key: str = "key", low: str = "low", high: str = "high") -> DataFrame:
-    """(key, covered): how many numbers the ranges of a key cover, overlaps once."""
-    before = Window.partitionBy(key).orderBy(low, high).rowsBetween(Window.unboundedPreceding, -1)
-    reached = F.coalesce(F.max(high).over(before), F.col(low) - 1)
-    fresh = F.greatest(F.col(high) - F.greatest(F.col(low) - 1, reached), F.lit(0))
-    return ranges.withColumn("_fresh", fresh).groupBy(key).agg(F.sum("_fresh").cast("long").alias("covered"))
+def ip6_groups(address: Column) -> Column:
+    """The eight groups of an IPv6 address as 32 hexadecimal digits; NULL if it is none."""
+    text = F.lower(address)
+    tail = F.regexp_extract(text, r"^.*:(\d+\.\d+\.\d+\.\d+)$", 1)
+    number = cidr_range(tail)["low"]
+    # A dotted tail stands for two groups; one that is no address leaves no valid group.
+    last = F.lpad(F.lower(F.hex(number)), 8, "0")
+    text = F.when(tail == "", text).otherwise(F.concat(F.regexp_replace(text, r"[^:]*$", ""), F.substring(last, 1, 4), F.lit(":"), F.substring(last, 5, 4)))
+    halves = F.split(text, "::", -1)
+    groups = lambda half: F.when(half == "", R.no_strings()).otherwise(F.split(half, ":", -1))
+    left, right = groups(halves[0]), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
+    given = F.concat(left, right)
+    missing = 8 - F.size(given)
+    shape = F.when(F.size(halves) == 1, missing == 0).otherwise((F.size(halves) == 2) & (missing >= 1))
+    zeros = F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0)))
+    full = F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), "")
+    return F.when(shape & F.forall(given, lambda g: g.rlike("^[0-9a-f]{1,4}$")), full)
+
+
+def cidr6_range(value: Column) -> Column:
+    """(low, high, prefix) of an IPv6 range text; NULL if it is none.
+
+    low and high number its first and last network of 64 bits, as NUMBER; a range within one network counts as it.
+    """
+    size = F.regexp_extract(value, r"^[^/]*/(\d{1,9})$", 1)
+    prefix = F.when(~value.contains("/"), 128).otherwise(F.when(size != "", size).cast("int"))
+    digits = ip6_groups(F.substring_index(value, "/", 1))
+    number = F.conv(F.substring(digits, 1, 16), 16, 10).cast(NUMBER)
+    bits = 64 - F.least(prefix, F.lit(64))
+    power = lambda n: F.pow(F.lit(2.0), n).cast("long").cast("decimal(10,0)")  # noqa: E731  (up to 2**32)
+    span = (power(F.floor(bits / 2)) * power(bits - F.floor(bits / 2))).cast(NUMBER)
+    low = (number - number % span).cast(NUMBER)
+    return F.when(digits.isNotNull() & (prefix <= 128), F.struct(low.alias("low"), (low + span - 1).cast(NUMBER).alias("high"), prefix.alias("prefix")))
+
+
+def address_space(ranges: DataFrame, key: str | list[str] = "key", low: str = "low", high: str = "high", limit: int = BROADCAST_ROWS) -> DataFrame:
+    """(key, covered): how many numbers the ranges of a key cover, overlaps once.
+
+    Each range adds what lies beyond all ranges that begin before it. Beyond ``limit`` ranges they are swept range by
+    range of the order (``reached``), so that the ranges of one key lie in many tasks. ``covered`` is a long, or has the
+    type NUMBER if low has.
+    """
+    keys = [key] if isinstance(key, str) else key
+    swept = reached(ranges.select(*keys, low, high), [F.col(low).asc(), F.col(high).asc()], {"_reached": F.col(high)}, keys, limit)
+    begin = F.greatest(F.col(low) - 1, F.coalesce("_reached", F.col(low) - 1))
+    fresh = F.greatest(F.col(high) - begin, F.lit(0))
+    kind = NUMBER if dict(ranges.dtypes)[low].startswith("decimal") else "long"
+    return swept.groupBy(*keys).agg(F.sum(fresh).cast(kind).alias("covered"))
+
+
+def passed(facts: DataFrame, family: str, key: str, record: str) -> DataFrame:
+    """(key, value): the texts of a record's ip4 or ip6 terms that let pass."""
+    terms = F.filter(R.spf_terms(F.col(record)), lambda t: t.rlike(rf"(?i)^[+]*{family}:"))
+    return facts.select(F.col(key).alias("key"), F.explode(terms).alias("t")).select("key", R.strip(F.regexp_replace("t", r"^[^:]*:", "")).alias("value"))
 
 
 def spf_ranges(facts: DataFrame, key: str = "key", record: str = "raw_spf") -> DataFrame:
     """(key, low, high, prefix) of the IPv4 ranges that a record lets pass."""
-    terms = F.filter(R.spf_terms(F.col(record)), lambda t: t.rlike(r"(?i)^[+]*ip4:"))
-    values = facts.select(F.col(key).alias("key"), F.explode(terms).alias("t")).select("key", cidr_range(R.strip(F.regexp_replace("t", r"^[^:]*:", ""))).alias("r"))
+    values = passed(facts, "ip4", key, record).select("key", cidr_range(F.col("value")).alias("r"))
+    return values.filter("r is not null").select("key", "r.*")
+
+
+def spf_ranges6(facts: DataFrame, key: str = "key", record: str = "raw_spf") -> DataFrame:
+    """(key, low, high, prefix) of the IPv6 ranges that a record lets pass, in networks of 64 bits."""
+    values = passed(facts, "ip6", key, record).select("key", cidr6_range(F.col("value")).alias("r"))
     return values.filter("r is not null").select("key", "r.*")
+
+
+def spf_spaces(facts: DataFrame, key: str = "key", record: str = "raw_spf", limit: int = BROADCAST_ROWS) -> DataFrame:
+    """W7 in both families, a row for each key that has a record.
+
+    (key, ip4_addresses, ip4_widest_prefix, ip6_networks, ip6_widest_prefix): what the passing ranges cover, overlaps
+    once, in IPv4 addresses and in IPv6 networks of 64 bits (smaller ranges count as the network they lie in); 0 if there
+    is none, and then no prefix. Several records of a key count together.
+    """
+    both = spf_ranges(facts, key, record).select("key", F.lit(4).alias("family"), F.col("low").cast(NUMBER).alias("low"), F.col("high").cast(NUMBER).alias("high"), "prefix")
+    both = cut(both.unionByName(spf_ranges6(facts, key, record).withColumn("family", F.lit(6))))
+    widest = both.groupBy("key", "family").agg(F.min("prefix").alias("widest"))
+    found = address_space(both, ["key", "family"], limit=limit).join(widest, ["key", "family"])
+    of = lambda f, c: F.max(F.when(F.col("family") == f, F.col(c)))
+    keys = facts.filter(F.col(record).isNotNull()).select(F.col(key).alias("key"), F.lit(None).cast("int").alias("family"), F.lit(None).cast(NUMBER).alias("covered"), F.lit(None).cast("int").alias("widest"))
+    none = F.lit(0).cast(NUMBER)
+    return found.select("key", "family", "covered", "widest").unionByName(keys).groupBy("key").agg(
+        F.coalesce(of(4, "covered"), none).cast("long").alias("ip4_addresses"),
+        of(4, "widest").alias("ip4_widest_prefix"),
+        F.coalesce(of(6, "covered"), none).alias("ip6_networks"),
+        of(6, "widest").alias("ip6_widest_prefix"),
+    )

@@ -121,6 +121,12 @@ def bronze_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A record of both address families for each order, the same in Spark and DuckDB.
+RANGES = """concat('v=spf1 ip4:10.', o_orderkey % 200, '.', o_orderkey % 7 * 16, '.0/', 12 + o_orderkey % 21, ' +ip4:10.', o_custkey % 256, '.1.2 ip4:10.0.0.', o_orderkey % 300,
+ CASE WHEN o_orderkey % 4 = 0 THEN ' mx' ELSE concat(' ip6:2001:db8:', o_orderkey % 5000, '::/', 34 + o_orderkey % 40, ' ip6:2001:db8:', o_custkey % 100, ':', o_orderkey % 3, ':1:2:3:4') END,
+ ' -ip6:::/0 ip6:2001:', o_orderkey % 9, ':::1 -all')"""
+
+
 def _run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("FROM customer", "FROM {customer}"), customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
 

@@ -96,6 +96,13 @@ def spf_address_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts_ops.address_space(facts_ops.spf_ranges(rows))
 
 
+@query
+def spf_address_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 in both families, on a record for each order; those of a customer count together."""
+    rows = spark.sql("SELECT o_custkey AS key, " + fixture.RANGES + " AS raw_spf FROM {orders}", orders=table(spark, sf_dir, "orders"))
+    return facts_ops.spf_spaces(rows).withColumn("ip6_networks", F.col("ip6_networks").cast("long"))
+
+
 # ---------------------------------------------------------------- inference
 
 

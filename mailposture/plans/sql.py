@@ -129,6 +129,21 @@ nums AS (SELECT key, string_split(split_part(r, '/', 1), '.') AS o, coalesce(TRY
 vals AS (SELECT key, ((o[1]::BIGINT * 256 + o[2]::BIGINT) * 256 + o[3]::BIGINT) * 256 + o[4]::BIGINT AS v, pow(2, 32 - p)::BIGINT AS span FROM nums),
 ranges AS (SELECT key, v - v % span AS low, v - v % span + span - 1 AS high FROM vals), {_COVER}"""
 
+ORACLE["spf_address_families"] = f"""WITH records AS (SELECT o_custkey AS key, {fixture.RANGES} AS spf FROM orders),
+fours AS (SELECT key, unnest(regexp_extract_all(spf, ' [+]?ip4:([0-9./]+)', 1)) AS r FROM records),
+sixes AS (SELECT key, unnest(regexp_extract_all(spf, ' ip6:([0-9a-f:/]+)', 1)) AS r FROM records),
+octets AS (SELECT key, string_split(split_part(r, '/', 1), '.') AS o, coalesce(TRY_CAST(nullif(split_part(r, '/', 2), '') AS INT), 32) AS p FROM fours),
+groups_ AS (SELECT key, list_transform(string_split(split_part(r, '/', 1), ':'), lambda g: ('0x' || CASE WHEN g = '' THEN '0' ELSE g END)::BIGINT) AS g, coalesce(TRY_CAST(nullif(split_part(r, '/', 2), '') AS INT), 128) AS p FROM sixes WHERE NOT contains(r, ':::')),
+vals AS (
+  SELECT key, 4 AS family, p, (((o[1]::BIGINT * 256 + o[2]::BIGINT) * 256 + o[3]::BIGINT) * 256 + o[4]::BIGINT)::HUGEINT AS v, pow(2, 32 - p)::HUGEINT AS span FROM octets WHERE o[4]::BIGINT < 256
+  UNION ALL SELECT key, 6, p, ((g[1]::HUGEINT * 65536 + g[2]) * 65536 + g[3]) * 65536 + g[4], pow(2, 64 - least(p, 64))::HUGEINT FROM groups_),
+ranges AS (SELECT key, family, p, v - v % span AS low, v - v % span + span - 1 AS high FROM vals),
+cover AS (SELECT *, coalesce(max(high) OVER (PARTITION BY key, family ORDER BY low, high ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), low - 1) AS reached FROM ranges),
+sums AS (SELECT key, family, sum(greatest(high - greatest(low - 1, reached), 0))::BIGINT AS covered, min(p) AS widest FROM cover GROUP BY key, family)
+SELECT r.key, coalesce(max(covered) FILTER (WHERE family = 4), 0)::BIGINT AS ip4_addresses, (max(widest) FILTER (WHERE family = 4))::INT AS ip4_widest_prefix,
+  coalesce(max(covered) FILTER (WHERE family = 6), 0)::BIGINT AS ip6_networks, (max(widest) FILTER (WHERE family = 6))::INT AS ip6_widest_prefix
+FROM (SELECT DISTINCT key FROM records) r LEFT JOIN sums s ON r.key = s.key GROUP BY r.key"""
+
 _RULES = "rules AS (SELECT * FROM (VALUES " + ", ".join(
     "(" + ", ".join("NULL" if v is None else "'" + v + "'" for v in (r["id"], r["vendor"], r.get("product"), r["category"], r["record"], r["pattern"], r["confidence"], r.get("layer") or ("platform" if r["category"] == "mail_platform" else None), r.get("engine"))) + ")"
     for r in fixture.RULES

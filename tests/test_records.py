@@ -1,5 +1,6 @@
 """Record strings against expected values, and against a plain reading of the rules."""
 
+import ipaddress
 import random
 
 import pytest
@@ -171,6 +172,44 @@ def test_address_space(spark):
     assert {r.key: r.covered for r in out.collect()} == {"a": 257, "b": 65536}
 
 
+def test_both_address_families(spark):
+    """Against ipaddress: what is a range, what it covers, and the widest prefix."""
+    texts = [
+        "ip6:2001:db8::/32", "ip6:2001:db8:1::/48", "+ip6:2001:DB8:ffff::1", "IP6:::1", "ip6:::/0", "ip6:1:2:3:4:5:6:7::", "ip6:1:2:3:4:5:6:7:8/64", "ip6:::ffff:10.1.2.3/96",
+        "ip6:1::2::3", "ip6:1:2:3", "ip6:12345::", "ip6:1:2:3:4:5:6:7:8::", "ip6:::ffff:10.1.2.300", "ip6:2001:db8::/129", "ip6:2001:db8::/", "ip6:10.0.0.0/8", "-ip6:fe80::/10", "ip6:fe80::/10",
+        "ip6:g::", "ip6::1", "ip6:1:::2", "ip6:ff00::/8", "ip4:10.0.0.0/8", "ip4:010.0.0.1", "ip4:10.0.0.1/33", "ip4:::1", "ip4:10.0.0.7/032",
+    ]
+    rng = random.Random(4)
+    records = {str(i): rng.sample(texts, rng.randrange(1, 6)) for i in range(80)} | {str(100 + i): [t] for i, t in enumerate(texts)}
+    rows = [(k, " ".join(["v=spf1", *v, "-all"])) for k, v in records.items()] + [("none", None), ("bare", "v=spf1 -all")]
+    got = {r.key: tuple(r)[1:] for r in facts.spf_spaces(spark.createDataFrame(rows, "key string, raw_spf string")).collect()}
+    assert got.keys() == records.keys() | {"bare"} and got["bare"] == (0, None, 0, None)
+    for k, terms in records.items():
+        nets = {4: [], 6: []}
+        for t in terms:
+            name, _, value = t.lstrip("+").partition(":")
+            try:
+                net = ipaddress.ip_network(value, strict=False)
+            except ValueError:
+                continue
+            if name.lower() == f"ip{net.version}":
+                nets[net.version].append(net)
+        four = sum(n.num_addresses for n in ipaddress.collapse_addresses(nets[4]))
+        wide = [n if n.prefixlen <= 64 else n.supernet(new_prefix=64) for n in nets[6]]
+        six = sum(n.num_addresses >> 64 for n in ipaddress.collapse_addresses(wide))
+        assert got[k] == (four, min((n.prefixlen for n in nets[4]), default=None), six, min((n.prefixlen for n in nets[6]), default=None)), (k, terms)
+
+
+def test_ranges_of_one_key_lie_in_many_tasks(spark):
+    """A million ranges of one key, in pieces of the order, cover what one sweep says."""
+    rows = spark.range(1_000_000).select(F.lit("hot").alias("key"), (F.pmod(F.xxhash64("id"), F.lit(40_000_000))).alias("low"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(60))).alias("n"))
+    rows = rows.select("key", "low", (F.col("low") + F.col("n")).alias("high")).union(spark.createDataFrame([("hot", 1_000, 90_000), ("small", 5, 6), ("small", 6, 9)], "key string, low long, high long"))
+    got = {r.key: r.covered for r in facts.address_space(rows).collect()}
+    ends = rows.filter("key = 'hot'").toPandas().sort_values(["low", "high"])
+    before = ends.high.cummax().shift(fill_value=-1)
+    assert got == {"hot": int((ends.high - (ends.low - 1).clip(lower=before)).clip(lower=0).sum()), "small": 5}
+
+
 def test_three_valued_checks(spark):
     rules = spark.createDataFrame([("example",), ("jp.example",)], "rule string")
     f = spark.createDataFrame([("a.example", ["x.r.example", "a.example"]), ("b.example", ["gone.example"]), ("c.example", ["dark.example"])], "domain string, dmarc_rua array<string>")
