@@ -70,10 +70,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages with the message they reply to, their place in reply order, and their text without quotes; and
-    all conversations in reply order (kind ``conversation``, the turn is the first one of the part)."""
+    all conversations in reply order (kind ``conversation``, in numbered parts; the turn is the first one of the part)."""
     messages = table(spark, sf_dir, "conversations")
     placed = quotation.conversations(messages).drop("text").withColumn("kind", F.lit("message"))
-    parts = quotation.assemble(placed, repeated=quotation.repeats(messages)).select(F.lit("conversation").alias("kind"), "conv_id", F.col("first_turn").alias("turn"), F.col("conversation").alias("chat"))
+    parts = quotation.assemble(placed, repeated=quotation.repeats(messages)).select(F.lit("conversation").alias("kind"), "conv_id", F.col("first_turn").alias("turn"), "part", F.col("conversation").alias("chat"))
     return placed.unionByName(parts, allowMissingColumns=True)
 
 

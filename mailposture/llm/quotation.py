@@ -10,7 +10,7 @@ replies to the message that most lines of its least nested quotes come from (the
 Replies form trees, and ``thread_root`` and ``depth`` order each conversation so that a message stands behind what it
 replies to; messages that quote nothing are roots. Clean text is the own lines without the line that announces a quote.
 ``assemble`` puts the clean turns of a conversation together in reply order: thread by thread, and within a thread by
-turn; conversations of more than PART turns come in several parts.
+turn; conversations of more than PART turns come in several parts, numbered in that order.
 
 The latest earlier message is found in two steps, so that a passage that is very common in a very long conversation is
 not gathered in one task: the latest turn within a range of turns, then the latest range before it. Roots are found
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType
 
 from mailposture.llm.common import cut, hot_join, hot_left_join
+from mailposture.operators.tables import running, short
 
 #: Turns of one range in the two-step search for the latest earlier message, and of one part of a conversation.
 RANGE, PART = 64, 1024
@@ -240,10 +241,11 @@ def repeats(messages: DataFrame, conv: str = "conv_id", turn: str = "turn") -> b
 
 
 def assemble(placed: DataFrame, conv: str = "conv_id", turn: str = "turn", root: str = "thread_root", chat: str = "chat", part: int = PART, repeated: bool = True) -> DataFrame:
-    """(conv, root_part, turn_part, first_turn, messages, conversation) of the messages that ``conversations`` placed.
+    """(conv, part, first_turn, messages, conversation) of the messages that ``conversations`` placed.
 
-    Parts in the order (root_part, turn_part) make up a conversation; one of up to ``part`` turns has one part. A part
-    holds up to ``part`` turns, thread by thread. ``repeated`` false (see ``repeats``) saves a shuffle of the texts.
+    A conversation's messages are numbered in reply order, thread by thread and by turn within a thread; part k holds
+    the numbers from k * ``part`` up to the next one's, so that parts in their order are the conversation in reply
+    order. ``repeated`` false (see ``repeats``) saves a shuffle of the texts.
     """
     known = placed.filter(F.col(conv).isNotNull() & F.col(turn).isNotNull())
     rows = known.select(conv, turn, F.col(root).alias("_root"), F.col(chat).alias("_chat"))
@@ -251,6 +253,12 @@ def assemble(placed: DataFrame, conv: str = "conv_id", turn: str = "turn", root:
         # Of a repeated turn the row with the least hash counts; rows are combined where they are first.
         one = rows.groupBy(conv, turn).agg(F.min(F.struct(F.xxhash64("_chat"), "_root", "_chat")).alias("_m"))
         rows = one.select(conv, turn, "_m._root", "_m._chat")
-    rows = rows.select(conv, F.floor(F.col("_root") / part).alias("root_part"), F.floor(F.col(turn) / part).alias("turn_part"), F.struct(F.col("_root").alias("root"), F.col(turn).alias("turn"), F.col("_chat").alias("chat")).alias("m"))
-    held = rows.groupBy(conv, "root_part", "turn_part").agg(F.array_sort(F.collect_list("m")).alias("m"))  # ``part`` at most
-    return held.select(conv, "root_part", "turn_part", F.get("m", F.lit(0))["turn"].alias("first_turn"), F.size("m").cast("long").alias("messages"), F.array_join(F.col("m.chat"), "\n").alias("conversation"))
+    # Numbers of long conversations are counted range by range; all messages of the others have part 0.
+    places = cut(known.select(conv, turn, F.col(root).alias("_root")).distinct())
+    long = places.groupBy(conv).agg(F.count("*").alias("_n")).filter(F.col("_n") > part).select(conv)
+    numbered = running(places.join(long, conv, "left_semi"), [F.col("_root").asc(), F.col(turn).asc()], {"_number": F.lit(1)}, [conv])
+    parts = numbered.select(conv, turn, F.floor(F.col("_number") / part).alias("part"))
+    rows = rows.join(short(parts), [conv, turn], "left").withColumn("part", F.coalesce("part", F.lit(0).cast("long")))
+    m = F.struct(F.col("_root").alias("root"), F.col(turn).alias("turn"), F.col("_chat").alias("chat"))
+    held = rows.groupBy(conv, "part").agg(F.array_sort(F.collect_list(m)).alias("m"))  # ``part`` at most
+    return held.select(conv, "part", F.get("m", F.lit(0))["turn"].alias("first_turn"), F.size("m").cast("long").alias("messages"), F.array_join(F.col("m.chat"), "\n").alias("conversation"))
