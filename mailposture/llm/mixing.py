@@ -6,8 +6,9 @@ sizes by source and hash bucket, find the bucket in which the cumulated sum meet
 only by the next bits of the hash, and so on until a bucket is a single hash value; then filter by the threshold.
 Thresholds are nested: a larger budget takes the same documents and more.
 
-Null texts have size 0 and are taken 0 words; a null source is a source of its own, last in order. Repeated rows
-share a hash and are taken or left together. An empty table gives no rows. Other columns are kept.
+Null texts have size 0 and are taken 0 words; a null source is a source of its own, last in order. The hash
+is of id and text, so that rows of one id, or without one, are taken apart. Rows equal in both share a hash and are
+taken or left together. An empty table gives no rows. Other columns are kept.
 """
 
 from __future__ import annotations
@@ -31,9 +32,10 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def document_hash(key: str = "doc_id") -> Column:
-    """HASH_BITS bits of the md5 of the key written as text; a null key hashes like an empty one."""
-    return F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
+def document_hash(key: str = "doc_id", text: str = "text") -> Column:
+    """HASH_BITS bits of the md5 of the key written as text, a colon and the text; nulls hash like empty ones."""
+    both = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit("")))
+    return F.conv(F.substring(F.md5(both.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3)) -> DataFrame:
@@ -101,7 +103,7 @@ def thresholds(hashed: DataFrame, targets: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """(key, source, size, source_size, target, taken) of every document."""
-    hashed = cut(docs.select(F.col(key), F.col(source).alias("source"), word_count(text).alias("size"), document_hash(key).alias("hash")))
+    hashed = cut(docs.select(F.col(key), F.col(source).alias("source"), word_count(text).alias("size"), document_hash(key, text).alias("hash")))
     targets = cut(source_targets(hashed.groupBy("source").agg(F.sum("size").alias("source_size")), weights))
     plan = thresholds(hashed, targets).alias("p").join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")))
     plan = plan.select(F.col("t.source").alias("_s"), "source_size", "target", "copies", "threshold")
@@ -115,7 +117,7 @@ def repeat(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), source: str
 
     Documents of size 0 have no words to take and stay once.
     """
-    sized = docs.withColumns({"_size": word_count(text), "_hash": document_hash(key)})
+    sized = docs.withColumns({"_size": word_count(text), "_hash": document_hash(key, text)})
     hashed = cut(sized.select(F.col(source).alias("source"), F.col("_size").alias("size"), F.col("_hash").alias("hash")))
     targets = cut(source_targets(hashed.groupBy("source").agg(F.sum("size").alias("source_size")), weights))
     plan = thresholds(hashed, targets).select(F.col("source").alias("_s"), F.col("copies").alias("_copies"), F.col("threshold").alias("_threshold"))

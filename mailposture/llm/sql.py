@@ -6,7 +6,7 @@ OP8_MIXING = r"""
 WITH hashed AS (
   SELECT doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS hash
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 12))::BIGINT AS hash
   FROM documents),
 sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM hashed GROUP BY source),
 weighed AS (
@@ -123,12 +123,14 @@ rows_ AS (
   SELECT c.conv_id, c.turn, c.role, p.reply_to, coalesce(p.thread_root, c.turn) AS thread_root, coalesce(p.depth, 0)::BIGINT AS depth,
          c.quoted_lines, c.clean_text, '<|' || coalesce(c.role, 'unknown') || '|>' || chr(10) || coalesce(c.clean_text, '') || chr(10) || '<|end|>' AS chat
   FROM cleaned c LEFT JOIN placed p ON c.conv_id = p.conv_id AND c.turn = p.turn),
+numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY thread_root, turn) - 1) // 1024 AS part
+  FROM rows_ WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 assembled AS (
-  SELECT conv_id, arg_min(turn, (thread_root, turn)) AS first_turn, string_agg(chat, chr(10) ORDER BY thread_root, turn) AS conversation
-  FROM rows_ WHERE conv_id IS NOT NULL AND turn IS NOT NULL
-  GROUP BY conv_id, floor(thread_root / 1024), floor(turn / 1024))
-SELECT 'message' AS kind, * FROM rows_
-UNION ALL SELECT 'conversation', conv_id, first_turn, NULL, NULL, NULL, NULL, NULL, NULL, conversation FROM assembled
+  SELECT conv_id, part::BIGINT AS part, arg_min(turn, (thread_root, turn)) AS first_turn, string_agg(chat, chr(10) ORDER BY thread_root, turn) AS conversation
+  FROM numbered GROUP BY ALL)
+SELECT 'message' AS kind, *, NULL::BIGINT AS part FROM rows_
+UNION ALL SELECT 'conversation', conv_id, first_turn, NULL, NULL, NULL, NULL, NULL, NULL, conversation, part FROM assembled
 """
 
 
