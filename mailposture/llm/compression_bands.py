@@ -1,8 +1,8 @@
 """Quality rules: compression bands over whole documents and fixed chunks.
 
 Repetitive text compresses far better than prose, random or encoded text hardly at all. The ratio (bytes / zstandard
-bytes) of the whole text must lie in the band for its length, and so must that of its fixed chunks, of which a share
-may be out of band. Plain counts (words, symbols, repeated lines and word windows) give a base verdict before that.
+bytes) of the whole text must lie in the band for its length. From two full chunks on, so must that of its fixed
+chunks, of which a share may be out of band; the rest behind them is held against the band of texts of its length. Plain counts (words, symbols, repeated lines and word windows) give a base verdict before that.
 
 Null and empty texts have no words and fail the base rules. Texts shorter than the first band are not judged by
 ratio. Whole texts of any length are measured. Repeated rows get equal verdicts; empty tables give no rows. Other
@@ -79,15 +79,25 @@ def ratio(data: bytes, pack: zstandard.ZstdCompressor) -> float:
     return len(data) / len(pack.compress(data))
 
 
+def band_of(size: int) -> tuple[int, float, float] | None:
+    """The band of a text of ``size`` bytes; none below the first one."""
+    return next((b for b in reversed(BANDS) if size >= b[0]), None)
+
+
+def limits(size: int) -> tuple[int, float, float] | None:
+    """The band of a chunk: its own for full ones, that of a text of its length for the rest."""
+    return (CHUNK, CHUNK_LOW, CHUNK_HIGH) if size == CHUNK else band_of(size)
+
+
 def in_band(data: bytes, pack: zstandard.ZstdCompressor) -> tuple[float | None, float, bool]:
     """(ratio of the whole, share of chunks out of band, verdict)."""
-    band = next((b for b in reversed(BANDS) if len(data) >= b[0]), None)
+    band = band_of(len(data))
     if band is None:
         return (ratio(data, pack) if data else None), 0.0, True
     whole = ratio(data, pack)
-    n = max(1, round(len(data) / CHUNK))  # a short rest goes with the last chunk
-    chunks = [data[i * CHUNK : (i + 1) * CHUNK if i < n - 1 else None] for i in range(n)] if len(data) >= CHUNK else []
-    out = sum(not CHUNK_LOW <= ratio(c, pack) <= CHUNK_HIGH for c in chunks) / max(1, len(chunks))
+    chunks = [(data[i : i + CHUNK], limits(min(CHUNK, len(data) - i))) for i in range(0, len(data), CHUNK)] if len(data) >= 2 * CHUNK else []
+    odd = [not low <= ratio(c, pack) <= high for c, (_, low, high) in filter(lambda x: x[1], chunks)]
+    out = sum(odd) / max(1, len(odd))
     return whole, out, band[1] <= whole <= band[2] and out <= CHUNK_SHARE
 
 
