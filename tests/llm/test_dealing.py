@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import struct
 
 import numpy as np
@@ -281,8 +282,8 @@ def test_assembled_conversations(spark):
     said = ["How do I tie it?\nPlease help.", "Thanks", "Over, then under.", "Twice?", "Yes.", "hm"]
     at = [whole[1].conversation.find(s) for s in said]
     assert -1 not in at and at == sorted(at) and ">" not in whole[1].conversation.replace("|>", "")
-    parts = quotation.assemble(placed, part=2).orderBy("conv_id", "root_part", "turn_part").collect()
-    assert all(r.messages <= 4 for r in parts) and sum(r.messages for r in parts) == 11
+    parts = quotation.assemble(placed, part=2).orderBy("conv_id", "part").collect()
+    assert all(r.messages <= 2 for r in parts) and sum(r.messages for r in parts) == 11
     assert quotation.assemble(placed.limit(0)).count() == 0
     kept = quotation.conversations(messages.withColumn("depth", F.lit("mine")), prefix="q_").collect()
     assert {r.depth for r in kept} == {"mine"} and max(r.q_depth for r in kept) == 2
@@ -304,6 +305,31 @@ def test_quote_levels_and_same_sql(spark, tmp_path):
     assert spark_rows(queries.op9_quotation_linking(spark, str(tmp_path))) == duck_rows(sql.OP9_QUOTATION_LINKING, str(tmp_path))
 
 
+def test_long_interleaved_conversations(spark, tmp_path):
+    """3,000 turns in seven threads: parts in their order are the conversation in reply order; the same in SQL."""
+    said = lambda t: f"Own words of turn {t}."
+    rows = [(c, t, "user", said(t) if t < 7 else f"> {said(t - 7)}\n\n{said(t)}") for c, n in ((1, 3000), (2, 900), (3, 1024)) for t in range(n)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    parts = quotation.assemble(quotation.conversations(messages)).orderBy("conv_id", "part").collect()
+    assert [(r.conv_id, r.part, r.messages) for r in parts] == [(1, 0, 1024), (1, 1, 1024), (1, 2, 952), (2, 0, 900), (3, 0, 1024)]
+    whole = "\n".join(r.conversation for r in parts if r.conv_id == 1)
+    order = [int(t) for t in re.findall(r"turn (\d+)", whole)]
+    assert order == [t for thread in range(7) for t in range(thread, 3000, 7)]
+    write_table(spark, messages, tmp_path)
+    assert spark_rows(queries.op9_quotation_linking(spark, str(tmp_path))) == duck_rows(sql.OP9_QUOTATION_LINKING, str(tmp_path))
+
+
+def test_rows_without_an_id_are_taken_apart(spark, tmp_path):
+    """Half of a source's rows, or all, have no id: what is taken still comes near the target. The same in SQL."""
+    rows = [(i if i % 2 else None, f"{i} " + "word " * 9, "half") for i in range(1500)] + [(None, f"{i} " + "word " * 9, "none") for i in range(2000)] + [(7, f"{i} " + "word " * 9, "one") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    assert len(got) == 3 and all(abs(r.taken - r.target) <= 10 for r in got)
+    assert mixing.repeat(docs).count() == sum(r.taken for r in got) / 10
+    write_table(spark, docs, tmp_path)
+    assert spark_rows(queries.op8_mixing(spark, str(tmp_path))) == duck_rows(sql.OP8_MIXING, str(tmp_path))
+
+
 @pytest.mark.parametrize("name", sorted(sql.oracle_sql()))
 def test_queries_like_their_sql(spark, small, name):
     assert spark_rows(queries.queries()[name](spark, small)) == duck_rows(sql.oracle_sql()[name], small)
@@ -347,8 +373,8 @@ def test_stages_like_brute_force(spark, small):
     sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := text(r).encode().lower().split()) else set() for r in rows]
     first = {}
     for i in sorted(range(len(rows)), key=lambda i: rows[i][at["doc_id"]]):
-        near = [j for j in first if np.bitwise_count(prints[i] ^ prints[j]).sum() <= 51]
-        if not any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in near):
+        close = [j for j in first if np.bitwise_count(prints[i] ^ prints[j]).sum() <= 51]
+        if not any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in close):
             first[i] = rows[i]
     assert sorted(single, key=repr) == sorted(first.values(), key=repr)
     # Benchmark: greedy tiles by the definition, over the items that share five words with a document.

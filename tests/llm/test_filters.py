@@ -187,12 +187,15 @@ def test_verdicts_like_the_rule(spark):
         words, _, _, _, repeated = plain_counts_fast(raw.decode())
         failed = words < 50 or repeated > 0.5 * words
         low, high = next(((a, b) for least, a, b in reversed(compression_bands.BANDS) if len(raw) >= least), (0, 1e9))
-        chunks, rest = [], raw
-        while len(raw) >= 2048 and len(rest) >= 1.5 * 2048:
-            chunks, rest = [*chunks, rest[:2048]], rest[2048:]
-        if len(raw) >= 2048:
-            chunks.append(rest)
-        odd = sum(not compression_bands.CHUNK_LOW <= ratio(c) <= compression_bands.CHUNK_HIGH for c in chunks) / max(1, len(chunks))
+        odd = []
+        for at in range(0, len(raw), 2048) if len(raw) >= 4096 else []:
+            chunk = raw[at : at + 2048]
+            if len(chunk) == 2048:
+                odd.append(not compression_bands.CHUNK_LOW <= ratio(chunk) <= compression_bands.CHUNK_HIGH)
+            elif len(chunk) >= 256:
+                bottom, top = next((x, y) for least, x, y in reversed(compression_bands.BANDS) if len(chunk) >= least)
+                odd.append(not bottom <= ratio(chunk) <= top)
+        odd = sum(odd) / max(1, len(odd))
         inside = not raw or len(raw) < 256 or (low <= ratio(raw) <= high and odd <= compression_bands.CHUNK_SHARE)
         assert (r.base_failed, r.kept) == (failed, inside and not failed), (r.doc_id, len(raw))
         assert len(raw) < 256 or abs(r.odd_chunks - odd) < 1e-12
@@ -200,6 +203,20 @@ def test_verdicts_like_the_rule(spark):
     assert seen == {(True, False), (False, False), (False, True)}
 
 
+def test_a_single_chunk_is_judged_by_its_band():
+    """A text of less than two chunks inside its band is kept, whatever the limits of chunks say."""
+    rng = random.Random(12)
+    pack = zstandard.ZstdCompressor(level=compression_bands.LEVEL)
+    between = 0
+    for i in range(400):
+        data = (prose(rng, "en", 120) + " " + "the same again " * (i % 40) + prose(rng, "en", 400)).encode()[: 2048 + 5 * i % 2048]
+        whole, odd, kept = compression_bands.in_band(data, pack)
+        _, low, high = compression_bands.band_of(len(data))
+        assert odd == 0 and kept == (low <= whole <= high)
+        between += compression_bands.CHUNK_HIGH < whole <= high
+    assert between
+
+
 def plain_counts_fast(text):
     """``plain_counts`` with a table of windows, for long texts."""
     words = text.split()
