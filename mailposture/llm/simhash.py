@@ -51,6 +51,8 @@ KEYED_ROWS, HOT_KEYS = 2000, 50_000
 OCCUPANCY = 1024
 #: Texts whose shingle sets leave a task at a time, and parts over which the partners of one text are dealt.
 SET_ROWS, SET_SALTS = 64, 256
+#: Bins of a sketch (a byte each), the share that must agree (0.8 less over three standard deviations), pairs at a time.
+SKETCH_BITS, SKETCH_SHARE, SKETCH_PAIRS = 9, 0.74, 8192
 #: MinHash bands of a text, the minima in each, and shingles that meet all permutations at a time.
 BANDS, BAND_ROWS, MIN_STEP = 20, 4, 1024
 
@@ -241,10 +243,10 @@ def _compare(fps: np.ndarray, planes: np.ndarray, query: np.ndarray, block: np.n
     return query[at], block[at] * 64 + lane
 
 
-def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
-    """The smallest index that the pairs reach from each of n indices."""
+def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int, sketches: np.ndarray | None = None) -> np.ndarray:
+    """The smallest index that the pairs reach from each of n indices; with ``sketches`` those that agree in them."""
     root = np.arange(n)
-    for x, y in pairs:
+    for x, y in pairs if sketches is None else agreeing(pairs, root, sketches):
         while True:
             a, b = root[x], root[y]
             open_ = a != b
@@ -257,15 +259,30 @@ def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray
     return root
 
 
+def agreeing(pairs: Iterator[tuple[np.ndarray, np.ndarray]], root: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs that are not connected yet and whose sketches agree in SKETCH_SHARE of the bins that either fills."""
+    for x, y in pairs:
+        for i in range(0, len(x), SKETCH_PAIRS):
+            a, b = x[i : i + SKETCH_PAIRS], y[i : i + SKETCH_PAIRS]
+            open_ = root[a] != root[b]
+            a, b = a[open_], b[open_]
+            one, other = sketches[a], sketches[b]
+            filled = ((one | other) != 0).sum(1)
+            near = ((one == other) & (one != 0)).sum(1) >= SKETCH_SHARE * filled
+            yield a[near], b[near]
+
+
 # ---------------------------------------------------------------- links and groups
 
 
 def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, tile: int = TILE) -> DataFrame:
     """(a, b): links between the nodes of ``folded`` (node, fp), enough to connect what is within the radius.
 
-    Of what a key connects, each node is linked to the least one, b. ``bands`` of ``folded``, if it has them, are keys beside those of the fingerprint.
+    Of what a key connects, each node is linked to the least one, b. ``bands`` of ``folded``, if it has them, are keys
+    beside those of the fingerprint; ``sketch``, if it has it, must agree as well.
     """
     banded = "bands" in folded.columns
+    more = ["sketch"] if "sketch" in folded.columns else []
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,22 +291,22 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
                 values = key_values(fingerprint_rows(part.column("fp"), lanes), keys).view(np.int64)
                 if banded:
                     values = np.concatenate([values, fingerprint_rows(part.column("bands"), BANDS).view(np.int64)], axis=1)
-                rows = part.select(["node", "fp"]).combine_chunks().take(np.repeat(np.arange(part.num_rows), values.shape[1]))
+                rows = part.select(["node", "fp", *more]).combine_chunks().take(np.repeat(np.arange(part.num_rows), values.shape[1]))
                 yield from rows.append_column("k", pa.array(values.ravel())).to_batches()
 
-    keyed = folded.select("node", "fp", *(["bands"] if banded else [])).mapInArrow(keys_of, "node bigint, fp array<bigint>, k bigint")
+    keyed = folded.select("node", "fp", *more, *(["bands"] if banded else [])).mapInArrow(keys_of, f"node bigint, fp array<bigint>, {'sketch binary, ' if more else ''}k bigint")
     # Only keys with more than a tile of fingerprints need dealing; there are few, if any.
     size = F.least(F.greatest(F.lit(tile), F.ceil(F.col("n") / MOST_TILES)), F.lit(max(tile, MOST_TILE)))
     hot = cut(keyed.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > tile).select("k", F.ceil(F.col("n") / size).cast("int").alias("tiles")))
     few = hot.limit(HOT_KEYS + 1).count()
     if few == 0:
-        units = keyed.select("node", "fp", F.lit(0).alias("own"), F.col("k").alias("u"), F.lit(False).alias("mixed"))
+        units = keyed.select("node", "fp", *more, F.lit(0).alias("own"), F.col("k").alias("u"), F.lit(False).alias("mixed"))
     else:
         tiled = keyed.join(F.broadcast(hot) if few <= HOT_KEYS else hot, "k", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
         tiled = tiled.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
         # A tile pair (low, high) is a task's unit: own tile with every tile, itself included.
         pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("lo"), F.greatest(o, F.col("own")).alias("hi"))))
-        units = tiled.select("node", "fp", "own", "k", pair.alias("p")).select("node", "fp", "own", F.xxhash64("k", "p.lo", "p.hi").alias("u"), (F.col("p.lo") != F.col("p.hi")).alias("mixed"))
+        units = tiled.select("node", "fp", *more, "own", "k", pair.alias("p")).select("node", "fp", *more, "own", F.xxhash64("k", "p.lo", "p.hi").alias("u"), (F.col("p.lo") != F.col("p.hi")).alias("mixed"))
     dealt = units.repartition("u").sortWithinPartitions("u", "own", "node")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +326,8 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
                 fps = fingerprint_rows(part.column("fp"), lanes)
                 node, unit = part.column("node").to_numpy(), unit[:stop]
                 begin = first_compared(unit, part.column("own").to_numpy(), part.column("mixed").to_numpy())
-                root = forest(close_pairs(fps, unit, radius, begin), stop)
+                sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(stop, -1) if more else None
+                root = forest(close_pairs(fps, unit, radius, begin), stop, sketches)
                 least = node.copy()
                 np.minimum.at(least, root, node)
                 at = np.flatnonzero(node != least[root])
@@ -373,16 +391,26 @@ def candidates(folded: DataFrame, radius: int, lanes: int) -> DataFrame:
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, shingles): the distinct hashes of the shingles, sorted, from (node, text)."""
+    """(node, shingles, sketch), from (node, text): the distinct hashes of the shingles, and a byte of the least in each of
+    512 ranges of them (0: none)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, SET_ROWS):
                 part = batch.slice(i, SET_ROWS)
-                found = [np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(t.as_py(), words)])).view(np.int64) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
+                found = [np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(t.as_py(), words)])) for t in part.column(1)]
+                sets = pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), sets, pa.array([sketch(h) for h in found], pa.binary())], ["node", "shingles", "sketch"])
+
+    return texts.mapInArrow(hashed, "node bigint, shingles array<bigint>, sketch binary")
+
 
-    return texts.mapInArrow(hashed, "node bigint, shingles array<bigint>")
+def sketch(h: np.ndarray) -> bytes:
+    """One byte for each range of hashes: 0 if none lies there, else from the least of them. h must be sorted."""
+    out = np.zeros(1 << SKETCH_BITS, np.uint8)
+    bins, first = np.unique(h >> np.uint64(64 - SKETCH_BITS), return_index=True)
+    out[bins.astype(np.int64)] = (h[first] % np.uint64(255)).astype(np.uint8) + np.uint8(1)
+    return out.tobytes()
 
 
 def resembling(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -402,7 +430,9 @@ def repeated(folded: DataFrame, texts: DataFrame, radius: int, lanes: int, words
 
     ``texts`` has the columns of ``first`` and the text, a row each. A node without a smaller partner stays, and
     partners that resemble it go; partners that do not are paired anew among themselves, until none has a partner. Each
-    round decides at least the least node of all that are connected.
+    round decides at least the least node of all that are connected. From the second round on candidates must also agree
+    in their sketches, so that texts which only share a fingerprint's radius are no longer connected; a pair of
+    similarity 0.8 is lost by that with a probability of 0.0005 at most.
     """
     left, gone, sets = folded, [], None
     while True:
@@ -418,7 +448,7 @@ def repeated(folded: DataFrame, texts: DataFrame, radius: int, lanes: int, words
         near = cut(resembling(pairs.join(staying, "b", "left_semi"), sets, similarity).select(F.col("a").alias("node")).distinct())
         gone.append(near)
         open_ = pairs.select(F.col("a").alias("node")).distinct().join(near, "node", "left_anti")
-        left = cut(left.join(open_, "node", "left_semi"))
+        left = cut(left.select("node", "fp", "bands").join(open_, "node").join(sets.select("node", "sketch"), "node"))
     return reduce(DataFrame.union, gone, folded.select("node").limit(0))
 
 
