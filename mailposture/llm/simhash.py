@@ -15,9 +15,9 @@ together texts of a similarity of 0.6, so ``keep_first`` compares the shingle se
 Fingerprints that share a key are compared bit-sliced: 64 of them lie vertically in one word for each bit of the
 fingerprint; XOR with a query's bit gives 64 differences at once, carry-save counters add them up, and a block is
 abandoned as soon as all its counters have exceeded the radius. From each comparison only a spanning forest of links
-leaves the task, never all pairs. Keys with very many fingerprints are parted into tiles, and each pair of tiles is
-compared apart, so that no task needs more than two tiles at once. Tiles grow with the key up to MOST_TILE rows; until
-then a fingerprint is copied MOST_TILES times at most.
+leaves the task, never all pairs; ``keep_first`` goes on with the pairs of a few nodes of each key. Keys with very many
+fingerprints are parted into tiles, and each pair of tiles is compared apart, so that no task needs more than two tiles
+at once. Tiles grow with the key up to MOST_TILE rows; until then a fingerprint is copied MOST_TILES times at most.
 
 Nulls and texts without a word have fingerprint zero, linked like any other. In ``groups``, documents with equal ids
 are one node for each fingerprint they have. Empty tables give no rows. Texts are read whole, in bounded steps. Other
@@ -51,6 +51,8 @@ KEYED_ROWS, HOT_KEYS = 2000, 50_000
 OCCUPANCY = 1024
 #: Texts whose shingle sets leave a task at a time, and parts over which the partners of one text are dealt.
 SET_ROWS, SET_SALTS = 64, 256
+#: The first nodes of a key that meet all others of it, and how many times as many do in each further round.
+FIRST, MORE_FIRST = 8, 8
 #: Bins of a sketch (a byte each), the share that must agree (0.8 less over three standard deviations), pairs at a time.
 SKETCH_BITS, SKETCH_SHARE, SKETCH_PAIRS = 9, 0.74, 8192
 #: MinHash bands of a text, the minima in each, and shingles that meet all permutations at a time.
@@ -243,10 +245,10 @@ def _compare(fps: np.ndarray, planes: np.ndarray, query: np.ndarray, block: np.n
     return query[at], block[at] * 64 + lane
 
 
-def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int, sketches: np.ndarray | None = None) -> np.ndarray:
-    """The smallest index that the pairs reach from each of n indices; with ``sketches`` those that agree in them."""
+def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    """The smallest index that the pairs reach from each of n indices."""
     root = np.arange(n)
-    for x, y in pairs if sketches is None else agreeing(pairs, root, sketches):
+    for x, y in pairs:
         while True:
             a, b = root[x], root[y]
             open_ = a != b
@@ -259,27 +261,32 @@ def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int, sketches: np.
     return root
 
 
-def agreeing(pairs: Iterator[tuple[np.ndarray, np.ndarray]], root: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The pairs that are not connected yet and whose sketches agree in SKETCH_SHARE of the bins that either fills."""
+def agreeing(pairs: Iterator[tuple[np.ndarray, np.ndarray]], sketches: np.ndarray, early: np.ndarray, late: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs with an ``early`` index whose sketches agree in SKETCH_SHARE of the bins that either fills.
+
+    The indices of other such pairs are marked in ``late``; pairs of marked ones need no look.
+    """
     for x, y in pairs:
         for i in range(0, len(x), SKETCH_PAIRS):
             a, b = x[i : i + SKETCH_PAIRS], y[i : i + SKETCH_PAIRS]
-            open_ = root[a] != root[b]
-            a, b = a[open_], b[open_]
+            first = early[a] | early[b]
+            looked = first | ~(late[a] & late[b])
+            a, b, first = a[looked], b[looked], first[looked]
             one, other = sketches[a], sketches[b]
             filled = ((one | other) != 0).sum(1)
             near = ((one == other) & (one != 0)).sum(1) >= SKETCH_SHARE * filled
-            yield a[near], b[near]
+            late[a[near & ~first]] = late[b[near & ~first]] = True
+            yield a[near & first], b[near & first]
 
 
 # ---------------------------------------------------------------- links and groups
 
 
-def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, tile: int = TILE) -> DataFrame:
-    """(a, b): links between the nodes of ``folded`` (node, fp), enough to connect what is within the radius.
+def units(folded: DataFrame, keys: list[list[int]], lanes: int, tile: int = TILE) -> DataFrame:
+    """(node, fp, sketch if there, own, tiles, u, mixed): the nodes of ``folded`` (node, fp) by unit u, sorted by unit, tile and node.
 
-    Of what a key connects, each node is linked to the least one, b. ``bands`` of ``folded``, if it has them, are keys
-    beside those of the fingerprint; ``sketch``, if it has it, must agree as well.
+    A unit has all nodes of a key, or those of one or two (mixed) of its ``tiles``; own is the node's tile. ``bands`` of
+    ``folded``, if it has them, are keys beside those of the fingerprint.
     """
     banded = "bands" in folded.columns
     more = ["sketch"] if "sketch" in folded.columns else []
@@ -300,40 +307,85 @@ def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, til
     hot = cut(keyed.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > tile).select("k", F.ceil(F.col("n") / size).cast("int").alias("tiles")))
     few = hot.limit(HOT_KEYS + 1).count()
     if few == 0:
-        units = keyed.select("node", "fp", *more, F.lit(0).alias("own"), F.col("k").alias("u"), F.lit(False).alias("mixed"))
+        dealt = keyed.select("node", "fp", *more, F.lit(0).alias("own"), F.lit(1).alias("tiles"), F.col("k").alias("u"), F.lit(False).alias("mixed"))
     else:
         tiled = keyed.join(F.broadcast(hot) if few <= HOT_KEYS else hot, "k", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
         tiled = tiled.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
         # A tile pair (low, high) is a task's unit: own tile with every tile, itself included.
         pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("lo"), F.greatest(o, F.col("own")).alias("hi"))))
-        units = tiled.select("node", "fp", *more, "own", "k", pair.alias("p")).select("node", "fp", *more, "own", F.xxhash64("k", "p.lo", "p.hi").alias("u"), (F.col("p.lo") != F.col("p.hi")).alias("mixed"))
-    dealt = units.repartition("u").sortWithinPartitions("u", "own", "node")
+        dealt = tiled.select("node", "fp", *more, "own", "tiles", "k", pair.alias("p"))
+        dealt = dealt.select("node", "fp", *more, "own", "tiles", F.xxhash64("k", "p.lo", "p.hi").alias("u"), (F.col("p.lo") != F.col("p.hi")).alias("mixed"))
+    return dealt.repartition("u").sortWithinPartitions("u", "own", "node")
+
+
+def whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of ``units`` in parts that hold the rows of a unit together; the last unit of a batch may go on in the next."""
+    rest = None
+    for batch in itertools.chain(batches, [None]):
+        rows = [] if rest is None else [rest]
+        rows += [] if batch is None else [pa.Table.from_batches([batch])]
+        if not rows:
+            return
+        held = pa.concat_tables(rows)
+        unit = held.column("u").to_numpy()
+        stop = len(unit) if batch is None else int(np.searchsorted(unit, unit[-1])) if len(unit) else 0
+        rest = held.slice(stop)
+        if stop:
+            yield held.slice(0, stop).combine_chunks()
+
+
+def compared(part: pa.Table, radius: int, lanes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of ``part``, whole units, that share a unit and lie within the radius."""
+    unit = part.column("u").to_numpy()
+    begin = first_compared(unit, part.column("own").to_numpy(), part.column("mixed").to_numpy())
+    return close_pairs(fingerprint_rows(part.column("fp"), lanes), unit, radius, begin)
+
+
+def links(folded: DataFrame, keys: list[list[int]], radius: int, lanes: int, tile: int = TILE) -> DataFrame:
+    """(a, b): links between the nodes of ``folded`` (node, fp), enough to connect what is within the radius.
+
+    Of what a key connects, each node is linked to the least one, b. ``bands`` of ``folded`` are keys as in ``units``.
+    """
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in itertools.chain(batches, [None]):
-            rows = [] if rest is None else [rest]
-            rows += [] if batch is None else [pa.Table.from_batches([batch])]
-            if not rows:
-                return
-            held = pa.concat_tables(rows)
-            unit = held.column("u").to_numpy()
-            # The last unit may go on in the next batch.
-            stop = len(unit) if batch is None else int(np.searchsorted(unit, unit[-1])) if len(unit) else 0
-            rest = held.slice(stop)
-            if stop:
-                part = held.slice(0, stop).combine_chunks()
-                fps = fingerprint_rows(part.column("fp"), lanes)
-                node, unit = part.column("node").to_numpy(), unit[:stop]
-                begin = first_compared(unit, part.column("own").to_numpy(), part.column("mixed").to_numpy())
-                sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(stop, -1) if more else None
-                root = forest(close_pairs(fps, unit, radius, begin), stop, sketches)
-                least = node.copy()
-                np.minimum.at(least, root, node)
-                at = np.flatnonzero(node != least[root])
-                yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(least[root[at]])], ["a", "b"])
-
-    return dealt.mapInArrow(linked, "a bigint, b bigint")
+        for part in whole_units(batches):
+            node = part.column("node").to_numpy()
+            root = forest(compared(part, radius, lanes), len(node))
+            least = node.copy()
+            np.minimum.at(least, root, node)
+            at = np.flatnonzero(node != least[root])
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(least[root[at]])], ["a", "b"])
+
+    return units(folded, keys, lanes, tile).drop("tiles").mapInArrow(linked, "a bigint, b bigint")
+
+
+def near_pairs(left: DataFrame, radius: int, lanes: int, first: int, tile: int = TILE) -> DataFrame:
+    """(a, b), b < a: pairs of ``left`` (node, fp, bands, sketch) within the radius that share a band or a lane and agree in
+    their sketches, if one of the two is among the ``first`` nodes of a key; (a, null): nodes of which a key has other pairs.
+
+    In a key of several tiles each tile has its part of the first nodes, one at least. Pairs repeat from key to key.
+    """
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_units(batches):
+            node = part.column("node").to_numpy()
+            early = tile_places(part) < np.maximum(1, first // part.column("tiles").to_numpy())
+            late = np.zeros(len(node), bool)
+            sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+            for x, y in agreeing(compared(part, radius, lanes), sketches, early, late):
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(node[x], node[y])), pa.array(np.minimum(node[x], node[y]))], ["a", "b"])
+            others = node[late]
+            yield pa.RecordBatch.from_arrays([pa.array(others), pa.nulls(len(others), pa.int64())], ["a", "b"])
+
+    return units(left, [list(range(64))], lanes, tile).mapInArrow(paired, "a bigint, b bigint")
+
+
+def tile_places(part: pa.Table) -> np.ndarray:
+    """The place of each row, from 0, among the rows of its unit and tile, which are adjacent."""
+    unit, own = part.column("u").to_numpy(), part.column("own").to_numpy()
+    starts = np.flatnonzero(np.concatenate([[True], (unit[1:] != unit[:-1]) | (own[1:] != own[:-1])]))
+    return np.arange(len(unit)) - np.repeat(starts, np.diff(starts, append=len(unit)))
 
 
 def first_compared(unit: np.ndarray, own: np.ndarray, mixed: np.ndarray) -> np.ndarray:
@@ -425,31 +477,57 @@ def resembling(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     return both.filter(shared >= similarity * (F.size("_a") + F.size("_b") - shared)).select("a", "b")
 
 
+def settle(edges: DataFrame, late: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gone, open), each (node): of the ``edges`` (a, b), b < a, what goes because a smaller neighbour stays, and what waits.
+
+    A node stays if no smaller neighbour of it does. ``late`` (node) has nodes with further neighbours, of which only
+    that they go can be decided here; what waits for them is open like them. Rounds see numbers of nodes alone.
+    """
+    edges, gone = cut(edges), []
+    while True:
+        rows = edges.count()
+        counts = edges.groupBy("b").agg(F.count("*").alias("_n"))
+        waiting = edges.select(F.col("a").alias("b")).union(late.select("node")).distinct()
+        goes = cut(hot_join(edges, counts.join(waiting, "b", "left_anti"), ["b"], rows).select(F.col("a").alias("node")).distinct())
+        if goes.isEmpty():
+            break
+        gone.append(goes)
+        rest = edges.join(goes.withColumnRenamed("node", "a"), "a", "left_anti")
+        edges = cut(hot_join(rest, counts.join(goes.withColumnRenamed("node", "b"), "b", "left_anti"), ["b"], rows).select("a", "b"))
+    out = reduce(DataFrame.union, gone, late.limit(0))
+    return out, late.union(edges.select("a")).distinct().join(out, "node", "left_anti")
+
+
 def repeated(folded: DataFrame, texts: DataFrame, radius: int, lanes: int, words: int, similarity: float) -> DataFrame:
     """(node): the nodes that resemble a smaller one that is not itself among them.
 
-    ``texts`` has the columns of ``first`` and the text, a row each. A node without a smaller partner stays, and
-    partners that resemble it go; partners that do not are paired anew among themselves, until none has a partner. Each
-    round decides at least the least node of all that are connected. From the second round on candidates must also agree
-    in their sketches, so that texts which only share a fingerprint's radius are no longer connected; a pair of
-    similarity 0.8 is lost by that with a probability of 0.0005 at most.
+    ``texts`` has the columns of ``first`` and the text, a row each. First each node meets the least one that its keys
+    connect it with: a node without a smaller partner stays, and partners that resemble it go. What is left is compared
+    pair by pair, if the sketches agree as well; a pair of similarity 0.8 is lost by that with a probability of 0.0005 at
+    most. So that large groups are not expanded into all their pairs, only the FIRST nodes of a key meet all others, and
+    MORE_FIRST times as many each time that others are left, so that the times grow with the logarithm of the largest key.
     """
-    left, gone, sets = folded, [], None
+    pairs = candidates(folded, radius, lanes)
+    if pairs.isEmpty():
+        return folded.select("node").limit(0)
+    involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    named = folded.join(involved, "node").select("node", "first.*")
+    on = [c for c in texts.columns if c in named.columns]
+    sets = cut(shingle_sets(texts.join(named.select("node", *on), on).select("node", *[c for c in texts.columns if c not in on]), words))
+    staying = pairs.groupBy("b").agg(F.count("*").alias("_n")).join(pairs.select(F.col("a").alias("b")), "b", "left_anti")
+    tested = hot_join(pairs, staying, ["b"], pairs.count()).select("a", "b")
+    gone = [cut(resembling(tested, sets, similarity).select(F.col("a").alias("node")).distinct())]
+    open_ = pairs.select(F.col("a").alias("node")).distinct().join(gone[0], "node", "left_anti")
+    left, first = folded.select("node", "fp", "bands").join(sets.select("node", "sketch"), "node"), FIRST
     while True:
-        pairs = candidates(left, radius, lanes)
-        if pairs.isEmpty():
-            break
-        if sets is None:
-            involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-            named = folded.join(involved, "node").select("node", "first.*")
-            on = [c for c in texts.columns if c in named.columns]
-            sets = cut(shingle_sets(texts.join(named.select("node", *on), on).select("node", *[c for c in texts.columns if c not in on]), words))
-        staying = pairs.select("b").distinct().join(pairs.select(F.col("a").alias("b")), "b", "left_anti")
-        near = cut(resembling(pairs.join(staying, "b", "left_semi"), sets, similarity).select(F.col("a").alias("node")).distinct())
-        gone.append(near)
-        open_ = pairs.select(F.col("a").alias("node")).distinct().join(near, "node", "left_anti")
-        left = cut(left.select("node", "fp", "bands").join(open_, "node").join(sets.select("node", "sketch"), "node"))
-    return reduce(DataFrame.union, gone, folded.select("node").limit(0))
+        left = cut(left.join(open_, "node", "left_semi"))
+        if left.isEmpty():
+            return reduce(DataFrame.union, gone)
+        found = cut(near_pairs(left, radius, lanes, first).distinct())
+        late = found.filter("b IS NULL").select(F.col("a").alias("node"))
+        goes, open_ = settle(resembling(found.filter("b IS NOT NULL"), sets, similarity), late)
+        gone.append(goes)
+        first *= MORE_FIRST
 
 
 def keep_first(docs: DataFrame, words: int = 5, lanes: int = 4, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -176,6 +176,69 @@ def test_only_what_resembles_a_kept_text_goes(spark):
     assert set(range(100, 140)) <= kept and 1 < len(kept & set(range(30))) < 30
 
 
+def first_independent(nodes, edges):
+    """The nodes without an edge (a, b), b < a, to one that stays itself."""
+    stays = set()
+    for k in sorted(nodes):
+        if not any(b in stays for a, b in edges if a == k):
+            stays.add(k)
+    return stays
+
+
+def test_texts_just_below_the_threshold_need_few_rounds(spark, monkeypatch):
+    """Of many texts, each 0.77 alike to each other, all stay but copies; the work does not grow by a round a text."""
+    rng = random.Random(4)
+    new = lambda n: [f"w{rng.getrandbits(40):x}" for _ in range(n)]
+    frame, rows = new(300), []
+    for i in range(30):
+        words = frame + new(44)
+        rows.append((2 * i, " ".join(words)))
+        if i % 3 == 0:
+            rows.append((2 * i + 1, " ".join([*words[:-3], *new(3)])))
+    assert 0.74 < jaccard(rows[0][1], rows[-1][1]) < 0.8 < jaccard(rows[0][1], rows[1][1])
+    cuts, cut = [], simhash.cut
+    monkeypatch.setattr(simhash, "cut", lambda df: cuts.append(1) or cut(df))
+    monkeypatch.setattr(simhash, "FIRST", 2, raising=False)
+    kept = {r.doc_id for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {2 * i for i in range(30)}
+    assert len(cuts) < 40
+
+
+@pytest.mark.parametrize(("tile", "first"), [(2048, 3), (7, 3), (2048, 1000)])
+def test_near_pairs_or_late(spark, tile, first):
+    """Each pair that is near is found, or both of its nodes are named as having others; nothing else is found."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(90):
+        sketch = np.full(512, 1 + i % 2, np.uint8)
+        sketch[rng.choice(512, 40, replace=False)] = 9
+        rows.append((i, [0, sum(1 << int(b) for b in rng.choice(62, 2, replace=False))], [int(i % 5), *(1000 * i + 10 + np.arange(simhash.BANDS - 1)).tolist()], bytearray(sketch.tobytes())))
+    left = spark.createDataFrame(rows, "node long, fp array<long>, bands array<long>, sketch binary")
+    found = simhash.near_pairs(left, 3, 2, first, tile).distinct().collect()
+    pairs, late = {(r.a, r.b) for r in found if r.b is not None}, {r.a for r in found if r.b is None}
+    near = {(i, j) for i in range(90) for j in range(i) if (rows[i][1][1] ^ rows[j][1][1]).bit_count() <= 3 and i % 2 == j % 2}
+    assert pairs <= near and all((i, j) in pairs or {i, j} <= late for i, j in near)
+    assert late <= {k for p in near for k in p}
+    assert bool(late) == (first < 90) and len(pairs) > 10
+
+
+def test_settled_like_one_by_one(spark, monkeypatch):
+    """What is decided does not depend on the edges that are not known yet, and is all if there are none."""
+    monkeypatch.setattr(common, "HOT_LEAST", 5)
+    rng = random.Random(12)
+    edges = {(a, b) for a, b in ((rng.randrange(120), rng.randrange(120)) for _ in range(200)) if b < a} | {(a, 3) for a in range(40, 70)}
+    frame = lambda rows, schema: spark.createDataFrame(sorted(rows), schema)
+    gone, open_ = ({r.node for r in part.collect()} for part in simhash.settle(frame(edges, "a long, b long"), frame([], "node long")))
+    assert gone == set(range(120)) - first_independent(range(120), edges) and not open_
+    late = set(range(5, 120, 9))
+    gone, open_ = ({r.node for r in part.collect()} for part in simhash.settle(frame(edges, "a long, b long"), frame([(k,) for k in late], "node long")))
+    assert gone and late - gone <= open_ and not gone & open_
+    for seed in range(20):
+        more = {(max(p), min(p)) for p in (random.Random(seed).sample(sorted(late), 2) for _ in range(10))}
+        stays = first_independent(range(120), edges | more)
+        assert not gone & stays and set(range(120)) - gone - open_ <= stays
+
+
 @pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
 def test_recall_against_all_pairs(spark, folder):
     """Of all pairs of given documents within the radius, with an id divisible by 100 on one side, 0.9 are in one group."""
