@@ -307,6 +307,16 @@ def enrich(df: DataFrame, key: str, column: str, steps: list[tuple[str, Callable
     return out
 
 
+def from_table(source: DataFrame, on: str, key: str, column: str) -> Callable[[DataFrame], DataFrame]:
+    """A step of J42: the value that a source has for each row's ``on``.
+
+    Of several values of an ``on`` the least alone can count, so the source is brought down to it before the join; else
+    all rows of a frequent ``on`` would meet all its source rows.
+    """
+    least = source.filter(F.col(on).isNotNull() & F.col(column).isNotNull()).groupBy(F.col(on).alias("_on")).agg(F.min(column).alias(column))
+    return lambda todo: todo.select(F.col(key), F.col(on).alias("_of")).join(short(least), F.col("_of") == F.col("_on")).select(key, column)
+
+
 def provenance(df: DataFrame, column: str) -> DataFrame:
     """How many values each source gave, and how many are still missing."""
     return df.groupBy(F.coalesce(f"{column}_source", F.lit("missing")).alias("source")).agg(F.count("*").alias("rows"))

@@ -362,8 +362,9 @@ def ordered_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customers' sites from three sources in order, each filling what is still empty, with its name."""
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit("own"), "c_custkey")).alias("site"))
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("c_nationkey"), F.concat(F.lit("s"), F.lpad("s_suppkey", 9, "0")).alias("site"), "s_suppkey")
-    by_nation = lambda todo: todo.select("c_custkey", "c_nationkey").filter("c_custkey % 3 = 0").join(suppliers.select("c_nationkey", "site"), "c_nationkey")
-    by_key = lambda todo: todo.select("c_custkey").join(suppliers.filter("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("c_custkey"), "site"), "c_custkey")
+    nation = population.from_table(suppliers, "c_nationkey", "c_custkey", "site")
+    by_nation = lambda todo: nation(todo.filter("c_custkey % 3 = 0"))
+    by_key = population.from_table(suppliers.filter("s_suppkey % 2 = 0").withColumn("c_custkey", F.col("s_suppkey")), "c_custkey", "c_custkey", "site")
     guess = lambda todo: todo.filter("c_custkey % 7 < 3").select("c_custkey", F.concat(F.lit("g"), "c_custkey").alias("site"))
     return population.enrich(rows, "c_custkey", "site", [("nation", by_nation), ("key", by_key), ("guess", guess)]).drop("c_nationkey")
 

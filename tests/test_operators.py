@@ -263,6 +263,15 @@ def test_population_choices(spark):
     assert rows(population.promote_id(ids), "entity_id", "is_duplicate_of") == [("jp:2", None), ("lei:L1", "jp:1")]
 
 
+def test_enrichment_from_a_table(spark):
+    source = spark.createDataFrame([("n", f"s{i:02}") for i in range(30, 0, -1)] + [("n", None), (None, "a"), ("m", None)], "of string, site string")
+    asked = spark.createDataFrame([(i, "n", None) for i in range(20)] + [(20, "m", None), (21, None, None), (22, "n", "own")], "id int, of string, site string")
+    step = population.from_table(source, "of", "id", "site")
+    assert rows(step(asked.filter("site is null")), "id", "site") == sorted(((i, "s01") for i in range(20)), key=repr)
+    filled = population.enrich(asked, "id", "site", [("table", step)])
+    assert rows(population.provenance(filled, "site"), "source", "rows") == [("missing", 2), ("own", 1), ("table", 20)]
+
+
 def test_candidates(spark):
     links = [("e1", "a", "b", True, True, False), ("e1", "a", "a", True, True, True), ("e1", "a", "c", False, True, False), ("e2", "x", "b", True, False, False), ("e3", "y", "a", True, True, False)]
     companies = spark.createDataFrame([("e1", "a"), ("e2", "x"), ("e3", "y")], "entity_id string, official_domain string")
