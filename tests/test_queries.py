@@ -17,7 +17,7 @@ def test_query(spark, small, name):
         assert got == spark_rows(queries.REGISTRY[name](spark, small))  # the same on every run
 
 
-@pytest.mark.parametrize("name", ["ordered_enrichment"])
+@pytest.mark.parametrize("name", ["enrichment_counts", "ordered_enrichment"])
 def test_enrichment_meets_one_supplier_each(spark, tmp_path, monkeypatch, name):
     """Customers of one nation do not meet all its suppliers, only the least; found is what each step looks up."""
     spark.range(300).selectExpr("id AS c_custkey", "1 AS c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
