@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mailposture.functions import records as R
 from mailposture.functions.classify import any_true, yes
 from mailposture.functions.names import registrable, suffixes
-from mailposture.operators.tables import BROADCAST_ROWS, least_row, reached
+from mailposture.operators.tables import BROADCAST_ROWS, least_row, reached, short
 from mailposture.session import cut
 
 #: Names that a tree walk asks for at most, and labels from which it goes on for long names.
@@ -311,54 +311,54 @@ def dkim_control(bronze: DataFrame) -> DataFrame:
 
 #: Numbers of an address: IPv4 addresses, or the IPv6 networks of 64 bits, up to 2**64 of them.
 NUMBER = "decimal(20,0)"
+#: Keys are counted in so many buckets first, to find those that have very many ranges.
+KEY_BUCKETS = 1 << 16
+_TOP = -(1 << 63)
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_DOTTED = rf"(?:{_OCTET}\.){{3}}{_OCTET}"
 
 
-def cidr_range(value: Column) -> Column:
-    """(low, high, prefix) of an IPv4 range text, as longs; NULL if it is none. Octets have no leading zeros."""
-    parts = F.regexp_extract(value, r"^((?:(?:0|[1-9]\d{0,2})\.){3}(?:0|[1-9]\d{0,2}))(?:/(\d{1,9}))?$", 1)
-    octets = F.transform(F.split(parts, r"\."), lambda x: F.when(x != "", x).cast("int"))
-    size = F.regexp_extract(value, r"/(\d{1,9})$", 1)
-    prefix = F.when(size == "", 32).otherwise(F.when(size != "", size).cast("int"))
-    number = F.aggregate(octets, F.lit(0).cast("long"), lambda n, o: n * 256 + o)
-    span = F.pow(F.lit(2.0), 32 - prefix).cast("long")
-    low = F.floor(number / span).cast("long") * span
-    good = (parts != "") & (prefix <= 32) & F.forall(octets, lambda o: o <= 255)
-    return F.when(good, F.struct(low.alias("low"), (low + span - 1).alias("high"), prefix.alias("prefix")))
-
-
-def ip6_groups(address: Column) -> Column:
-    """The eight groups of an IPv6 address as 32 hexadecimal digits; NULL if it is none."""
-    text = F.lower(address)
-    tail = F.regexp_extract(text, r"^.*:(\d+\.\d+\.\d+\.\d+)$", 1)
-    number = cidr_range(tail)["low"]
-    # A dotted tail stands for two groups; one that is no address leaves no valid group.
-    last = F.lpad(F.lower(F.hex(number)), 8, "0")
-    text = F.when(tail == "", text).otherwise(F.concat(F.regexp_replace(text, r"[^:]*$", ""), F.substring(last, 1, 4), F.lit(":"), F.substring(last, 5, 4)))
-    halves = F.split(text, "::", -1)
-    groups = lambda half: F.when(half == "", R.no_strings()).otherwise(F.split(half, ":", -1))
-    left, right = groups(halves[0]), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
-    given = F.concat(left, right)
-    missing = 8 - F.size(given)
-    shape = F.when(F.size(halves) == 1, missing == 0).otherwise((F.size(halves) == 2) & (missing >= 1))
-    zeros = F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0)))
-    full = F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), "")
-    return F.when(shape & F.forall(given, lambda g: g.rlike("^[0-9a-f]{1,4}$")), full)
-
-
-def cidr6_range(value: Column) -> Column:
-    """(low, high, prefix) of an IPv6 range text; NULL if it is none.
-
-    low and high number its first and last network of 64 bits, as NUMBER; a range within one network counts as it.
-    """
-    size = F.regexp_extract(value, r"^[^/]*/(\d{1,9})$", 1)
-    prefix = F.when(~value.contains("/"), 128).otherwise(F.when(size != "", size).cast("int"))
-    digits = ip6_groups(F.substring_index(value, "/", 1))
-    number = F.conv(F.substring(digits, 1, 16), 16, 10).cast(NUMBER)
-    bits = 64 - F.least(prefix, F.lit(64))
-    power = lambda n: F.pow(F.lit(2.0), n).cast("long").cast("decimal(10,0)")  # noqa: E731  (up to 2**32)
-    span = (power(F.floor(bits / 2)) * power(bits - F.floor(bits / 2))).cast(NUMBER)
-    low = (number - number % span).cast(NUMBER)
-    return F.when(digits.isNotNull() & (prefix <= 128), F.struct(low.alias("low"), (low + span - 1).cast(NUMBER).alias("high"), prefix.alias("prefix")))
+def ip4_octets(address: Column) -> Column:
+    """The octets of a dotted IPv4 address, as texts; NULL if it is none. Octets have no leading zeros."""
+    return F.split(R.filled(F.regexp_extract(address, rf"^({_DOTTED})$", 1)), r"\.")
+
+
+def ip4_number(octets: Column) -> Column:
+    """The number of an IPv4 address."""
+    a, b, c, d = (F.get(octets, F.lit(i)).cast("long") for i in range(4))
+    return ((a * 256 + b) * 256 + c) * 256 + d
+
+
+def ip6_plain(text: Column) -> Column:
+    """An IPv6 text with a dotted tail written as two groups; NULL if the tail is no address."""
+    tail = F.split(R.filled(F.regexp_extract(text, rf"^.*:({_DOTTED})$", 1)), r"\.")
+    last = F.array_join(F.transform(tail, lambda o: F.lpad(F.lower(F.hex(o.cast("int"))), 2, "0")), "")
+    return F.when(text.contains("."), F.concat(F.regexp_replace(text, r"[^:]*$", ""), F.substring(last, 1, 4), F.lit(":"), F.substring(last, 5, 4))).otherwise(text)
+
+
+def colons(text: Column) -> Column:
+    """How many there are."""
+    return F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
+
+
+def ip6_groups(text: Column) -> Column:
+    """The eight groups of an IPv6 text in lower case; NULL if it is none. At its ends ``::`` has a 0 outside (``0::1``)."""
+    group = "[0-9a-f]{1,4}"
+    good = F.when(text.contains("::"), text.rlike(f"^{group}(?::{group})*::{group}(?::{group})*$") & (colons(text) <= 8)).otherwise(text.rlike(f"^{group}(?::{group}){{7}}$"))
+    return F.when(good, F.split(F.replace(text, F.lit("::"), F.concat(F.lit(":"), F.repeat(F.lit("0:"), 8 - colons(text)))), ":"))
+
+
+def ip6_network(groups: Column) -> Column:
+    """The first four groups, as the bits of a long."""
+    group = lambda i: F.lpad(F.get(groups, F.lit(i)), 4, "0")
+    half = lambda i: F.conv(F.concat(group(i), group(i + 1)), 16, 10).cast("long")
+    return F.shiftleft(half(0), 32).bitwiseOR(half(2))
+
+
+def net_mask(family: str = "family", prefix: str = "prefix") -> Column:
+    """The bits of a long that a range leaves fixed."""
+    free = F.when(F.col(family) == 4, 32 - F.col(prefix)).otherwise(64 - F.least(F.col(prefix), F.lit(64)))
+    return F.when(free < 64, F.call_function("shiftleft", F.lit(-1).cast("long"), free)).otherwise(F.lit(0).cast("long"))
 
 
 def address_space(ranges: DataFrame, key: str | list[str] = "key", low: str = "low", high: str = "high", limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -376,22 +376,73 @@ def address_space(ranges: DataFrame, key: str | list[str] = "key", low: str = "l
     return swept.groupBy(*keys).agg(F.sum(fresh).cast(kind).alias("covered"))
 
 
-def passed(facts: DataFrame, family: str, key: str, record: str) -> DataFrame:
-    """(key, value): the texts of a record's ip4 or ip6 terms that let pass."""
-    terms = F.filter(R.spf_terms(F.col(record)), lambda t: t.rlike(rf"(?i)^[+]*{family}:"))
-    return facts.select(F.col(key).alias("key"), F.explode(terms).alias("t")).select("key", R.strip(F.regexp_replace("t", r"^[^:]*:", "")).alias("value"))
+def passed(facts: DataFrame, key: str, record: str) -> DataFrame:
+    """(key, family, low, prefix): the ranges that the ip4 and ip6 terms of a record let pass.
+
+    A row for each such term, NULL but for the key if it is no range, and one such row for a record without terms. low is
+    the first number less 2**63, so that all have their order as longs. Each step stands in a projection of its own, since
+    what is named several times in one would be worked out several times, or make code too long for the JVM to compile.
+    """
+    text, value, family, six = F.col(record), F.col("value"), F.col("family"), F.col("six")
+    terms = F.when(R.is_spf(text), F.regexp_extract_all(text, F.lit(r"(?i)\s[+]*(ip[46]:\S*)"), F.lit(1)))
+    out = facts.select(F.col(key).alias("key"), F.explode_outer(terms).alias("t"))
+    out = out.select("key", F.when(F.substring("t", 3, 1) == "4", 4).when(F.col("t").isNotNull(), 6).alias("family"), F.expr("substring(t, 5)").alias("value"))
+    size = F.when(value.contains("/"), F.regexp_extract(value, r"^[^/]*/(\d{1,9})$", 1))
+    out = out.select("key", "family", F.substring_index(value, "/", 1).alias("address"), size.alias("size"))
+    most = F.when(family == 4, 32).otherwise(128)
+    prefix = F.when(F.col("size").isNull(), most).when(F.col("size") != "", F.col("size").cast("int"))
+    out = out.select("key", "family", prefix.alias("prefix"), F.when(family == 4, F.col("address")).alias("four"), F.when(family == 6, F.lower("address")).alias("six"))
+    out = out.select("key", "family", "prefix", ip4_octets(F.col("four")).alias("octets"), ip6_plain(six).alias("six"))
+    # ``::`` stands for one group at least: up to seven colons, or eight where it is at an end and gets a 0 outside.
+    begins, ends = six.startswith("::"), six.endswith("::")
+    outside = lambda there: F.when(there, "0").otherwise("")
+    out = out.select("key", "family", "prefix", "octets", F.when(begins | ends, F.concat(outside(begins), six, outside(ends))).when(colons(six) <= 7, six).alias("six"))
+    out = out.select("key", "family", "prefix", "octets", ip6_groups(six).alias("groups"))
+    number = F.coalesce(ip4_number(F.col("octets")), ip6_network(F.col("groups")))
+    out = out.select("key", "family", "prefix", F.when(F.col("prefix") <= most, number).alias("number"))
+    out = out.select("key", "family", "prefix", F.col("number").bitwiseAND(net_mask()).bitwiseXOR(_TOP).alias("low"))
+    # Behind explode_outer a filter stays above, else Spark puts all steps into its condition.
+    found = F.when(F.col("low").isNotNull(), F.array(F.struct("family", "low", "prefix")))
+    return out.select("key", F.explode_outer(found).alias("r")).select("key", "r.family", "r.low", "r.prefix")
+
+
+def last_number(low: str = "low") -> Column:
+    """The last number of a range of ``passed``, less 2**63 as its first."""
+    return F.col(low).bitwiseXOR(_TOP).bitwiseOR(F.bitwise_not(net_mask())).bitwiseXOR(_TOP)
+
+
+def from_zero(number: Column) -> Column:
+    """A number of ``passed`` with the 2**63 that it lacks, as NUMBER."""
+    return (number.cast(NUMBER) + F.lit(str(1 << 63)).cast(NUMBER)).cast(NUMBER)
 
 
 def spf_ranges(facts: DataFrame, key: str = "key", record: str = "raw_spf") -> DataFrame:
     """(key, low, high, prefix) of the IPv4 ranges that a record lets pass."""
-    values = passed(facts, "ip4", key, record).select("key", cidr_range(F.col("value")).alias("r"))
-    return values.filter("r is not null").select("key", "r.*")
+    return passed(facts, key, record).filter("family = 4").select("key", F.col("low").bitwiseXOR(_TOP).alias("low"), last_number().bitwiseXOR(_TOP).alias("high"), "prefix")
 
 
 def spf_ranges6(facts: DataFrame, key: str = "key", record: str = "raw_spf") -> DataFrame:
-    """(key, low, high, prefix) of the IPv6 ranges that a record lets pass, in networks of 64 bits."""
-    values = passed(facts, "ip6", key, record).select("key", cidr6_range(F.col("value")).alias("r"))
-    return values.filter("r is not null").select("key", "r.*")
+    """(key, low, high, prefix) of the IPv6 ranges that a record lets pass, in networks of 64 bits, numbered as NUMBER.
+
+    A range within one network counts as it.
+    """
+    return passed(facts, key, record).filter("family = 6").select("key", from_zero(F.col("low")).alias("low"), from_zero(last_number()).alias("high"), "prefix")
+
+
+def many_ranges(facts: DataFrame, key: str, record: str, limit: int) -> DataFrame | None:
+    """(_key): the keys that may have more than ``limit`` ranges, few by that; None without any.
+
+    Each range has the letters ip before it. These are counted in buckets of keys first, then for the keys of full ones.
+    """
+    text = F.lower(F.col(record))
+    counted = facts.select(F.col(key).alias("_key"), (1 + (F.length(text) - F.length(F.replace(text, F.lit("ip"), F.lit("")))) / 2).cast("long").alias("_n"))
+    counted = counted.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(KEY_BUCKETS)))
+    full = cut(counted.groupBy("_bucket").agg(F.sum("_n").alias("_all")).filter(F.col("_all") > limit).select("_bucket"))
+    if full.isEmpty():
+        return None
+    keys = counted.join(F.broadcast(full), "_bucket", "left_semi").groupBy("_key").agg(F.sum("_n").alias("_all"))
+    keys = cut(keys.filter(F.col("_all") > limit).select("_key"))
+    return None if keys.isEmpty() else keys
 
 
 def spf_spaces(facts: DataFrame, key: str = "key", record: str = "raw_spf", limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -399,14 +450,42 @@ def spf_spaces(facts: DataFrame, key: str = "key", record: str = "raw_spf", limi
 
     (key, ip4_addresses, ip4_widest_prefix, ip6_networks, ip6_widest_prefix): what the passing ranges cover, overlaps
     once, in IPv4 addresses and in IPv6 networks of 64 bits (smaller ranges count as the network they lie in); 0 if there
-    is none, and then no prefix. Several records of a key count together.
+    is none, and then no prefix. Several records of a key count together. Ranges are shuffled by key and swept there; keys
+    with more than ``limit`` of them are swept by ``address_space``, which deals the ranges of a key to many tasks.
     """
-    both = spf_ranges(facts, key, record).select("key", F.lit(4).alias("family"), F.col("low").cast(NUMBER).alias("low"), F.col("high").cast(NUMBER).alias("high"), "prefix")
-    both = cut(both.unionByName(spf_ranges6(facts, key, record).withColumn("family", F.lit(6))))
+    records = facts.filter(F.col(record).isNotNull())
+    large = many_ranges(records, key, record, limit)
+    if large is None:
+        return _swept(records, key, record)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    few = _swept(records.join(short(large), same, "left_anti"), key, record)
+    return few.unionByName(_swept_in_parts(records.join(short(large), same, "left_semi"), key, record, limit))
+
+
+def _swept(records: DataFrame, key: str, record: str) -> DataFrame:
+    """The result of ``spf_spaces`` with all ranges of a key in one task."""
+    # Records without a key count, but have no ranges.
+    ranges = passed(records, key, record).withColumn("family", F.when(F.col("key").isNotNull(), F.col("family"))).repartition("key")
+    order = Window.partitionBy("key", "family").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("high", last_number()).withColumn("_reached", F.max("high").over(order))
+    whole = lambda c: F.col(c).cast(NUMBER)
+    fresh = F.when(F.col("_reached") >= F.col("high"), F.lit(0).cast(NUMBER)).when(F.col("_reached") >= F.col("low"), whole("high") - whole("_reached")).otherwise(whole("high") - whole("low") + 1)
+    of = lambda f, c: F.when(F.col("family") == f, F.col(c))
+    return ranges.withColumn("_fresh", fresh).groupBy("key").agg(
+        F.coalesce(F.sum(of(4, "_fresh")), F.lit(0)).cast("long").alias("ip4_addresses"),
+        F.min(of(4, "prefix")).alias("ip4_widest_prefix"),
+        F.coalesce(F.sum(of(6, "_fresh")), F.lit(0)).cast(NUMBER).alias("ip6_networks"),
+        F.min(of(6, "prefix")).alias("ip6_widest_prefix"),
+    )
+
+
+def _swept_in_parts(records: DataFrame, key: str, record: str, limit: int) -> DataFrame:
+    """The same with the ranges of a key in many tasks."""
+    both = cut(passed(records, key, record).filter("family IS NOT NULL").select("key", "family", from_zero(F.col("low")).alias("low"), from_zero(last_number()).alias("high"), "prefix"))
     widest = both.groupBy("key", "family").agg(F.min("prefix").alias("widest"))
     found = address_space(both, ["key", "family"], limit=limit).join(widest, ["key", "family"])
     of = lambda f, c: F.max(F.when(F.col("family") == f, F.col(c)))
-    keys = facts.filter(F.col(record).isNotNull()).select(F.col(key).alias("key"), F.lit(None).cast("int").alias("family"), F.lit(None).cast(NUMBER).alias("covered"), F.lit(None).cast("int").alias("widest"))
+    keys = records.select(F.col(key).alias("key"), F.lit(None).cast("int").alias("family"), F.lit(None).cast(NUMBER).alias("covered"), F.lit(None).cast("int").alias("widest"))
     none = F.lit(0).cast(NUMBER)
     return found.select("key", "family", "covered", "widest").unionByName(keys).groupBy("key").agg(
         F.coalesce(of(4, "covered"), none).cast("long").alias("ip4_addresses"),

@@ -1,7 +1,10 @@
 """Record strings against expected values, and against a plain reading of the rules."""
 
+import contextlib
+import io
 import ipaddress
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,6 +203,31 @@ def test_both_address_families(spark):
         assert got[k] == (four, min((n.prefixlen for n in nets[4]), default=None), six, min((n.prefixlen for n in nets[6]), default=None)), (k, terms)
 
 
+def test_range_texts_are_read_once(spark):
+    """No step is repeated where Spark puts projections together, and what it compiles is small enough for the JVM."""
+    df = spark.createDataFrame([("a", "v=spf1 ip4:10.0.0.0/24 ip6:::1 -all")], "key string, raw_spf string")
+    for ranges in (facts.spf_ranges, facts.spf_ranges6):
+        assert len(ranges(df)._jdf.queryExecution().executedPlan().toString()) < 10_000
+        with contextlib.redirect_stdout(io.StringIO()) as out:
+            ranges(df).explain("codegen")
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())
+        assert sizes and max(map(int, sizes)) < 8_000
+
+
+def test_keys_with_many_ranges(spark):
+    """Keys beyond the limit are swept in parts, with the same result; rows without a key have no ranges."""
+    rng = random.Random(5)
+    range4 = lambda: f"ip4:10.{rng.randrange(4)}.{rng.randrange(256)}.0/{rng.randrange(14, 33)}"
+    range6 = lambda: f"IP6:2001:db8:{rng.randrange(40):x}:{rng.randrange(40):x}::/{rng.randrange(44, 80)}"
+    rows = [(k, " ".join(["v=spf1", *(rng.choice((range4, range6))() for _ in range(4)), "-all"])) for k in ["hot"] * 60 + ["warm"] * 12 + [f"k{i}" for i in range(40)] + [None] * 30]
+    df = spark.createDataFrame([*rows, ("hot", None), ("none", None), ("bare", "v=spf1 -all")], "key string, raw_spf string")
+    assert {r._key for r in facts.many_ranges(df.filter("raw_spf is not null"), "key", "raw_spf", 40).collect()} == {"hot", "warm", None}
+    assert facts.many_ranges(df.filter("raw_spf is not null"), "key", "raw_spf", 1_000) is None
+    whole, parts = ({r.key: tuple(r)[1:] for r in facts.spf_spaces(df, limit=n).collect()} for n in (100_000, 40))
+    assert whole == parts and len(whole) == 44
+    assert whole[None] == whole["bare"] == (0, None, 0, None)
+
+
 def test_ranges_of_one_key_lie_in_many_tasks(spark):
     """A million ranges of one key, in pieces of the order, cover what one sweep says."""
     rows = spark.range(1_000_000).select(F.lit("hot").alias("key"), (F.pmod(F.xxhash64("id"), F.lit(40_000_000))).alias("low"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(60))).alias("n"))
